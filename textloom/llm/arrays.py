@@ -18,6 +18,8 @@ CHUNK_BYTES = 2 << 20
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93 | 1)
 _LUT = np.zeros(256, bool)
 _LUT[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+_ANY_CASE = _LUT.copy()
+_ANY_CASE[65:91] = True
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -82,8 +84,9 @@ class Tokens:
 
 
 def words(arr: pa.Array, lower: bool = True) -> Tokens:
+    """Words of each text; without ``lower`` the same words as they stand, for their places in the text."""
     data, off = raw(pc.utf8_lower(arr) if lower else arr)
-    is_word = _LUT[data]
+    is_word = (_LUT if lower else _ANY_CASE)[data]
     if len(data) and data.max() >= 0xC2:
         lead = np.flatnonzero(data == 0xC2)
         is_word[lead] = False
@@ -133,14 +136,16 @@ def inside(first: np.ndarray, n: int, total: int) -> np.ndarray:
     return ok
 
 
-def window_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of each run of w values."""
-    have, out = 1, x
+def window_argmin(x: np.ndarray, w: int) -> np.ndarray:
+    """Place of the leftmost minimum of each run of w values."""
+    have, at = 1, np.arange(len(x))
+    low = x
     while have < w:
         step = min(have, w - have)
-        out = np.minimum(out[:-step], out[step:])
+        right = low[step:] < low[:-step]
+        low, at = np.where(right, low[step:], low[:-step]), np.where(right, at[step:], at[:-step])
         have += step
-    return out
+    return at
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -161,3 +166,32 @@ def pieces(arr: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
     batch = pa.record_batch([arr], ["x"])
     for b in slices(iter([batch]), "x", most):
         yield b["x"]
+
+
+def whole(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of sorted batches, cut only between different values of ``keys``."""
+    held: list[dict[str, np.ndarray]] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        now = {c: b[c].to_numpy(zero_copy_only=False) for c in b.schema.names}
+        same = np.ones(b.num_rows, bool)
+        for k in keys:
+            same &= now[k] == now[k][-1]
+        cut = b.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+        joins = bool(held) and all(held[0][k][0] == now[k][0] for k in keys)
+        if held and (cut or not joins):
+            if joins:
+                held.append({c: v[:cut] for c, v in now.items()})
+                now, cut = {c: v[cut:] for c, v in now.items()}, 0
+                yield {c: np.concatenate([h[c] for h in held]) for c in now}
+                held = []
+            else:
+                yield {c: np.concatenate([h[c] for h in held]) for c in now}
+                held = []
+        if cut:
+            yield {c: v[:cut] for c, v in now.items()}
+            now = {c: v[cut:] for c, v in now.items()}
+        held.append(now)
+    if held:
+        yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}

@@ -1,8 +1,8 @@
 """The queries of this subpackage and their SQL, by name."""
 
-from textloom.llm import op2_quality, op3_decontaminate, op8_simhash, op10_pack
+from textloom.llm import op2_quality, op3_decontaminate, op4_suffix, op8_simhash, op10_pack
 from textloom.ship import shipped
 
-_MODULES = (op2_quality, op3_decontaminate, op8_simhash, op10_pack)
+_MODULES = (op2_quality, op3_decontaminate, op4_suffix, op8_simhash, op10_pack)
 QUERIES = {k: shipped(f) for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: f for m in _MODULES for k, f in m.SQL.items()}

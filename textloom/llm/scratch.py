@@ -38,6 +38,7 @@ class Scratch:
     def table(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
+        self.spark._jvm.System.gc()  # lets the driver forget, and executors delete, the shuffles behind the written table
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, name: str) -> None:
