@@ -195,3 +195,42 @@ def whole(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[dict[str, n
         held.append(now)
     if held:
         yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+
+class Lookup:
+    """A fixed hash table from distinct 64-bit hashes to their indices."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.ascontiguousarray(keys, np.uint64)
+        bits = max(4, int(2 * len(self.keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot = np.full(1 << bits, -1, np.int32)
+        at, todo = self._home(self.keys), np.arange(len(self.keys))
+        while len(todo):
+            free = self.slot[at[todo]] < 0
+            self.slot[at[todo[free]]] = todo[free]  # of several the last wins
+            todo = todo[self.slot[at[todo]] != todo]
+            at[todo] = (at[todo] + 1) & self.mask
+
+    def _home(self, h: np.ndarray) -> np.ndarray:
+        return ((h * np.uint64(0x9FB21C651E98DF25)) >> self.shift).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Index of each hash among the keys, -1 for strangers."""
+        out = np.full(len(h), -1, np.int32)
+        if not len(self.keys):
+            return out
+        at = self._home(h)
+        got = self.slot[at]
+        hit = (got >= 0) & (self.keys[got] == h)
+        out[hit] = got[hit]
+        todo = np.flatnonzero((got >= 0) & ~hit)
+        at = at[todo]
+        while len(todo):
+            at = (at + 1) & self.mask
+            got = self.slot[at]
+            hit = (got >= 0) & (self.keys[got] == h[todo])
+            out[todo[hit]] = got[hit]
+            go = (got >= 0) & ~hit
+            todo, at = todo[go], at[go]
+        return out
