@@ -1,8 +1,9 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 A bigram model of toxic and one of ordinary text, with modified Kneser-Ney discounts, both back off to one unigram
-distribution: the continuation counts of words over the two classes, so that rare expressions are smoothed alike. Counts are of texts that hold a pair or word, and rare ones are pruned. A
-text's score is the mean over its words of the difference of the two log-likelihoods; the threshold is the one that
+distribution, the continuation counts of words over both classes. Counts are of texts that hold a pair or word, and rare ones
+are pruned. A rare expression, on which the classes don't surely differ (a likelihood-ratio test), has the shared count in
+both, so that only expressions with evidence tell the classes apart. A text's score is the mean over its words of the difference of the two log-likelihoods; the threshold is the one that
 separates held-out labelled rows best (F1).
 
 Training reads at most ``TRAIN_ROWS`` labelled rows a class and as many again are held out, chosen by a hash of the id. Scoring
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from textloom.llm import arrays
 
 TRAIN_ROWS = 3000
-#: Pairs and words in fewer training texts of a class are pruned to the back-off.
+#: Pairs and words in fewer training texts are pruned to the back-off.
 LEAST_PAIR, LEAST_WORD = 4, 2
+#: Log-likelihood ratio (chi-square, one degree) from which a word or pair has counts of its own in each class.
+SURE = 16.0
 _START = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -82,52 +85,60 @@ class Model:
         return out[0], out[1], n
 
 
+def _tell(n1: np.ndarray, n0: np.ndarray, t1: int, t0: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts a class (toxic, ordinary) on the scale of all texts: its own where the classes differ surely, else the shared one."""
+    all_, texts = n1 + n0, t1 + t0
+
+    def part(n: np.ndarray, rate: np.ndarray, t: int) -> np.ndarray:
+        return n * np.log(np.maximum(n, 1e-9) / (t * rate)) + (t - n) * np.log(np.maximum(t - n, 1e-9) / np.maximum(t * (1 - rate), 1e-9))
+
+    rate = np.clip(all_ / texts, 1e-12, 1 - 1e-12)
+    differ = 2 * (part(n1, rate, t1) + part(n0, rate, t0)) >= SURE
+    return np.where(differ, n1 * (texts / t1), all_), np.where(differ, n0 * (texts / t0), all_)
+
+
 def train(texts: dict[int, pa.Array]) -> Model:
     """Fits both models; class 1 is toxic."""
-    parts = {}
+    keys, befores, afters, of = [], [], [], []
     for c in (1, 0):
         before, word, doc = _pairs(texts[c])
         once = np.unique(arrays.mix(_key(before, word) ^ arrays.mix(doc.astype(np.uint64))), return_index=True)[1]
-        before, word = before[once], word[once]
-        both, at, n = np.unique(_key(before, word), return_index=True, return_counts=True)
-        single, n_single = np.unique(word, return_counts=True)
-        keep = n >= LEAST_PAIR
-        parts[c] = (both[keep], before[at][keep], word[at][keep], n[keep], single[n_single >= LEAST_WORD], n_single[n_single >= LEAST_WORD], before)
-    words = np.unique(np.concatenate([np.array([_START]), *(x for c in (1, 0) for x in (*parts[c][1:3], parts[c][4]))]))
+        keys.append(_key(before, word)[once])
+        befores.append(before[once])
+        afters.append(word[once])
+        own = np.unique(arrays.mix(word ^ arrays.mix(doc.astype(np.uint64))), return_index=True)[1]
+        of.append(np.unique(word[own], return_counts=True))
+    t1, t0 = len(texts[1]), len(texts[0])
+    pairs, at, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    before, after = np.concatenate(befores)[at], np.concatenate(afters)[at]
+    m1, m0 = (np.bincount(w, minlength=len(pairs)).astype(float) for w in (which[: len(keys[0])], which[len(keys[0]) :]))
+    words = np.unique(np.concatenate([np.array([_START]), *(w for w, _ in of)]))
     find = arrays.Lookup(words)
-    # Shared: in how many of the two classes a word occurs, as lower orders count contexts; one more place for strangers.
-    seen = sum(np.isin(words, parts[c][4]).astype(float) for c in (1, 0))
+    n1, n0 = np.zeros(len(words)), np.zeros(len(words))
+    n1[find.find(of[0][0])], n0[find.find(of[1][0])] = of[0][1], of[1][1]
+    kept_words = (n1 + n0 >= LEAST_WORD) | (words == _START)
+    # Shared: in how many contexts a word stands, over both classes, as lower orders count; one more place for strangers.
+    seen = np.bincount(find.find(after), minlength=len(words)).astype(float) * kept_words
     shared = seen / (seen.sum() + 1)
-    pairs = np.unique(np.concatenate([parts[1][0], parts[0][0]]))
+    cut = np.where(n1 + n0 > 0, _discounts((n1 + n0)[n1 + n0 > 0])[np.minimum(n1 + n0, 3).astype(int)], 0.0) if len(pairs) else np.zeros(len(words))
+    single = [np.maximum(e - cut, 0) * kept_words for e in _tell(n1, n0, t1, t0)]
+    total = max(*(e.sum() for e in _tell(n1, n0, t1, t0)), 1.0)
     # Both classes are divided by the larger total, and the mass that the fuller one leaves is the back-off of both: classes
     # with longer texts or more junk would else differ on every word.
-    single, cut, size, kept = {}, {}, {}, {}
-    for c in (1, 0):
-        both, before, word, n, own, n_own, every = parts[c]
-        single[c] = np.zeros(len(words))
-        single[c][find.find(own)] = n_own
-        cut[c] = np.where(single[c] > 0, _discounts(n_own)[np.minimum(single[c], 3).astype(int)], 0.0)
-        context = find.find(every)
-        size[c] = np.bincount(context[context >= 0], minlength=len(words)).astype(float)  # pruned pairs count too
-        kept[c] = n - _discounts(n)[np.minimum(n, 3)]
-    total = max(single[0].sum(), single[1].sum(), 1.0)
-    left = 1 - max((single[c] - cut[c]).sum() for c in (1, 0)) / total
+    left = 1 - max(e.sum() for e in single) / total
     floor = left / (seen.sum() + 1)
-    most = np.maximum(np.maximum(size[0], size[1]), 1)
-    used = [np.bincount(find.find(parts[c][1]), kept[c], minlength=len(words)) for c in (1, 0)]
-    weight = 1 - np.maximum(*used) / most
-    unigram, bigram = [], []
-    for c in (1, 0):
-        uni = np.maximum((single[c] - cut[c]) / total + left * shared, floor)  # the start has no counts
-        value = np.zeros(len(pairs))
-        for k in (1, 0):  # pairs that only the other class has back off in this one
-            b, w = find.find(parts[k][1]), find.find(parts[k][2])
-            value[np.searchsorted(pairs, parts[k][0])] = weight[b] * uni[w]
-        value[np.searchsorted(pairs, parts[c][0])] += kept[c] / most[find.find(parts[c][1])]
-        unigram.append(np.log(uni).astype(np.float32))
-        bigram.append(np.log(value).astype(np.float32))
-    backoff, unseen = [np.log(weight).astype(np.float32)] * 2, [np.log(floor)] * 2
-    return Model(words, np.stack(unigram), np.stack(backoff), pairs, np.stack(bigram), np.array(unseen))
+    uni = [np.maximum(e / total + left * shared, floor) for e in single]  # the start has no counts
+    few = m1 + m0 < LEAST_PAIR
+    paired = _tell(m1, m0, t1, t0)
+    context, target = find.find(before), find.find(after)
+    size = np.maximum(np.maximum(*(np.bincount(context, m, minlength=len(words)) for m in paired)), 1)  # pruned pairs count too
+    less = _discounts((m1 + m0)[m1 + m0 > 0])[np.minimum(m1 + m0, 3).astype(int)] if len(pairs) else np.zeros(0)
+    full = [np.maximum(m - less, 0) * ~few for m in paired]
+    weight = np.maximum(1 - np.maximum(*(np.bincount(context, k, minlength=len(words)) for k in full)) / size, 1e-6)
+    bigram = [np.log(k[~few] / size[context[~few]] + weight[context[~few]] * u[target[~few]]).astype(np.float32) for k, u in zip(full, uni)]
+    order = np.flatnonzero(kept_words)
+    unigram, backoff = [np.log(u[order]).astype(np.float32) for u in uni], [np.log(weight[order]).astype(np.float32)] * 2
+    return Model(words[order], np.stack(unigram), np.stack(backoff), pairs[~few], np.stack(bigram), np.array([np.log(floor)] * 2))
 
 
 def best_threshold(score: np.ndarray, toxic: np.ndarray) -> float:
