@@ -37,7 +37,7 @@ from textloom.llm.scratch import Scratch, keyed
 DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH, BASE_WORDS = 0.75, 0.5, 0.75, 1.0, 1 << 24
 BURN_IN, SAMPLES, EXACT = 3, 3, 40
 #: Bytes of text in a segment, and of text whose postings one shard gets.
-SEGMENT_BYTES, SHARD_BYTES = 24 << 20, 20 << 20
+SEGMENT_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
 _WORD = np.uint64((1 << 40) - 1)
 _START = np.uint64(0x5851F42D4C957F2D)
 
@@ -67,20 +67,26 @@ def _from_five(b: np.ndarray) -> np.ndarray:
 
 def pairs(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context, word, text) of every word; hashes of 40 bits, the context of a text's first word is the start."""
-    t = arrays.words(text)
-    h = t.hashes()
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[t.first[:-1][np.diff(t.first) > 0]] = _START
-    return before & _WORD, h & _WORD, t.doc_of()
+    out, base = [], 0
+    for p in arrays.pieces(text):
+        t = arrays.words(p)
+        h = t.hashes()
+        before = np.empty_like(h)
+        before[1:] = h[:-1]
+        before[t.first[:-1][np.diff(t.first) > 0]] = _START
+        out.append((before & _WORD, h & _WORD, (t.doc_of() + base).astype(np.int32)))
+        base += len(p)
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """(shard, blob): contexts, words in each, their words, tokens of each, and the text of each token, with all texts' keys."""
     for b in arrays.slices(batches, "text", SEGMENT_BYTES):
         context, word, doc = pairs(b["text"])
-        shard = (arrays.mix(context) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(((arrays.mix(context) % np.uint64(shards)) << np.uint64(44)) | (arrays.mix(context ^ np.uint64(77)) & np.uint64(0xFFFFF)) << np.uint64(24) | (word >> np.uint64(16)), kind="stable")
+        shard = (arrays.mix(context) % np.uint64(shards)).astype(np.uint32)
+        key = (shard.astype(np.uint64) << np.uint64(44)) | ((context & np.uint64(0xFFFFF)) << np.uint64(24)) | (word >> np.uint64(16))
+        order = np.argsort(key, kind="stable")
+        del key
         context, word, doc, shard = context[order], word[order], doc[order], shard[order]
         new_word = np.ones(len(word), bool)
         new_word[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
