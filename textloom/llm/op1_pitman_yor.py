@@ -84,7 +84,7 @@ def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
     for b in arrays.slices(batches, "text", SEGMENT_BYTES):
         context, word, doc = pairs(b["text"])
         shard = (arrays.mix(context) % np.uint64(shards)).astype(np.uint32)
-        key = (shard.astype(np.uint64) << np.uint64(44)) | ((context & np.uint64(0xFFFFF)) << np.uint64(24)) | (word >> np.uint64(16))
+        key = (shard.astype(np.uint64) << np.uint64(40)) | ((context & np.uint64(0xFFFF)) << np.uint64(24)) | (word >> np.uint64(16))
         order = np.argsort(key, kind="stable")
         del key
         context, word, doc, shard = context[order], word[order], doc[order], shard[order]
@@ -98,14 +98,13 @@ def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         ids = b["doc_id"].cast(pa.int64())
         keys, null = b["row_key"].to_numpy(), np.array(ids.is_null())
         ids = ids.fill_null(0).to_numpy()
-        token_cut = np.searchsorted(shard, np.arange(shards + 1))
-        type_cut = np.searchsorted(type_shard, np.arange(shards + 1))
+        some = np.unique(np.append(shard, np.uint32(0)))  # never more blobs than words
+        token_cut = np.append(np.searchsorted(shard, some), len(shard))
+        type_cut = np.append(np.searchsorted(type_shard, some), len(type_shard))
         out = []
-        for s in range(shards):
-            t, k = slice(type_cut[s], type_cut[s + 1]), slice(token_cut[s], token_cut[s + 1])
+        for i, s in enumerate(some.tolist()):
+            t, k = slice(type_cut[i], type_cut[i + 1]), slice(token_cut[i], token_cut[i + 1])
             mine = np.arange(b.num_rows) if s == 0 else np.unique(doc[k])  # the first shard names every text, also wordless ones
-            if not len(mine):
-                continue
             start = np.flatnonzero(new_context[t])
             runs = np.diff(np.append(start, t.stop - t.start))
             of = np.searchsorted(mine, doc[k]).astype(np.uint32)
