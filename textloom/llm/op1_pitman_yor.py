@@ -13,7 +13,9 @@ in. A shard therefore holds whole context restaurants. In one plan, on one shuff
    customers the seating goes on from an exact draw for the first ``EXACT``, in blocks that double;
 3. after the burn-in, predictive probabilities are averaged over samples, and their logarithms added up by text.
 
-The context word "the" at 100 TB still is one restaurant in one shard, of the distinct words that follow it.
+A context that alone would fill over half a shard is a hot one: a pass before counts contexts, segment by segment, and names
+them with their numbers of parts (at most ``HOT`` contexts, whatever the corpus). Its words are spread over so many shards by a
+hash; all parts use the restaurant's exact number of customers, and scale their own tables by its number of distinct words.
 
 Contract: a text without words (null or empty) has n_words 0, log_prob 0 and a null perplexity. Repeated rows each count and
 each get a row; null ids are carried. An empty table gives no rows. Draws are seeded by shard, so results don't depend on
@@ -38,6 +40,8 @@ DISCOUNT, STRENGTH, PARENT_DISCOUNT, PARENT_STRENGTH, BASE_WORDS = 0.75, 0.5, 0.
 BURN_IN, SAMPLES, EXACT = 3, 3, 40
 #: Bytes of text in a segment, and of text whose postings one shard gets.
 SEGMENT_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
+#: Most contexts whose restaurants are split.
+HOT = 1 << 17
 _WORD = np.uint64((1 << 40) - 1)
 _START = np.uint64(0x5851F42D4C957F2D)
 
@@ -79,11 +83,50 @@ def pairs(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """(shard, blob): contexts, words in each, their words, tokens of each, and the text of each token, with all texts' keys."""
+def _busy(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """(context, n, words): contexts that have a share of an eighth of a shard or more of a segment's words."""
     for b in arrays.slices(batches, "text", SEGMENT_BYTES):
+        context = np.sort(pairs(b["text"])[0])
+        at = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, np.int64)
+        n = np.diff(np.append(at, len(context)))
+        some = n * 8 * shards >= max(1, len(context))
+        yield pa.record_batch(
+            [pa.array(np.append(context[at[some]], np.uint64(0)).view(np.int64)), pa.array(np.append(n[some], len(context)).astype(np.int64)), pa.array(np.append(np.zeros(some.sum(), bool), True))], ["context", "n", "all_words"]
+        )
+
+
+def busy_contexts(rows: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts that fill over half a shard, and in how many parts each is split."""
+    seen = rows.select("text").mapInArrow(lambda it: _busy(it, shards), "context long, n long, all_words boolean")
+    sums = seen.groupBy("all_words", "context").agg(F.sum("n").alias("n"))
+    total = sums.filter("all_words").select(F.col("n").alias("total"))
+    hot = sums.filter("NOT all_words").crossJoin(F.broadcast(total)).withColumn("parts", F.ceil(F.col("n") * 2 * shards / F.col("total")))
+    got = hot.filter("parts > 1").orderBy(F.col("n").desc(), "context").limit(HOT).select("context", "parts").collect()
+    context, parts = np.array([r[0] for r in got], np.int64).view(np.uint64), np.array([r[1] for r in got], np.uint64)
+    order = np.argsort(context)
+    return context[order], parts[order]
+
+
+def homes(context: np.ndarray, word: np.ndarray, shards: int, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shard of each (context, word)."""
+    key = context
+    if len(hot[0]):
+        at = np.minimum(np.searchsorted(hot[0], context), len(hot[0]) - 1)
+        split = hot[0][at] == context
+        key = np.where(split, context ^ (arrays.mix(word) % np.where(split, hot[1][at], np.uint64(1)) << np.uint64(41)), context)
+    return (arrays.mix(key) % np.uint64(shards)).astype(np.uint32)
+
+
+def _segment(batches: Iterator[pa.RecordBatch], shards: int, hot: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(shard, segment, blob): contexts, words in each, their words, tokens of each, the text of each token, and the texts' ids.
+
+    Texts are numbered within their segment; ids and word counts of all of them go to the first shard only.
+    """
+    for b in arrays.slices(batches, "text", SEGMENT_BYTES):
+        segment = b["row_key"][0].as_py()
         context, word, doc = pairs(b["text"])
-        shard = (arrays.mix(context) % np.uint64(shards)).astype(np.uint32)
+        size = np.bincount(doc, minlength=b.num_rows).astype(np.uint32)
+        shard = homes(context, word, shards, hot)
         key = (shard.astype(np.uint64) << np.uint64(40)) | ((context & np.uint64(0xFFFF)) << np.uint64(24)) | (word >> np.uint64(16))
         order = np.argsort(key, kind="stable")
         del key
@@ -96,7 +139,7 @@ def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         new_context = np.ones(len(own), bool)
         new_context[1:] = own[1:] != own[:-1]
         ids = b["doc_id"].cast(pa.int64())
-        keys, null = b["row_key"].to_numpy(), np.array(ids.is_null())
+        null = np.array(ids.is_null())
         ids = ids.fill_null(0).to_numpy()
         some = np.unique(np.append(shard, np.uint32(0)))  # never more blobs than words
         token_cut = np.append(np.searchsorted(shard, some), len(shard))
@@ -104,15 +147,15 @@ def _segment(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Reco
         out = []
         for i, s in enumerate(some.tolist()):
             t, k = slice(type_cut[i], type_cut[i + 1]), slice(token_cut[i], token_cut[i + 1])
-            mine = np.arange(b.num_rows) if s == 0 else np.unique(doc[k])  # the first shard names every text, also wordless ones
             start = np.flatnonzero(new_context[t])
             runs = np.diff(np.append(start, t.stop - t.start))
-            of = np.searchsorted(mine, doc[k]).astype(np.uint32)
-            out.append((s, _pack(own[t][start], runs.astype(np.uint32), _five(word[at[t]]), count[t].astype(np.uint32), _five(of.astype(np.uint64))[:3], keys[mine], ids[mine], null[mine])))
-        yield pa.record_batch([pa.array([s for s, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["shard", "blob"])
+            first = slice(0, b.num_rows if s == 0 else 0)
+            cells = own[t][start], runs.astype(np.uint32), _five(word[at[t]]), count[t].astype(np.uint32), _five(doc[k].astype(np.uint64))[:3], ids[first], null[first], size[first]
+            out.append(_pack(*cells))
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array([segment] * len(out), pa.int64()), pa.array(out, pa.binary())], ["shard", "segment", "blob"])
 
 
-_TYPES = (np.uint64, np.uint32, np.uint8, np.uint32, np.uint8, np.int64, np.int64, np.bool_)
+_TYPES = (np.uint64, np.uint32, np.uint8, np.uint32, np.uint8, np.int64, np.bool_, np.uint32)
 
 
 class Restaurants:
@@ -129,12 +172,29 @@ class Restaurants:
         self.rooms, self.room = np.unique(contexts[at], return_inverse=True)
         self.dishes, self.dish = np.unique(words[at], return_inverse=True)
         self.total = np.bincount(self.room, self.customers, minlength=len(self.rooms))
+        self.scale = np.ones(len(self.rooms))
         self.parts = parts
 
     def contexts_of(self) -> np.ndarray:
         """In how many contexts each dish stands."""
         return np.bincount(self.dish, minlength=len(self.dishes))
 
+    def part_of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the given contexts those that are here, with their customers and types in this shard."""
+        here = np.flatnonzero(np.isin(self.rooms, contexts))
+        return self.rooms[here], self.total[here], np.bincount(self.room, minlength=len(self.rooms))[here]
+
+    def complete(self, contexts: np.ndarray, customers: np.ndarray, types: np.ndarray) -> None:
+        """Tells the customers and types of whole restaurants of which only a part is here."""
+        here = np.flatnonzero(np.isin(self.rooms, contexts))
+        at = np.searchsorted(contexts, self.rooms[here])
+        self.scale[here] = types[at] / np.bincount(self.room, minlength=len(self.rooms))[here]
+        self.total[here] = customers[at]
+
+    def tables(self, t: np.ndarray) -> np.ndarray:
+        """Tables of each restaurant."""
+        return np.bincount(self.room, t, minlength=len(self.rooms)) * self.scale
+
     def predictive(self, parent: np.ndarray, seed: int, burn_in: int, samples: int) -> np.ndarray:
         """Averaged predictive probability of each type; ``parent`` is the parent's of each dish."""
         rng = np.random.default_rng(seed)
@@ -147,10 +207,10 @@ class Restaurants:
             for q in range(4):
                 pick = open_[quarters == q]
                 if len(pick):
-                    tables = np.bincount(self.room, t, minlength=len(self.rooms))
+                    tables = self.tables(t)
                     t[pick] = draw_tables(c[pick], tables[self.room[pick]] - t[pick], p[pick], DISCOUNT, STRENGTH, rng)
             if sweep >= burn_in:
-                tables = np.bincount(self.room, t, minlength=len(self.rooms))[self.room]
+                tables = self.tables(t)[self.room]
                 total += ((c - DISCOUNT * t) + (STRENGTH + DISCOUNT * tables) * p) / (STRENGTH + self.total[self.room])
         return total / samples
 
@@ -194,8 +254,11 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, d: float, thet
     return out
 
 
-def _counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """(part, shard, words, contexts, types): for each part of the parent, the words of this shard and their contexts."""
+def _counts(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(part, shard, words, types, split): for each part of the parent, the words of this shard and their contexts.
+
+    The first part also gets the number of types, and customers and types of the hot contexts' parts here.
+    """
     held: dict[int, list[bytes]] = {}
     for b in batches:
         for s, x in zip(b["shard"].to_pylist(), b["blob"].to_pylist()):
@@ -204,13 +267,22 @@ def _counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
         r = Restaurants(blobs)
         n = r.contexts_of()
         part = (arrays.mix(r.dishes) % np.uint64(parts)).astype(np.int64)
-        rows = [(k, s, _pack(_five(r.dishes[part == k]), n[part == k].astype(np.uint32)), len(r.room) if k == 0 else 0) for k in range(parts)]
+        split = _pack(*(x.astype(np.int64) for x in r.part_of(hot)))
+        rows = [(k, s, _pack(_five(r.dishes[part == k]), n[part == k].astype(np.uint32)), len(r.room) if k == 0 else 0, split if k == 0 else None) for k in range(parts)]
         cols = list(zip(*rows))
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.int64()))], ["part", "shard", "words", "types"])
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()))], ["part", "shard", "words", "types", "split"])
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """(all_types, hot): types in all, and customers and types of each hot context."""
+    got = [_unpack(x, np.int64, np.int64, np.int64) for x in table["split"].to_pylist()]
+    contexts, of = np.unique(np.concatenate([g[0] for g in got]).view(np.uint64), return_inverse=True)
+    sums = [np.bincount(of, np.concatenate([g[k] for g in got]), minlength=len(contexts)).astype(np.int64) for k in (1, 2)]
+    return pa.table({"all_types": pa.array([pa.compute.sum(table["types"]).as_py()], pa.int64()), "hot": pa.array([_pack(contexts, *sums)], pa.binary())})
 
 
 def _parent(table: pa.Table, parts: int) -> pa.Table:
-    """(shard, blob, answer): the parent's probability of each word of each shard."""
+    """(shard, answer, hot): the parent's probability of each word of each shard; the first part passes the hot contexts on."""
     got = [_unpack(x, np.uint8, np.uint32) for x in table["words"].to_pylist()]
     words = [_from_five(g[0]) for g in got]
     every, of = np.unique(np.concatenate(words), return_inverse=True)
@@ -226,28 +298,41 @@ def _parent(table: pa.Table, parts: int) -> pa.Table:
             total += (c - PARENT_DISCOUNT * t + (PARENT_STRENGTH + PARENT_DISCOUNT * t.sum() * parts) * base) / (PARENT_STRENGTH + customers)
     p = (total / SAMPLES).astype(np.float32)
     cut = np.cumsum([0, *map(len, words)])
-    return pa.table({"shard": table["shard"], "answer": pa.array([_pack(_five(w), p[of[a:b]]) for w, a, b in zip(words, cut, cut[1:])], pa.binary())})
+    hot = table["hot"] if table["part"][0].as_py() == 0 else pa.nulls(len(words), pa.binary())
+    return pa.table({"shard": table["shard"], "answer": pa.array([_pack(_five(w), p[of[a:b]]) for w, a, b in zip(words, cut, cut[1:])], pa.binary()), "hot": hot})
 
 
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
-    """(row_key, doc_id, ll, n): each text's words in this shard and their log-likelihood."""
+    """(segment, blob): log-likelihoods of each segment's texts in this shard, and ids and word counts from the first shard."""
     r = Restaurants(left["blob"].to_pylist())
+    for x in right["hot"].to_pylist():
+        if x is not None:
+            r.complete(*_unpack(x, np.uint64, np.int64, np.int64))
     got = [_unpack(x, np.uint8, np.float32) for x in right["answer"].to_pylist()]
     words, p = np.concatenate([_from_five(g[0]) for g in got]), np.concatenate([g[1] for g in got])
     order = np.argsort(words)
     parent = p[order].astype(float)  # every dish was answered once
     log_p = np.log(r.predictive(parent, left["shard"][0].as_py(), BURN_IN, SAMPLES)) if len(r.customers) else np.zeros(0)
-    at, cols = 0, [[], [], [], []]
-    for _, _, _, count, doc, keys, ids, null in r.parts:
+    at, out = 0, []
+    for _, _, _, count, doc, ids, null, size in r.parts:
         types = r.of[at : at + len(count)]
         at += len(count)
         of = doc.reshape(3, -1).astype(np.int64)
         of = of[0] | of[1] << 8 | of[2] << 16
-        cols[0].append(keys)
-        cols[1].append(pa.array(ids, mask=null))
-        cols[2].append(np.bincount(of, np.repeat(log_p[types], count), minlength=len(keys)))
-        cols[3].append(np.bincount(of, minlength=len(keys)))
-    return pa.table({"row_key": np.concatenate(cols[0]), "doc_id": pa.chunked_array(cols[1]), "ll": np.concatenate(cols[2]), "n": np.concatenate(cols[3])})
+        sums = np.bincount(of, np.repeat(log_p[types], count))
+        some = np.flatnonzero(sums)
+        out.append(_pack(np.diff(some, prepend=0).astype(np.uint32), sums[some].astype(np.float32), ids, null, size))
+    return pa.table({"segment": left["segment"], "blob": pa.array(out, pa.binary())})
+
+
+def _join(table: pa.Table) -> pa.Table:
+    """(doc_id, ll, n) of the texts of one segment."""
+    parts = [_unpack(x, np.uint32, np.float32, np.int64, np.bool_, np.uint32) for x in table["blob"].to_pylist()]
+    ids, null, size = next(p[2:] for p in parts if len(p[4]))
+    ll = np.zeros(len(size))
+    for gaps, sums, *_ in sorted(parts, key=lambda p: (len(p[0]), p[1].tobytes())):  # one order of adding in every run
+        ll[np.cumsum(gaps, dtype=np.int64)] += sums
+    return pa.table({"doc_id": pa.array(ids, mask=null), "ll": ll, "n_words": size.astype(np.int64)})
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,14 +342,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
     shards = max(1, -(-size // SHARD_BYTES))
     parts = max(1, shards // 4)
-    seg = rows.mapInArrow(lambda it: _segment(it, shards), "shard int, blob binary")
+    hot = busy_contexts(rows, shards)
+    seg = rows.mapInArrow(lambda it: _segment(it, shards, hot), "shard int, segment long, blob binary")
     home = seg.repartition(shards, "shard")
-    counts = home.mapInArrow(lambda it: _counts(it, parts), "part int, shard int, words binary, types long").repartition(parts, "part")
-    every = counts.agg(F.sum("types").alias("all_types"))
-    asked = counts.crossJoin(F.broadcast(every))  # one number
-    answers = asked.groupBy("part").applyInArrow(lambda t: _parent(t, parts), "shard int, answer binary").repartition(shards, "shard")
-    got = home.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_score, "row_key long, doc_id long, ll double, n long")
-    sums = got.groupBy("row_key", "doc_id").agg(F.sum("ll").alias("ll"), F.sum("n").alias("n_words"))
+    counts = home.mapInArrow(lambda it: _counts(it, parts, hot[0]), "part int, shard int, words binary, types long, split binary").repartition(parts, "part")
+    every = counts.filter("part = 0").groupBy("part").applyInArrow(_totals, "all_types long, hot binary")
+    asked = counts.drop("types", "split").crossJoin(F.broadcast(every))  # one row of at most HOT contexts
+    answers = asked.groupBy("part").applyInArrow(lambda t: _parent(t, parts), "shard int, answer binary, hot binary").repartition(shards, "shard")
+    got = home.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_score, "segment long, blob binary")
+    sums = got.groupBy("segment").applyInArrow(_join, "doc_id long, ll double, n_words long")
     return sums.select("doc_id", "n_words", F.round("ll", 4).alias("log_prob"), F.when(F.col("n_words") > 0, F.round(F.exp(-F.col("ll") / F.col("n_words")), 4)).alias("perplexity"))
 
 
