@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays
-from textloom.llm.scratch import Scratch, fresh, keyed
+from textloom.llm.scratch import Scratch, filed, fresh, keyed
 
 LEAST, GRAM = 50, 16
 
@@ -198,18 +198,20 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A row of whose text no word is left goes; rows without repeats stay as they are, null and empty texts included.
     """
     scratch = Scratch(docs.sparkSession)
+    docs = filed(docs, scratch)
     cut = spans(docs, scratch, id_col, text_col, least).filter("cut")
     cut = scratch.table("cuts", cut.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start_char", "end_char"))).alias("cuts")))
     key, cuts, gap = (fresh(docs, c) for c in ("row_key", "cuts", "left"))
-    own = keyed(docs, key, scratch, *[docs[c] for c in docs.columns])
+    own = keyed(docs, key, scratch, *[F.col(f"`{c}`") for c in docs.columns])
     both = own.join(cut.select(F.col("row_key").alias("cut_key"), F.col("cuts").alias(cuts)), F.col(key) == F.col("cut_key"), "left").drop("cut_key")
     before = f"CASE WHEN i = 0 THEN 0 ELSE `{cuts}`[i - 1].end_char END"
     until = f"CASE WHEN i = size(`{cuts}`) THEN length(`{text_col}`) ELSE `{cuts}`[i].start_char END"
     left = F.expr(f"array_join(transform(sequence(0, size(`{cuts}`)), i -> substring(`{text_col}`, {before} + 1, {until} - {before})), '')")
-    both = both.withColumn(gap, F.when(F.col(cuts).isNotNull(), left).otherwise(F.col(text_col)))
+    both = both.withColumn(gap, F.when(F.col(cuts).isNotNull(), left).otherwise(F.col(f"`{text_col}`")))
     both = both.filter(F.col(cuts).isNull() | F.col(gap).rlike("[\\p{L}\\p{N}]"))
-    out = [F.col(gap).alias(c) if c == text_col else F.when(F.col(cuts).isNull(), docs[c]).otherwise(F.length(gap)).cast(docs.schema[c].dataType).alias(c) if c == size_col else docs[c] for c in docs.columns]
-    return both.select(*[x if not isinstance(x, str) else F.col(x) for x in out])
+    size = F.when(F.col(cuts).isNull(), F.col(f"`{size_col}`")).otherwise(F.length(gap)) if size_col in docs.columns else None
+    made = {text_col: F.col(gap)} | ({size_col: size.cast(docs.schema[size_col].dataType)} if size is not None else {})
+    return both.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,15 +68,25 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def filed(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """``df`` itself where it is a file scan, else its rows written to the shared folder and read again."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+        return df
+    except AnalysisException:
+        return scratch.table(f"rows{uuid.uuid4().hex[:8]}", df)
+
+
 def keyed(df: DataFrame, key: str, scratch: Scratch, *cols: Column) -> DataFrame:
     """Selects ``cols`` with a 64-bit row key that is the same in every scan and every retry.
 
     For a file scan the key hashes file path and row index, whatever the splits; any other plan is first written to the
-    shared folder and keyed there.
+    shared folder and keyed there, with new keys in each call: rows that are keyed twice must be ``filed`` before.
     """
     made = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias(key)
+    kept = df.select(*cols)
     try:
         return df.select(made, *cols)
     except AnalysisException:
-        kept = df.select(*cols)
-        return scratch.table(f"rows{uuid.uuid4().hex[:8]}", kept).select(made, *[F.col(f"`{c}`") for c in kept.columns])
+        pass
+    return filed(kept, scratch).select(made, *[F.col(f"`{c}`") for c in kept.columns])
