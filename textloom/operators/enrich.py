@@ -68,7 +68,7 @@ def top_language(langs: Column, threshold: float = 0.0, default: str = "en") ->
 
 
 #: Hashed word pairs and words that a linear classifier reads.
-FEATURES, TRAIN_ROWS = 1 << 18, 20_000
+FEATURES, TRAIN_ROWS = 1 << 16, 20_000
 
 
 def train_fasttext_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", valid_share: float = 0.1, seed: int = 0, train_rows: int = TRAIN_ROWS):
@@ -81,7 +81,8 @@ def train_fasttext_classifier(docs: DataFrame, labels: DataFrame, id_col: str =
     some = labels.filter(F.col(label_col).isNotNull()).orderBy(F.xxhash64(id_col, F.lit(seed)), id_col).limit(train_rows)
     rows = _features(docs.join(some.select(id_col, F.col(label_col).cast("double").alias("label")), id_col), text_col)
     held = F.pmod(F.xxhash64(id_col, F.lit(seed + 1)), F.lit(1000)) < int(1000 * valid_share)
-    model = LogisticRegression(maxIter=30, regParam=0.01).fit(rows.filter(~held))
+    model = LogisticRegression(maxIter=20, regParam=0.01).fit(rows.filter(~held))
+    model._java_obj.setSummary(docs.sparkSession._jvm.scala.Option.empty())  # it holds the session, which tasks can't be sent
     n = model.transform(rows.filter(held)).agg(F.count("*").alias("n"), F.sum((F.col("prediction") == F.col("label")).cast("long")).alias("right")).first()
     p = (n["right"] or 0) / n["n"] if n["n"] else 0.0
     return model, {"P@1": p, "R@1": p, "rows": n["n"]}
