@@ -256,3 +256,27 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT text FROM streamed").collect()[0][0] == "a b c"
+
+
+def test_tokenizers(spark):
+    from textloom.functions import tokenizers
+
+    assert tokenizers.load_word_tokenizer("eng")("it's 1.4 points.") == ["it's", "1.4", "points", "."]
+    assert list(tokenizers.chunk_text_on_bytes("aéb", 2)) == ["a", "é", "b"]
+    with pytest.raises(ValueError):
+        tokenizers.load_word_tokenizer("qq")
+    assert one(spark, "a b", lambda t: tokenizers.words_of(t)) == ["a", "b"]
+
+
+def test_fused_chain(spark):
+    from textloom.operators import fused
+
+    good = "\n".join(f"The line number {i} of this text is here and it {chr(97 + i)} has words that stay to the end." for i in range(12))
+    df = spark.createDataFrame([(1, good), (2, "short text only"), (3, None), (4, "\n".join(["the same line is here and again that."] * 20))], "doc_id long, text string")
+    got = {r["doc_id"]: r["reason"] for r in fused.fused_quality(df, drop=False).collect()}
+    assert got == {1: got[1], 2: "quality_short", 3: "empty", 4: "repetition_line"}
+
+
+def test_parts(spark):
+    assert one(spark, "a\n \nb\nc", lambda t: T.split_into_parts(t, "paragraphs")) == ["a\n \n", "b\n", "c"]
+    assert one(spark, "Héllo, 12 Things!", T.simplify_text) == "hello 00 things"

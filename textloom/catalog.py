@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import aggregate as A
 from textloom.operators import content as C
-from textloom.operators import dedup, enrich, metadata, modify, ngram_dedup, relational, repetition, sampling, split, tokenize
+from textloom.operators import dedup, enrich, fused, metadata, modify, ngram_dedup, relational, repetition, sampling, split, tokenize
 from textloom.plans import pipeline, presets
 from textloom.ship import shipped
 
@@ -183,6 +183,10 @@ add("repetition_ngrams", lambda s, d: documents(s, d).select("doc_id", repetitio
 add("massive_web_repetition", lambda s, d: documents(s, d).withColumn("shares", repetition.ngram_shares(F.col("text"))).select("doc_id", F.coalesce(repetition.massive_web_reason(F.col("text"), F.col("shares")), F.lit("kept")).alias("reason")))
 add("gopher_repetition", lambda s, d: documents(s, d).select("doc_id", F.coalesce(repetition.gopher_repetition_reason("text"), F.lit("kept")).alias("reason")))
 
+add("fused_chain", lambda s, d: fused.fused_quality(documents(s, d), drop=False).select("doc_id", F.coalesce("reason", F.lit("kept")).alias("reason")))
+add("fused_chain_counts", lambda s, d: fused.step_table(documents(s, d)))
+add("simplify_text", lambda s, d: documents(s, d).select("doc_id", T.simplify_text(F.col("text"), unicode_accents=False).alias("new_text")), rf"SELECT doc_id, {strip(r'regexp_replace(regexp_replace(regexp_replace(lower(text), ' + chr(39) + r'\p{Nd}' + chr(39) + ', ' + chr(39) + '0' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + '), ' + chr(39) + r'[^\p{L}\p{N}\p{M}\s]' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + '), ' + chr(39) + r'\s+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS new_text FROM documents")
+
 # Modifiers
 rewrite("modify_citations", modify.citation_removal_modifier, r"regexp_replace(text, '\[[0-9]*\]|\[edit\]|\[citation needed\]', '', 'g')")
 rewrite("modify_newlines", lambda t: modify.newline_removal_modifier(t, 1), r"regexp_replace(text, '\n{2,}', chr(10), 'g')")

@@ -120,3 +120,45 @@ NORMALIZERS = {
     "hash_text": F.md5,
     "ccnet_dedup_normalizer": normalize_loose,
 }
+
+
+def split_sentences(c: Column) -> Column:
+    """Sentences by the JVM's breaks, each as its words joined."""
+    return F.transform(F.sentences(c), lambda s: F.array_join(s, " "))
+
+
+def join_sentences(xs: Column, sep: str = " ") -> Column:
+    return F.array_join(xs, sep)
+
+
+def join_paragraphs(xs: Column, sep: str = "\n") -> Column:
+    return F.array_join(xs, sep)
+
+
+def split_into_parts(c: Column, mode: str = "document") -> Column:
+    """document, words, sentences or paragraphs; lines of white space belong to the paragraph before."""
+    if mode == "document":
+        return F.array(c)
+    if mode == "words":
+        return words(c, "uniseg", False)
+    if mode == "sentences":
+        return F.split(c, r"(?<=[.!?…])(?=\s+\p{Lu})")
+    if mode == "paragraphs":
+        return F.split(c, r"(?<=\n)(?=[^\n]*\S)")
+    raise ValueError(f"unknown mode {mode}")
+
+
+def simplify_text(c: Column, lowercase: bool = True, norm_numbers: bool = True, norm_days: bool = False, remove_punctuation: bool = True, norm_whitespace: bool = True, unicode_accents: bool = True) -> Column:
+    """A text for comparisons: lower case, digits as 0, no punctuation, single spaces, no accents on Latin letters."""
+    if lowercase:
+        c = F.lower(c)
+    if norm_numbers:
+        c = F.regexp_replace(c, r"\p{Nd}", "0")
+    if norm_days:
+        c = F.regexp_replace(c, r"(?i)\b(mon|tues|wednes|thurs|fri|satur|sun)day\b", "WEEKDAY")
+        c = F.regexp_replace(c, r"(?i)\b(january|february|march|april|may|june|july|august|september|october|november|december)\b", "MONTH")
+    if remove_punctuation:
+        c = F.regexp_replace(c, r"[^\p{L}\p{N}\p{M}\s]", " ")
+    if norm_whitespace:
+        c = strip(F.regexp_replace(c, r"\s+", " "))
+    return F.translate(c, _FOLD_FROM, _FOLD_TO) if unicode_accents else c

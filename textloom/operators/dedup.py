@@ -21,8 +21,9 @@ def exact_dedup(
 ) -> DataFrame:
     """One row of each content, the first by the selection key (the last with ``selection_reverse``), then by id.
 
-    A list as content loses the elements that other rows (or earlier places) keep; a row left without elements goes. Content is
-    compared by a 128-bit hash, so that only hashes and ids are shuffled; rows are then chosen in a second, skew-free step.
+    Content is compared by a 128-bit hash. Rows meet once, by hash; all but the first of each are dropped in the map tasks
+    already (a window group limit), so that a text with many copies doesn't fill one task. A list as content loses the elements
+    that other rows (or earlier places) keep, by a partial aggregation; a row left without elements goes.
     """
     key = content_key or text_col
     many = df.schema[key].dataType.typeName() == "array"

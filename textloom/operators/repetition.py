@@ -41,14 +41,14 @@ def _grams(ids: np.ndarray, kinds: int, upto: int) -> dict[int, tuple[np.ndarray
     return out
 
 
-def ngram_fractions(words: list[str], upto: int = 10) -> list[float]:
+def ngram_fractions(words: list[str], upto: int = 10, in_bytes: bool = False) -> list[float]:
     """For n = 2, 3, 4 the characters of the most frequent n-gram (the longest of ties), from 5 on those of all words in
     repeated n-grams, as shares of the words' characters. 0 where nothing repeats."""
     if not words:
         return [0.0] * (upto - 1)
     table: dict[str, int] = {}
     ids = np.array([table.setdefault(w, len(table)) for w in words], np.int64)
-    size = np.fromiter(map(len, words), np.int64, len(words))
+    size = np.fromiter((len(w.encode()) for w in words) if in_bytes else map(len, words), np.int64, len(words))
     ends = np.concatenate([[0], np.cumsum(size)])
     out = []
     for n in range(2, upto + 1):
@@ -69,12 +69,12 @@ def ngram_fractions(words: list[str], upto: int = 10) -> list[float]:
     return out
 
 
-def ngram_shares(text: Column) -> Column:
-    """Nine shares a text, for n from 2 to 10."""
+def ngram_shares(text: Column, in_bytes: bool = False) -> Column:
+    """Nine shares a text, for n from 2 to 10; of characters or of UTF-8 bytes."""
 
     @F.arrow_udf("array<double>")
     def run(arr: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else ngram_fractions(_WORD.findall(t)) for t in arr.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([None if t is None else ngram_fractions(_WORD.findall(t), in_bytes=in_bytes) for t in arr.to_pylist()], pa.list_(pa.float64()))
 
     return run(text)
 
