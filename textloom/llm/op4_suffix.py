@@ -27,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays
-from textloom.llm.scratch import Scratch, filed, fresh, keyed
+from textloom.llm.scratch import Scratch, filed, fresh, keyed, sent
 
 LEAST, GRAM = 50, 16
+#: Texts with cuts up to which their cuts are sent to the scan; more are joined by a shuffle.
+SENT_CUTS = 100_000
 
 
 def least_places(h: np.ndarray, first: np.ndarray, least: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -201,6 +203,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = filed(docs, scratch)
     cut = spans(docs, scratch, id_col, text_col, least).filter("cut")
     cut = scratch.table("cuts", cut.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start_char", "end_char"))).alias("cuts")))
+    cut = sent(cut, SENT_CUTS)
     key, cuts, gap = (fresh(docs, c) for c in ("row_key", "cuts", "left"))
     own = keyed(docs, key, scratch, *[F.col(f"`{c}`") for c in docs.columns])
     both = own.join(cut.select(F.col("row_key").alias("cut_key"), F.col("cuts").alias(cuts)), F.col(key) == F.col("cut_key"), "left").drop("cut_key")

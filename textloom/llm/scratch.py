@@ -60,6 +60,15 @@ class Scratch:
         p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+#: Rows of keys up to which a stored table is sent to a scan instead of shuffling the scan's rows to it.
+SENT_KEYS = 1_000_000
+
+
+def sent(stored: DataFrame, most: int = SENT_KEYS) -> DataFrame:
+    """A stored table, to be broadcast if it has at most ``most`` rows; a longer one is joined by a shuffle."""
+    return F.broadcast(stored) if stored.count() <= most else stored
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     have = {c.lower() for c in df.columns}
