@@ -3,14 +3,14 @@
 A text's words are aligned with a template's: words that are unique in both are anchors, the longest increasing subsequence of
 anchors is kept, and the gaps between them are aligned in the same way; a gap without anchors gets the longest common
 subsequence. Coverage is the share of the template's words that are aligned within ``SPREAD`` times its length of consecutive
-text words.
+text words (its own length, for a brief one).
 
 Every text is read whole. A template is tried at each place of a text where a stretch of that length has enough of the
 template's words (counted with their multiplicity), which any stretch with enough coverage has.
 
 Contract: one row for every licence found (doc_id, license, coverage, first_word, last_word), in each text from left to right
-without overlap within a template; last_word is included. A template of up to ``BRIEF`` words must be covered whole, a longer
-one by ``COVERAGE``. Texts without words (null or empty) have none. Repeated rows each get theirs; null ids are carried. An
+without overlap within a template; last_word is included. A template of up to ``BRIEF`` words must be there whole and without
+other words between, a longer one by ``COVERAGE``. Texts without words (null or empty) have none. Repeated rows each get theirs; null ids are carried. An
 empty table gives no rows. Other columns of the input don't matter, whatever their names.
 """
 
@@ -138,7 +138,7 @@ class Scanner:
 
     def _in_text(self, k: int, ids: np.ndarray) -> Iterator[tuple[float, int, int]]:
         words, need, most = self.words[k], self.need[k], self.counts[k]
-        span = ceil(SPREAD * len(words))
+        span = len(words) if len(words) <= BRIEF else ceil(SPREAD * len(words))
         mine = np.flatnonzero((ids >= 0) & (most[ids] > 0))
         last = np.searchsorted(mine, mine + span)  # hits of the stretch that begins at a hit
         at = 0
