@@ -15,7 +15,8 @@ import regex
 import tiktoken
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_KINDS = (r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]")
+PATTERN = "|".join(["'(?:[sdmt]|ll|ve|re)", *(f" ?{k}+" for k in _KINDS), r"\s+(?!\S)", r"\s+"])
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 BLOCK = 1 << 16
 LONG = 100_000
