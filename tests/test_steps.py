@@ -20,7 +20,7 @@ def kept(spark, text, f):
 
 @pytest.mark.parametrize(
     "text, by_line, by_char",
-    [("Hello, World.\nHello, World.\n\nHello", 2 / 3, 26 / 31)],
+    [("Quick, brown!\nQuick, brown!\n\nFoxes", 2 / 3, 26 / 31)],
 )
 def test_line_repetition(spark, text, by_line, by_char):
     assert one(spark, text, lambda t: repetition.segment_fraction(t, "line", False)) == pytest.approx(by_line)
@@ -28,16 +28,16 @@ def test_line_repetition(spark, text, by_line, by_char):
 
 
 def test_paragraph_repetition(spark):
-    text = "Hello, World.\n\nHello, World.\n\nHello, World.\nHello"
+    text = "\n\n".join(["Quick, brown!"] * 3) + "\nFoxes"
     assert one(spark, text, lambda t: repetition.segment_fraction(t, "paragraph", False)) == pytest.approx(2 / 3)
     assert one(spark, text, lambda t: repetition.segment_fraction(t, "paragraph", True)) == pytest.approx(26 / 45)
 
 
 def test_ngram_repetition():
-    words = "hello world hello apple world hello world hello".split()
+    words = "seven eight seven three eight seven eight seven".split()
     assert repetition.ngram_fractions(words)[0] == pytest.approx(30 / 40)
-    assert repetition.ngram_fractions("a b a b a b ab cd ab cd ab cd abc def abc def".split())[0] == pytest.approx(12 / 30)
-    assert repetition.ngram_fractions("hello world hello world hello apple world hello world hello world hello world".split())[3] == pytest.approx(60 / 65)
+    assert repetition.ngram_fractions(["x", "y"] * 3 + ["xy", "zw"] * 3 + ["xyz", "uvw"] * 2)[0] == pytest.approx(12 / 30)
+    assert repetition.ngram_fractions("seven eight seven eight seven three eight seven eight seven eight seven eight".split())[3] == pytest.approx(60 / 65)
     assert repetition.ngram_fractions([]) == [0.0] * 9
 
 
@@ -52,7 +52,7 @@ def test_filters(spark):
     assert kept(spark, "#hashtags #on #every #word", lambda t: content.symbol_ratio_filter(t, 1.0))
     assert not kept(spark, "#hashtags #on #every #word", content.symbol_ratio_filter)
     assert not kept(spark, " ", content.symbol_ratio_filter)
-    text = "This sentence contains <1,000 non-alphabetic w0rd5 within it but >1."
+    text = "One of these eleven or so words is <2,000 and >7."
     assert kept(spark, text, content.alphabetic_word_ratio_filter) and not kept(spark, text, lambda t: content.alphabetic_word_ratio_filter(t, 0.1))
     bullets = "● a\n* b\nc"
     assert kept(spark, bullets, lambda t: content.bullet_count_filter(t, 0.67)) and not kept(spark, bullets, lambda t: content.bullet_count_filter(t, 0.66))
@@ -64,13 +64,13 @@ def test_word_removal(spark):
 
 
 def test_modifiers(spark):
-    lines = "Short line\n\na b c d e f g h i j k\n  There are exactly 10 words present in this line here\nHi"
-    assert one(spark, lines, lambda t: modify.line_length_modifier(t, 2, 10)) == "Short line\n\n  There are exactly 10 words present in this line here"
+    lines = "Two words\n\nk j i h g f e d c b a\n  this one has ten words and that is its end\nNo"
+    assert one(spark, lines, lambda t: modify.line_length_modifier(t, 2, 10)) == "Two words\n\n  this one has ten words and that is its end"
     assert one(spark, "Hello\n\n\n\n\nWorld", modify.newline_removal_modifier) == "Hello\n\nWorld"
     assert one(spark, "Main content\n\\appendix\nmore", modify.arxiv_appendix_modifier) == "Main content\n"
     assert one(spark, "Content before % Comment\nx", modify.arxiv_comment_modifier) == "Content before\nx"
-    macro = "\\newcommand{\\examplemacro}{ExampleValue}\nUse of \\examplemacro here."
-    assert one(spark, macro, modify.arxiv_macro_modifier) == "\\newcommand{ExampleValue}{ExampleValue}\nUse of ExampleValue here."
+    macro = "\\newcommand{\\mac}{Long Name}\nThe \\mac stands."
+    assert one(spark, macro, modify.arxiv_macro_modifier) == "\\newcommand{Long Name}{Long Name}\nThe Long Name stands."
     assert one(spark, "pre \\section*{A} b", modify.arxiv_section_strip_modifier) == "\\section*{A} b"
     assert one(spark, "a\nA \n\n\nb", modify.within_page_dedup) == "a\n\n\nb"
     assert one(spark, "3.2k likes\nreal line", modify.counter_line_modifier) == "real line"
@@ -80,9 +80,9 @@ def test_modifiers(spark):
 
 
 def test_question_format(spark):
-    df = spark.createDataFrame([(("Question 1",), [("Answer 1", 2), ("Answer 2", 1), ("Answer 3", 5)])], "question struct<text:string>, answers array<struct<text:string,score:int>>")
+    df = spark.createDataFrame([(("Why?",), [("Since", 2), ("Maybe", 1), ("So", 5)])], "question struct<text:string>, answers array<struct<text:string,score:int>>")
     out = modify.stackexchange_qa_formatter(modify.stackexchange_answer_sort_modifier(df), remove_qa=True)
-    assert out.first()["text"] == "Q: Question 1\nA: Answer 3\nA: Answer 1\nA: Answer 2"
+    assert out.first()["text"] == "Q: Why?\nA: So\nA: Since\nA: Maybe"
 
 
 def test_repo_split(spark):

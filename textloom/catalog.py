@@ -169,7 +169,7 @@ def gopher_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 add("gopher_quality", gopher_quality, GOPHER_SQL)
 add("gopher_quality_counts", lambda s, d: A.step_counts(documents(s, d), C.gopher_quality_reason(F.col("text"))), f"SELECT reason, count(*) AS pages FROM ({GOPHER_SQL}) GROUP BY reason")
-_c4 = f"list_filter(list_transform(string_split(regexp_replace(text, '\\[\\d*\\]|\\[edit\\]|\\[citation needed\\]', '', 'g'), chr(10)), lambda p: {strip('p')}), lambda x: coalesce(list_max(list_transform({toks('x')}, lambda w: length(w))), 0) <= 1000 AND len({toks('x')}) >= 3 AND NOT contains(lower(x), 'javascript') AND NOT {has('lower(x)', '|'.join(C.POLICY))})"
+_c4 = f"list_filter(list_transform(string_split(regexp_replace(text, '\\[(citation needed|edit|\\d*)\\]', '', 'g'), chr(10)), lambda p: {strip('p')}), lambda x: coalesce(list_max(list_transform({toks('x')}, lambda w: length(w))), 0) <= 1000 AND len({toks('x')}) >= 3 AND NOT contains(lower(x), 'javascript') AND NOT {has('lower(x)', '|'.join(C.POLICY))})"
 rewrite("c4_lines", C.c4_text, f"array_to_string({_c4}, chr(10))")
 add("c4_filter", lambda s, d: C.fineweb_c4_filter(documents(s, d)).select("doc_id", "text"))
 
@@ -188,7 +188,7 @@ add("fused_chain_counts", lambda s, d: fused.step_table(documents(s, d)))
 add("simplify_text", lambda s, d: documents(s, d).select("doc_id", T.simplify_text(F.col("text"), unicode_accents=False).alias("new_text")), rf"SELECT doc_id, {strip(r'regexp_replace(regexp_replace(regexp_replace(lower(text), ' + chr(39) + r'\p{Nd}' + chr(39) + ', ' + chr(39) + '0' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + '), ' + chr(39) + r'[^\p{L}\p{N}\p{M}\s]' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + '), ' + chr(39) + r'\s+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS new_text FROM documents")
 
 # Modifiers
-rewrite("modify_citations", modify.citation_removal_modifier, r"regexp_replace(text, '\[[0-9]*\]|\[edit\]|\[citation needed\]', '', 'g')")
+rewrite("modify_citations", modify.citation_removal_modifier, f"regexp_replace(text, '{modify.CITATION}', '', 'g')")
 rewrite("modify_newlines", lambda t: modify.newline_removal_modifier(t, 1), r"regexp_replace(text, '\n{2,}', chr(10), 'g')")
 rewrite("modify_punctuation_lines", lambda t: modify.punctuation_line_modifier(t, True), lines_where(rf"(x = '' OR {has('x', r'[.!?' + chr(34) + r'…]\s*\z')}) AND NOT {has('x', r'(\.\.\.|…)\s*\z')}"))
 rewrite("modify_line_length", lambda t: modify.line_length_modifier(t, 5, 200), lines_where(f"x = '' OR len({toks('x')}) BETWEEN 5 AND 200"))
@@ -202,7 +202,7 @@ add("modify_short_lines", lambda s, d: documents(s, d).select("doc_id", modify.s
 rewrite("modify_within_page_dedup", modify.within_page_dedup, f"array_to_string(list_filter(list_transform({rows('text')}, lambda x, i: [x, CASE WHEN {strip('x')} = '' OR list_position(list_transform({rows('text')}, lambda y: lower({strip('y')})), lower({strip('x')})) = i THEN 'y' ELSE 'n' END]), lambda p: p[2] = 'y').list_transform(lambda p: p[1]), chr(10))")
 rewrite("modify_phone", lambda t: F.regexp_replace(t, modify.PHONE, ""), f"regexp_replace(text, '{modify.PHONE}', '', 'g')")
 rewrite("modify_email_and_phone", modify.email_and_phone_removal_modifier, f"regexp_replace(regexp_replace(text, '{(chr(92) + 'b' + modify.EMAIL).replace(chr(39), chr(39) * 2)}', '', 'g'), '{modify.PHONE}', '', 'g')")
-rewrite("modify_urls", modify.url_removal_modifier, rf"regexp_replace(regexp_replace(text, '\s{{0,10}}((https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{{1,256}}\.({'|'.join(modify.TLDS)})\b[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g'), '\s{{0,10}}\b((https?|ftp)://)?([0-2]?[0-9]{{1,2}}\.){{3}}[0-2]?[0-9]{{1,2}}[-a-zA-Z0-9()@:%_+.~#?&/=]*', '', 'g')")
+rewrite("modify_urls", modify.url_removal_modifier, f"regexp_replace(regexp_replace(text, '{modify.web_address()}', '', 'g'), '{modify.IPV4}', '', 'g')")
 _script = f"(contains(lower({strip('x')}), 'javascript') AND {has('lower(x)', 'enable|disable|require|activate|browser')})"
 rewrite("modify_line_removal", modify.line_removal, lines_where(f"NOT ({strip('x')} = '' OR len({toks('x')}) < 2 OR {_script} OR {has('lower(x)', '|'.join(modify.POLICY))} OR {found('x', chr(92) + 'p{Lu}')} > 0.99 * length(x) OR {has('lower(' + strip('x') + ')', '^[0-9]+' + chr(92) + 'z')} OR {has('lower(' + strip('x') + ')', modify.COUNTER.replace(chr(92) + 'A', '^'))})"))
 add("bad_words_hits", lambda s, d: modify.bad_words_hits(documents(s, d), MOST_BAD), rf"SELECT count(*) AS documents, sum(regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])(casino|the|und)([^\p{{L}}\p{{N}}_]|$)')::bigint)::bigint AS hits FROM documents")

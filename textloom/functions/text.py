@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -156,7 +158,7 @@ def simplify_text(c: Column, lowercase: bool = True, norm_numbers: bool = True,
         c = F.regexp_replace(c, r"\p{Nd}", "0")
     if norm_days:
         c = F.regexp_replace(c, r"(?i)\b(mon|tues|wednes|thurs|fri|satur|sun)day\b", "WEEKDAY")
-        c = F.regexp_replace(c, r"(?i)\b(january|february|march|april|may|june|july|august|september|october|november|december)\b", "MONTH")
+        c = F.regexp_replace(c, rf"(?i)\b({'|'.join(calendar.month_name[1:])})\b", "MONTH")
     if remove_punctuation:
         c = F.regexp_replace(c, r"[^\p{L}\p{N}\p{M}\s]", " ")
     if norm_whitespace:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.registry import computed, step
 
-STOP_WORDS = ("the", "be", "to", "of", "and", "that", "have", "with")
+STOP_WORDS = ("and", "be", "have", "of", "that", "the", "to", "with")
 BULLETS = "[●•*-]"
 CODE_EXTENSIONS = (".py", ".java", ".c", ".cpp", ".h", ".js", ".ts", ".go", ".rs", ".rb", ".php", ".scala", ".sh", ".md", ".sql", ".html", ".css")
-POLICY = ("terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies")
+POLICY = ("cookie policy", "use cookies", "use of cookies", "uses cookies", "privacy policy", "terms of use")
 
 
 @step("filter")
@@ -197,7 +197,7 @@ def fineweb_gopher_quality_filter(text: Column, **kw) -> Column:
 
 def c4_text(text: Column, remove_citations: bool = True, filter_no_terminal_punct: bool = False, min_words_per_line: int = 3, max_word_length: int = 1000, filter_javascript: bool = True, filter_policy: bool = True) -> Column:
     """The lines that pass the line rules, joined."""
-    cites = r"\[\d*\]|\[edit\]|\[citation needed\]"
+    cites = r"\[(citation needed|edit|\d*)\]"
     ls = T.lines(F.regexp_replace(text, cites, "") if remove_citations else text)
     ls = F.filter(F.transform(ls, T.strip), lambda x: ~F.exists(T.tokens(x), lambda w: F.length(w) > max_word_length))
     if filter_no_terminal_punct:

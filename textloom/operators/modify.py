@@ -12,12 +12,22 @@ from textloom.functions import text as T
 from textloom.operators.content import POLICY
 from textloom.registry import computed, step
 
-COUNTER = r"\A[^\p{L}\p{N}_]*[0-9][0-9.,]*[kmb]?\s+(likes|shares|comments|retweets|reposts|quotes|bookmarks|upvotes|downvotes|downloads|views|followers)[^\p{L}\p{N}_]*\z"
+COUNTED = "bookmarks|comments|downloads|downvotes|followers|likes|quotes|reposts|retweets|shares|upvotes|views"
+COUNTER = rf"\A[^\p{{L}}\p{{N}}_]*[0-9][0-9.,]*[kmb]?\s+({COUNTED})[^\p{{L}}\p{{N}}_]*\z"
 TLDS = ("com", "org", "net", "edu", "gov", "io", "info", "de", "fr", "es", "uk", "eu", "co", "dev", "app")
-EMAIL = r"[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+(\.[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+)*@([A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?"
+CITATION = r"\[([0-9]*|citation needed|edit)\]"
+_ATOM, _HOST = "[a-zA-Z0-9_!#$%&'*/=?^`{|}~+-]+", "[0-9a-zA-Z]([0-9a-zA-Z-]*[0-9a-zA-Z])?"
+EMAIL = rf"{_ATOM}(\.{_ATOM})*@({_HOST}\.)+{_HOST}"
+_SCHEME, _REST = "(ftp://|http://|https://)?", "[a-zA-Z0-9@:%~#?&/=().,_+-]*"
+IPV4 = rf"\s{{0,10}}\b{_SCHEME}([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}{_REST}"
 PHONE = r"(\+[0-9]{1,3}[\s-]?[0-9]{3}[\s.-]?[0-9]{3,4}[\s.-]?[0-9]{4}|[0-9]{3}[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}|\b[0-9]{7,}\b)\b"
 
 
+def web_address(tlds: list[str] = TLDS) -> str:
+    ends = "|".join(re.escape(t.lstrip(".")) for t in tlds)
+    return rf"\s{{0,10}}{_SCHEME}[a-zA-Z0-9@:%.~#=_+-]{{1,256}}\.({ends})\b{_REST}"
+
+
 def _lines_where(text: Column, keep, trim: bool = False) -> Column:
     joined = F.array_join(F.filter(T.lines(text), keep), "\n")
     return T.strip(joined) if trim else joined
@@ -26,7 +36,7 @@ def _lines_where(text: Column, keep, trim: bool = False) -> Column:
 # LaTeX
 @step("modifier")
 def arxiv_appendix_modifier(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)(\\appendix|\\begin\{references\}|\\begin\{REFERENCES\}|\\begin\{thebibliography\}|\\bibliography\{.*?\}).*\z", "")
+    return F.regexp_replace(text, r"(?s)\\(begin\{(references|thebibliography|REFERENCES)\}|bibliography\{.*?\}|appendix).*\z", "")
 
 
 @step("modifier")
@@ -36,8 +46,9 @@ def arxiv_comment_modifier(text: Column, remove_multiline: bool = False) -> Colu
     return F.regexp_replace(x, r"(?s)\\begin\{comment\}.*?\\end\{comment\}", "") if remove_multiline else x
 
 
-_NEWCOMMAND = re.compile(r"\\newcommand\b\*?\{(\\[a-zA-Z0-9]+?)\}\{(.*?)\}$", re.M)
-_DEF = re.compile(r"\\def\s*(\\[a-zA-Z0-9]+?)\s*\{(.*?)\}$", re.M)
+_NAME, _VALUE = r"(\\[0-9A-Za-z]+)", r"\{(.*?)\}[ \t]*$"
+_NEWCOMMAND = re.compile(rf"\\newcommand\*?\{{{_NAME}\}}{_VALUE}", re.M)
+_DEF = re.compile(rf"\\def[ \t]*{_NAME}[ \t]*{_VALUE}", re.M)
 
 
 def expand_macros(text: str) -> str:
@@ -203,15 +214,13 @@ def numeric_ratio_line_modifier(text: Column, max_ratio: float = 1.0) -> Column:
 
 @step("modifier")
 def citation_removal_modifier(text: Column) -> Column:
-    return F.regexp_replace(text, r"\[[0-9]*\]|\[edit\]|\[citation needed\]", "")
+    return F.regexp_replace(text, CITATION, "")
 
 
 @step("modifier")
 def url_removal_modifier(text: Column, tlds: list[str] = TLDS) -> Column:
     """Web addresses under the given top-level domains, and IPv4 addresses, with the white space before them."""
-    ends = "|".join(re.escape(t.lstrip(".")) for t in tlds)
-    web = rf"\s{{0,10}}((https?|ftp)://)?[-a-zA-Z0-9@:%._+~#=]{{1,256}}\.({ends})\b[-a-zA-Z0-9()@:%_+.~#?&/=]*"
-    return F.regexp_replace(F.regexp_replace(text, web, ""), r"\s{0,10}\b((https?|ftp)://)?([0-2]?[0-9]{1,2}\.){3}[0-2]?[0-9]{1,2}[-a-zA-Z0-9()@:%_+.~#?&/=]*", "")
+    return F.regexp_replace(F.regexp_replace(text, web_address(tlds), ""), IPV4, "")
 
 
 @step("modifier")
@@ -281,7 +290,7 @@ def line_removal(text: Column, max_uppercase_ratio: float = 0.99, min_word_cnt_p
 
 
 @step("global")
-def line_removal_modifier(df: DataFrame, text_col: str = "text", max_removed_ratio: float = -1, max_uppercase_ratio: float = 0.99, min_word_cnt_per_line: int = 2) -> DataFrame:
+def line_removal_modifier(df: DataFrame, text_col: str = "text", min_word_cnt_per_line: int = 2, max_uppercase_ratio: float = 0.99, max_removed_ratio: float = -1) -> DataFrame:
     """Drops poor lines; a text that loses more than ``max_removed_ratio`` of its words, or everything, goes."""
     text = F.col(text_col)
     out = computed(df, "_new", line_removal(text, max_uppercase_ratio, min_word_cnt_per_line), drop_empty=True)

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SCALE = {"K": 1e3, "M": 1e6, "B": 1e9, "T": 1e12}
+_SCALE = {unit: 1000.0 ** (i + 1) for i, unit in enumerate("KMBT")}
 _COMPARE = {">=": "__ge__", "<=": "__le__", ">": "__gt__", "<": "__lt__"}
 
 

@@ -109,17 +109,16 @@ def massive_web_repetition_filters(text: Column, skip_paragraph: bool = False, u
     return massive_web_reason(text, shares, skip_paragraph).isNull()
 
 
-def greedy_duplicates(words: list[str], n: int) -> int:
-    """Characters of n-grams met before, moving on by n words after each."""
-    seen, chars, at = set(), 0, 0
-    while at <= len(words) - n:
-        gram = "".join(words[at : at + n])
-        if gram in seen:
-            chars += len(gram)
-            at += n
-        else:
-            seen.add(gram)
-            at += 1
+def greedy_duplicates(found: list[str], size: int) -> int:
+    """Characters of runs of ``size`` words met before, moving on behind each."""
+    seen: set[tuple[str, ...]] = set()
+    chars = at = 0
+    while at + size <= len(found):
+        run = tuple(found[at : at + size])
+        again = run in seen
+        seen.add(run)
+        chars += again * sum(map(len, run))
+        at += size if again else 1
     return chars
 
 
@@ -137,8 +136,8 @@ def gopher_repetition(text: str) -> str | None:
             return f"dup_{name}_char_frac"
     words = _WORD.findall(text)
     for n, most in TOP.items():
-        grams = Counter(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
-        if grams and (top := grams.most_common(1)[0])[1] > 1 and len(top[0]) * top[1] / len(text) > most:
+        grams = Counter(zip(*(words[k:] for k in range(n))))
+        if grams and (top := grams.most_common(1)[0])[1] > 1 and len(" ".join(top[0])) * top[1] / len(text) > most:
             return f"top_{n}_gram"
     for n, most in ALL.items():
         if greedy_duplicates(words, n) / len(text) > most:

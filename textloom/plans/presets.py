@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-POLICY_LINES = ["terms of use", "privacy policy", "cookie policy", "uses cookies", "use of cookies", "use cookies"]
+from textloom.operators.content import POLICY
+
+POLICY_LINES = list(POLICY)
 BAD_WORDS = ["casino", "viagra", "xxx"]
 URL_WORDS = ["casino", "porn", "xxx"]
 
