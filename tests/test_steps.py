@@ -280,3 +280,43 @@ def test_fused_chain(spark):
 def test_parts(spark):
     assert one(spark, "a\n \nb\nc", lambda t: T.split_into_parts(t, "paragraphs")) == ["a\n \n", "b\n", "c"]
     assert one(spark, "Héllo, 12 Things!", T.simplify_text) == "hello 00 things"
+
+
+def test_user_mappers(spark):
+    from textloom.registry import map_pages
+
+    df = spark.createDataFrame([("a b", 1), (None, 2), ("c", 3)], "text string, n int")
+    split_ = lambda page: [{**page, "text": w} for w in page["text"].split()]
+    assert sorted(tuple(r) for r in map_pages(df, split_).collect()) == [("a", 1), ("b", 1), ("c", 3)]
+    assert map_pages(df, lambda least: (lambda page: [page] if page["n"] >= least else []), factory=True, least=2).count() == 2
+
+
+def test_aggregate_hook(spark):
+    found = {}
+    df = spark.createDataFrame([("a b",), ("a b c",), ("d e",)], "text string")
+    pipeline.run(df, [{"func": "word_counter_enricher", "_aggregate": {"key": "word_count", "type": "percentiles"}}], aggregates=found)
+    assert found["0_word_counter_enricher"].first()["max"] == 3
+
+
+def test_storage_and_chunks(spark, tmp_path):
+    import tarfile
+
+    from textloom.plans import tasks
+    from textloom.sources import storage
+
+    df = spark.createDataFrame([(i, "s", f"w{i} x") for i in range(6)], "doc_id long, source string, text string")
+    chunks = tokenize.shuffle_chunks(tokenize.contexts(tokenize.with_tokens(df, bos=9), seqlen=5), chunk=2, cells=1)
+    made = storage.write_files(storage.tar_chunks(chunks), str(tmp_path / "tars")).collect()
+    assert sum(len(tarfile.open(tmp_path / "tars" / r["name"]).getnames()) for r in made) == chunks.count()
+    assert storage.exists(spark, str(tmp_path / "tars")) and len(storage.list_dir(spark, str(tmp_path / "tars"))) >= len(made)
+    assert storage.size(spark, str(tmp_path / "tars")) >= sum(r["bytes"] for r in made)
+    assert tasks.dataset_card("n", "http://x/y", tokenize.manifest(chunks), seqlen=5)["num_tokens"] == 5 * chunks.count()
+    assert storage.delete(spark, str(tmp_path / "tars")) and not storage.exists(spark, str(tmp_path / "tars"))
+    todo = tasks.tasks(spark, ["a/b/1", "a/b/2", "a/b/3", "a/c/1"], chunk=2)
+    assert sorted(len(r["files"]) for r in todo.collect()) == [1, 1, 2]
+    assert tasks.left_over(todo, todo.limit(1)).count() == 2
+
+
+def test_vocabulary_file(spark):
+    ids = one(spark, "hello there", lambda t: tokenize.file_tokens(t, "/opt/tokenizers/byte_bpe_50k.json"))
+    assert len(ids) >= 2

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +18,29 @@ def hashed_ids(text: Column, vocabulary: int = VOCABULARY) -> Column:
     return F.transform(T.tokens(text), lambda w: (F.pmod(F.crc32(w.cast("binary")), F.lit(vocabulary - 1)) + 1).cast("int"))
 
 
-def with_tokens(df: DataFrame, text_col: str = "text", encode: Callable[[Column], Column] = hashed_ids, eot: int = EOT) -> DataFrame:
-    """Adds ``tokens``, each text's ids and an end-of-text."""
-    return df.withColumn("tokens", F.concat(encode(F.col(text_col)), F.array(F.lit(eot))))
+def with_tokens(df: DataFrame, text_col: str = "text", encode: Callable[[Column], Column] = hashed_ids, eot: int = EOT, bos: int | None = None) -> DataFrame:
+    """Adds ``tokens``, each text's ids and an end-of-text, after a begin-of-text where one is given."""
+    ids = F.concat(F.coalesce(encode(F.col(text_col)), F.array().cast("array<int>")), F.array(F.lit(eot)))
+    return df.withColumn("tokens", ids if bos is None else F.concat(F.array(F.lit(bos)), ids))
+
+
+def file_tokens(text: Column, path: str) -> Column:
+    """Ids by a public vocabulary file (JSON of the ``tokenizers`` library), read once a worker."""
+
+    @F.arrow_udf("array<int>")
+    def run(arr: pa.Array) -> pa.Array:
+        from tokenizers import Tokenizer
+
+        if path not in _loaded:
+            _loaded[path] = Tokenizer.from_file(path)
+        known = _loaded[path]
+        got = known.encode_batch([t or "" for t in arr.to_pylist()], add_special_tokens=False)
+        return pa.array([g.ids for g in got], pa.list_(pa.int32()))
+
+    return run(text)
+
+
+_loaded: dict = {}
 
 
 def contexts(df: DataFrame, seqlen: int = 2049, key: str = "source", id_col: str = "doc_id", pad: int = VOCABULARY + 2) -> DataFrame:

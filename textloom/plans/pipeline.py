@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from textloom.operators import aggregate
 from textloom.registry import load
 
 
@@ -22,8 +23,22 @@ def read(path: str) -> dict[str, list]:
     return parse(Path(path).read_text())
 
 
-def run(df: DataFrame, steps: list, text_col: str = "text", annotate: bool = False, stats: bool = False) -> tuple[DataFrame, list[tuple[str, Observation]]]:
-    """The plan of the steps, and with ``stats`` an observation of the rows after each (filled when the plan runs)."""
+AGGREGATORS = {"percentiles": aggregate.percentiles, "histogram": aggregate.histogram}
+
+
+def aggregated(df: DataFrame, key: str, how: dict) -> DataFrame:
+    """The aggregate of a step's column; a map column becomes its likeliest key by ``transform``'s threshold first."""
+    value = F.col(f"`{key}`")
+    if "transform" in how:
+        value = aggregate.threshold_transform(value, how["transform"].get("threshold", 0.0), how["transform"].get("default", "other"))
+    return AGGREGATORS[how["type"]](df.select(value.alias("value")), "value")
+
+
+def run(df: DataFrame, steps: list, text_col: str = "text", annotate: bool = False, stats: bool = False, aggregates: dict | None = None) -> tuple[DataFrame, list[tuple[str, Observation]]]:
+    """The plan of the steps, and with ``stats`` an observation of the rows after each (filled when the plan runs).
+
+    A step with ``_aggregate`` ({"key", "type"[, "transform"]}) puts a DataFrame of its aggregate into ``aggregates``.
+    """
     seen: list[tuple[str, Observation]] = []
 
     def look(df: DataFrame, name: str) -> DataFrame:
@@ -41,7 +56,10 @@ def run(df: DataFrame, steps: list, text_col: str = "text", annotate: bool = Fal
             continue
         s = {"func": s} if isinstance(s, str) else dict(s)
         name = s.pop("func")
+        how = s.pop("_aggregate", None)
         df = look(load(name).apply(df, text_col=text_col, annotate=annotate, **s), name)
+        if how and aggregates is not None:
+            aggregates[f"{len(aggregates)}_{name}"] = aggregated(df, how["key"], how)
     return df, seen
 
 

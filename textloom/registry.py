@@ -71,6 +71,33 @@ def step(kind: str, name: str | None = None, drop_empty: bool = True):
     return add
 
 
+def map_pages(df: DataFrame, make: Callable, schema=None, factory: bool = False, safe: bool = True, **kw) -> DataFrame:
+    """A user's mapper from a page (a dict) to a list of pages, in batches.
+
+    With ``factory`` ``make(**kw)`` is called once a task and gives the mapper. A page on which it fails is dropped where ``safe``
+    holds; null fields are absent keys, keys outside the schema are lost.
+    """
+    import pandas as pd
+    from pyspark.sql.types import StructType
+
+    out = df.schema if schema is None else StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = out.names
+
+    def run(batches):
+        f = make(**kw) if factory else lambda page: make(page, **kw)
+        for pdf in batches:
+            got = []
+            for page in pdf.to_dict("records"):
+                try:
+                    got += f({k: v for k, v in page.items() if v is not None})
+                except Exception:
+                    if not safe:
+                        raise
+            yield pd.DataFrame([[p.get(n) for n in names] for p in got], columns=names, dtype=object)
+
+    return df.mapInPandas(run, out)
+
+
 def load(name: str) -> Step:
     """A step by name, or by dotted path ``package.module.function`` for a user's own."""
     for m in ("metadata", "content", "repetition", "modify", "enrich", "split", "dedup", "ngram_dedup"):
