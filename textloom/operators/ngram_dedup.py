@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
+from textloom.functions.lineage import cut
 from textloom.registry import step
 
 UNIT_BITS = 20
@@ -53,9 +54,9 @@ def unit_shares(units: DataFrame, low: int, high: int, threshold: float, rounds:
 
     out = judge(first)
     for _ in range(rounds - 1 if known is None else 0):
-        before = out = out.checkpoint()
+        before = out = cut(out)
         alive = grams.join(before.filter("gone").select("pos"), "pos", "left_anti")
-        out = judge(alive.groupBy("gram").agg(F.min("pos").alias("first"))).checkpoint()
+        out = cut(judge(alive.groupBy("gram").agg(F.min("pos").alias("first"))))
         if out.select("pos", "gone").exceptAll(before.select("pos", "gone")).limit(1).count() == 0:
             break
     return out

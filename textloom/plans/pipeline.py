@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from textloom.functions.lineage import cut
 from textloom.operators import aggregate
 from textloom.registry import load
 
@@ -52,7 +53,7 @@ def run(df: DataFrame, steps: list, text_col: str = "text", annotate: bool = Fal
     df = look(df, "input")
     for s in steps:
         if s == "commit":
-            df = df.checkpoint()
+            df = cut(df)
             continue
         s = {"func": s} if isinstance(s, str) else dict(s)
         name = s.pop("func")
