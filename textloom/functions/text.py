@@ -11,6 +11,11 @@ PUNCT = r"[^\p{L}\p{N}]"
 TERMINAL = "[.!?\"'…。！？؟۔।॥⁇-⁉‼‽”｡﹒﹖﹗]\\z"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a column used within lambdas is else computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"\A\s+|\s+\z", "")
 
@@ -58,7 +63,10 @@ def n_sentences(c: Column) -> Column:
 
 
 def ngrams(ws: Column, n: int) -> Column:
-    return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.array_join(F.slice(ws, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    def runs(ws: Column) -> Column:
+        return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.array_join(F.slice(ws, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return let(ws, runs)
 
 
 def total(xs: Column, of=F.length) -> Column:

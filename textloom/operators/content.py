@@ -172,22 +172,26 @@ def fineweb_quality_filter(text: Column, **kw) -> Column:
 
 def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words: int = 100_000, min_avg_word_length: float = 3, max_avg_word_length: float = 10, max_symbol_word_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, max_non_alpha_words_ratio: float = 0.8, min_stop_words: int = 2, model: str = "split") -> Column:
     """Null for a text that passes, else the name of the first rule that fails; words of punctuation alone aren't counted."""
-    ws = T.words(text, model, False)
-    real = F.filter(ws, lambda w: w.rlike(r"[\p{L}\p{N}]"))
-    n, mean, ls = F.size(real), T.mean_length(real), T.paragraphs(text)
-    some = F.greatest(F.size(ls), F.lit(1))
-    return (
-        F.when(n < min_doc_words, "gopher_short_doc")
-        .when(n > max_doc_words, "gopher_long_doc")
-        .when(mean < min_avg_word_length, "gopher_below_avg_threshold")
-        .when(mean > max_avg_word_length, "gopher_above_avg_threshold")
-        .when(T.count_of(text, "#") / n > max_symbol_word_ratio, "gopher_too_many_hashes")
-        .when(T.count_of(text, r"\.\.\.|…") / n > max_symbol_word_ratio, "gopher_too_many_ellipsis")
-        .when(F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) / some > max_bullet_lines_ratio, "gopher_too_many_bullets")
-        .when(F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\z"))) / some > max_ellipsis_lines_ratio, "gopher_too_many_end_ellipsis")
-        .when(F.size(F.filter(real, lambda w: w.rlike(r"\p{L}"))) / n < max_non_alpha_words_ratio, "gopher_below_alpha_threshold")
-        .when(F.size(F.array_intersect(ws, F.array(*map(F.lit, STOP_WORDS)))) < min_stop_words, "gopher_enough_stop_words")
-    )
+
+    def rules(ws: Column, real: Column, ls: Column) -> Column:
+        n, mean, some = F.size(real), T.mean_length(real), F.greatest(F.size(ls), F.lit(1))
+        return (
+            F.when(n < min_doc_words, "gopher_short_doc")
+            .when(n > max_doc_words, "gopher_long_doc")
+            .when(mean < min_avg_word_length, "gopher_below_avg_threshold")
+            .when(mean > max_avg_word_length, "gopher_above_avg_threshold")
+            .when(T.count_of(text, "#") / n > max_symbol_word_ratio, "gopher_too_many_hashes")
+            .when(T.count_of(text, r"\.\.\.|…") / n > max_symbol_word_ratio, "gopher_too_many_ellipsis")
+            .when(F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) / some > max_bullet_lines_ratio, "gopher_too_many_bullets")
+            .when(F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\z"))) / some > max_ellipsis_lines_ratio, "gopher_too_many_end_ellipsis")
+            .when(F.size(F.filter(real, lambda w: w.rlike(r"\p{L}"))) / n < max_non_alpha_words_ratio, "gopher_below_alpha_threshold")
+            .when(F.size(F.array_intersect(ws, F.array(*map(F.lit, STOP_WORDS)))) < min_stop_words, "gopher_enough_stop_words")
+        )
+
+    def lines_of(ws: Column, real: Column) -> Column:
+        return T.let(T.paragraphs(text), lambda ls: rules(ws, real, ls))
+
+    return T.let(T.words(text, model, False), lambda ws: T.let(F.filter(ws, lambda w: w.rlike(r"[\p{L}\p{N}]")), lambda real: lines_of(ws, real)))
 
 
 @step("filter")

@@ -29,15 +29,19 @@ def word_counter_enricher(text: Column, key: str = "word_count", ignore_punctuat
 
 def language_shares(text: Column) -> Column:
     """Map of language to its share of the text's frequent words; empty for a text without any."""
-    ws = F.transform(T.tokens(F.lower(text)), lambda w: F.regexp_replace(w, r"[^\p{L}]", ""))
 
-    def hits_of(known: list[str]) -> Column:
-        return F.size(F.filter(ws, lambda w: w.isin(known))).cast("double")
+    def shares(ws: Column) -> Column:
+        def hits_of(known: list[str]) -> Column:
+            return F.size(F.filter(ws, lambda w: w.isin(known))).cast("double")
+
+        return F.array(*[F.struct(F.lit(k).alias("k"), hits_of(v).alias("n")) for k, v in LANGUAGE_WORDS.items()])
 
-    hits = F.array(*[F.struct(F.lit(k).alias("k"), hits_of(v).alias("n")) for k, v in LANGUAGE_WORDS.items()])
-    total = F.aggregate(hits, F.lit(0.0), lambda a, x: a + x["n"])
-    found = F.filter(hits, lambda x: x["n"] > 0)
-    return F.map_from_entries(F.transform(found, lambda x: F.struct(x["k"].alias("key"), F.round(x["n"] / total, 6).alias("value"))))
+    def entries(hits: Column, total: Column) -> Column:
+        return F.transform(F.filter(hits, lambda x: x["n"] > 0), lambda x: F.struct(x["k"].alias("key"), F.round(x["n"] / total, 6).alias("value")))
+
+    ws = F.transform(T.tokens(F.lower(text)), lambda w: F.regexp_replace(w, r"[^\p{L}]", ""))
+    found = T.let(T.let(ws, shares), lambda hits: T.let(F.aggregate(hits, F.lit(0.0), lambda a, x: a + x["n"]), lambda total: entries(hits, total)))
+    return F.map_from_entries(found)
 
 
 @step("enricher")
@@ -49,16 +53,18 @@ def detect_lang_whole_page_enricher(text: Column, key: str = "language_id", mode
 @step("enricher")
 def detect_lang_paragraph_enricher(text: Column, key: str = "language_id_paragraph", overwrite: bool = False):
     """Map of language to (average probability, number) of the lines for which it is the most likely."""
-    top = lambda m: F.array_max(F.transform(F.map_entries(m), lambda e: F.struct(e["value"].alias("p"), e["key"].alias("k"))))
+    def top(m: Column) -> Column:
+        return F.array_max(F.transform(F.map_entries(m), lambda e: F.struct(e["value"].alias("p"), e["key"].alias("k"))))
+
     best = F.filter(F.transform(T.paragraphs(text), lambda x: top(language_shares(x))), lambda b: b.isNotNull())
-    langs = F.array_distinct(F.transform(best, lambda b: b["k"]))
 
-    def entry(k: Column) -> Column:
+    def entry(best: Column, k: Column) -> Column:
         own = F.filter(best, lambda b: b["k"] == k)
         mean = F.aggregate(own, F.lit(0.0), lambda a, b: a + b["p"]) / F.size(own)
         return F.struct(k.alias("key"), F.struct(F.round(mean, 6).alias("average_probability"), F.size(own).cast("long").alias("number_of_sentences")).alias("value"))
 
-    return key, F.map_from_entries(F.transform(langs, entry)), overwrite
+    found = T.let(best, lambda best: F.transform(F.array_distinct(F.transform(best, lambda b: b["k"])), lambda k: entry(best, k)))
+    return key, F.map_from_entries(found), overwrite
 
 
 def top_language(langs: Column, threshold: float = 0.0, default: str = "en") -> Column:

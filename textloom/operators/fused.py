@@ -27,7 +27,10 @@ def repeated_share(parts: Column, by_bytes: bool) -> Column:
 
 def fused_reason(text: Column, ws: Column, shares: Column) -> Column:
     """First failure of a text with its words and n-gram shares, null for none."""
-    ls, ps = T.paragraphs(text), T.paragraphs(text, "\\n\\n")
+    return T.let(T.paragraphs(text), lambda ls: T.let(T.paragraphs(text, "\\n\\n"), lambda ps: _first_failure(text, ws, shares, ls, ps)))
+
+
+def _first_failure(text: Column, ws: Column, shares: Column, ls: Column, ps: Column) -> Column:
     why = F.when(F.size(ws) == 0, "empty")
     for parts, name in ((ls, "line"), (ps, "paragraph")):
         why = why.when(repeated_share(parts, False) > 0.3, f"repetition_{name}").when(repeated_share(parts, True) > 0.2, f"repetition_{name}_bytes")

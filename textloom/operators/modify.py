@@ -173,16 +173,21 @@ def substring_line_modifier(text: Column, banlist: list[str], case_sensitive: bo
 @step("modifier")
 def short_line_modifier(text: Column, line_ratio: float = 1 / 3, edge_words: int = 5, middle_words: int = 2) -> Column:
     """In each third a short line stays only before a long one or at the third's end."""
-    ls = F.filter(T.lines(text), lambda x: T.strip(x) != "")
-    n, a = F.size(ls), F.floor(F.size(ls) * line_ratio).cast("int")
-    b = n - a
 
-    def stays(x: Column, i: Column) -> Column:
-        most = F.when((i < a) | (i >= b), edge_words).otherwise(middle_words)
-        last = (i + 1 == n) | (i + 1 == a) | (i + 1 == b)
-        return (F.size(T.tokens(x)) > most) | last | F.coalesce(F.size(T.tokens(F.get(ls, i + 1))) > most, F.lit(False))
+    def chosen(ls: Column, sizes: Column) -> Column:
+        n, a = F.size(ls), F.floor(F.size(ls) * line_ratio).cast("int")
+        b = n - a
 
-    return T.strip(F.array_join(F.filter(ls, stays), "\n"))
+        def stays(x: Column, i: Column) -> Column:
+            most = F.when((i < a) | (i >= b), edge_words).otherwise(middle_words)
+            last = (i + 1 == n) | (i + 1 == a) | (i + 1 == b)
+            return (F.get(sizes, i) > most) | last | F.coalesce(F.get(sizes, i + 1) > most, F.lit(False))
+
+        return F.filter(ls, stays)
+
+    full = F.filter(T.lines(text), lambda x: T.strip(x) != "")
+    kept = T.let(full, lambda ls: T.let(F.transform(ls, lambda x: F.size(T.tokens(x))), lambda sizes: chosen(ls, sizes)))
+    return T.strip(F.array_join(kept, "\n"))
 
 
 @step("modifier")
@@ -256,7 +261,12 @@ def within_page_dedup(text: Column, granularity: str = "line", normalize: bool =
     sep = "\n" if granularity == "line" else "\n\n"
     parts = F.split(text, sep.replace("\n", "\\n"))
     keys = F.transform(parts, lambda x: F.lower(T.strip(x))) if normalize else parts
-    return F.array_join(F.filter(parts, lambda x, i: (F.get(keys, i) == "") | (F.array_position(keys, F.get(keys, i)) == i + 1)), sep)
+
+    def first(ks: Column) -> Column:
+        firsts = F.map_from_entries(F.transform(F.array_distinct(ks), lambda k: F.struct(k.alias("key"), F.array_position(ks, k).alias("value"))))
+        return T.let(firsts, lambda m: F.filter(parts, lambda x, i: (F.get(ks, i) == "") | (m[F.get(ks, i)] == i + 1)))
+
+    return F.array_join(T.let(keys, first), sep)
 
 
 @step("modifier", drop_empty=False)

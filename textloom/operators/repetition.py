@@ -22,12 +22,12 @@ SEGMENTS = (("line", 0.3, False), ("paragraph", 0.3, False), ("line", 0.2, True)
 def segment_fraction(text: Column, granularity: str = "line", count_characters: bool = True, ignore_case: bool = False) -> Column:
     """Share of lines or paragraphs (or of their characters) that occur more than once, all copies counted; null without any."""
     parts = T.paragraphs(F.lower(text) if ignore_case else text, "\\n" if granularity == "line" else "\\n\\n")
-    sorted_ = F.array_sort(parts)
-    around = lambda x, i: ((i > 0) & (F.get(sorted_, i - 1) == x)) | (F.coalesce(F.get(sorted_, i + 1) == x, F.lit(False)))
-    again = F.filter(sorted_, around)
-    if count_characters:
-        return F.when(F.size(parts) > 0, T.total(again) / T.total(parts))
-    return F.when(F.size(parts) > 0, F.size(again) / F.size(parts))
+
+    def share(xs: Column) -> Column:
+        again = F.filter(xs, lambda x, i: ((i > 0) & (F.get(xs, i - 1) == x)) | F.coalesce(F.get(xs, i + 1) == x, F.lit(False)))
+        return F.when(F.size(xs) > 0, T.total(again) / T.total(xs) if count_characters else F.size(again) / F.size(xs))
+
+    return T.let(F.array_sort(parts), share)
 
 
 def _grams(ids: np.ndarray, kinds: int, upto: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:

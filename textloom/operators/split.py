@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.registry import step
 
 
@@ -30,5 +31,9 @@ def starcoder_v2_format_modifier(df: DataFrame, text_col: str = "text", add_meta
 def pattern_splitter(df: DataFrame, text_col: str = "text", pattern: str = "\\n\\n", overlap: int = 0) -> DataFrame:
     """A row for each part between matches, numbered in ``chunk``; with ``overlap`` parts before it repeated."""
     parts = F.split(text_col, pattern)
-    own = F.transform(parts, lambda p, i: F.array_join(F.slice(parts, F.greatest(F.lit(1), i + 1 - overlap), F.least(i + 1, F.lit(overlap + 1))), "\n\n")) if overlap else parts
+
+    def with_before(ps):
+        return F.transform(ps, lambda p, i: F.array_join(F.slice(ps, F.greatest(F.lit(1), i + 1 - overlap), F.least(i + 1, F.lit(overlap + 1))), "\n\n"))
+
+    own = T.let(parts, with_before) if overlap else parts
     return df.select(*[c for c in df.columns if c not in (text_col, "chunk")], F.posexplode(own).alias("chunk", text_col))
