@@ -111,15 +111,31 @@ def massive_web_repetition_filters(text: Column, skip_paragraph: bool = False, u
 
 def greedy_duplicates(found: list[str], size: int) -> int:
     """Characters of runs of ``size`` words met before, moving on behind each."""
-    seen: set[tuple[str, ...]] = set()
-    chars = at = 0
-    while at + size <= len(found):
-        run = tuple(found[at : at + size])
-        again = run in seen
-        seen.add(run)
-        chars += again * sum(map(len, run))
-        at += size if again else 1
-    return chars
+    ids, lengths, kinds = _numbered(found)
+    grams = _grams(ids, kinds, size)
+    return _greedy(*grams[size], lengths, size) if size in grams else 0
+
+
+def _numbered(words: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    table: dict[str, int] = {}
+    ids = np.array([table.setdefault(w, len(table)) for w in words], np.int64)
+    return ids, np.fromiter(map(len, words), np.int64, len(words)), len(table)
+
+
+def _greedy(at: np.ndarray, count: np.ndarray, lengths: np.ndarray, size: int) -> int:
+    if not len(count) or count.max() < 2:
+        return 0
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    chars = (ends[size:] - ends[:-size]).tolist()
+    seen, out, i, runs = set(), 0, 0, at.tolist()
+    while i < len(runs):
+        if runs[i] in seen:
+            out += chars[i]
+            i += size
+        else:
+            seen.add(runs[i])
+            i += 1
+    return out
 
 
 def gopher_repetition(text: str) -> str | None:
@@ -135,12 +151,16 @@ def gopher_repetition(text: str) -> str | None:
         if chars / len(text) > by_chars:
             return f"dup_{name}_char_frac"
     words = _WORD.findall(text)
+    ids, lengths, kinds = _numbered(words)
+    grams = _grams(ids, kinds, max(ALL))
+    ends = np.concatenate([[0], np.cumsum(lengths)])
     for n, most in TOP.items():
-        grams = Counter(zip(*(words[k:] for k in range(n))))
-        if grams and (top := grams.most_common(1)[0])[1] > 1 and len(" ".join(top[0])) * top[1] / len(text) > most:
-            return f"top_{n}_gram"
+        if n in grams and (top := grams[n][1].max()) > 1:
+            at = int(np.argmax(grams[n][1][grams[n][0]] == top))  # of ties the first
+            if (ends[at + n] - ends[at] + n - 1) * top / len(text) > most:
+                return f"top_{n}_gram"
     for n, most in ALL.items():
-        if greedy_duplicates(words, n) / len(text) > most:
+        if n in grams and _greedy(*grams[n], lengths, n) / len(text) > most:
             return f"duplicated_{n}_n_grams"
     return None
 
