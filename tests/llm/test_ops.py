@@ -100,6 +100,33 @@ def test_predictive_sums_to_one():
     assert len(rng_t.customers) == len(p)
 
 
+def exchange(texts, shards, hot, parts, turns):
+    """Yields the seatings of all shards after each exchange with the parent, and what they asked."""
+    b = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["row_key", "doc_id", "text"])
+    seg = pa.Table.from_batches(list(op1_pitman_yor._segment(iter([b]), shards, hot)))
+    pick = lambda t, c, k: t.filter(pa.compute.equal(t[c], k))
+    left = {s: pick(seg, "shard", s) for s in sorted(set(seg["shard"].to_pylist()))}
+    asks = pa.Table.from_batches([x for s in left for x in op1_pitman_yor._begin(iter(left[s].to_batches()), parts, hot[0])])
+    for turn in range(turns):
+        answers = pa.concat_tables([op1_pitman_yor._parent(pick(asks, "part", k), parts, turn) for k in range(parts)])
+        yield [op1_pitman_yor.Seating(left[s], pick(answers, "shard", s), hot[0]) for s in left], asks
+        asks = pa.concat_tables([op1_pitman_yor._turn(left[s], pick(answers, "shard", s), parts, hot[0], turn) for s in left])
+
+
+def test_parent_is_seated_on_sampled_tables(texts):
+    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for turn, (seatings, asks) in enumerate(exchange(list(texts.values()), 3, none, 2, 6)):
+        asked = sum(int(op1_pitman_yor._unpack(x, *op1_pitman_yor._ASK_TYPES)[1].sum()) for x in asks["ask"].to_pylist())
+        tables, types = (sum(int(x) for x in y) for y in ((s.t.sum() for s in seatings), (len(s.t) for s in seatings)))
+        assert asked == tables and (tables == types if turn == 0 else tables > 1.02 * types)
+        words, p = np.concatenate([s.r.dishes for s in seatings]), np.concatenate([s.parent for s in seatings])
+        order = np.argsort(words)
+        same = words[order][1:] == words[order][:-1]
+        assert (p[order][1:][same] == p[order][:-1][same]).all()  # one parent for all shards
+        kept = [len(s.parents) for s in seatings]
+        assert kept == [max(0, turn - 1 - op1_pitman_yor.BURN_IN)] * len(seatings)
+
+
 def test_scores_grow_surer_with_repeats_and_match_by_shards(spark, docs, monkeypatch):
     one = {r["doc_id"]: r for r in op1_pitman_yor.score(docs).collect()}
     monkeypatch.setattr(op1_pitman_yor, "SHARD_BYTES", 40_000)

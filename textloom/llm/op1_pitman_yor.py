@@ -6,16 +6,20 @@ is uniform over ``BASE_WORDS`` words. A customer at the parent is a table of a c
 The corpus is cut into segments; each sends, to the shard that owns a context, the context's words with the texts they stand
 in. A shard therefore holds whole context restaurants. In one plan, on one shuffle of those postings:
 
-1. shards report for every word in how many contexts it stands (one table each, the least seating) to the parent's parts,
-   which add them up, seat the parent by Gibbs sampling and answer each shard with the words' parent probabilities;
-2. shards sample the number of tables of every (context, word) by Gibbs sweeps: P(t | rest) is proportional to
+1. shards report the tables of every word (at first the least seating, one for each context) to the parent's parts, which add
+   them up, seat the parent on them by Gibbs sampling and answer each shard with the words' parent probabilities;
+2. shards sample the number of tables of every (context, word) by a Gibbs sweep: P(t | rest) is proportional to
    S_d(c, t) (theta + d T)...(theta + d (T + t - 1)) P_parent(w)**t, with S_d generalised Stirling numbers; beyond ``EXACT``
    customers the seating goes on from an exact draw for the first ``EXACT``, in blocks that double;
-3. after the burn-in, predictive probabilities are averaged over samples, and their logarithms added up by text.
+3. both repeat: after each sweep the parent is seated anew on the sampled tables. The parent's parts know each other's tables
+   as of one exchange before;
+4. after the burn-in, predictive probabilities are averaged over samples (each with the parent's answers to that very seating),
+   and their logarithms added up by text.
 
 A context that alone would fill over half a shard is a hot one: a pass before counts contexts, segment by segment, and names
 them with their numbers of parts (at most ``HOT`` contexts, whatever the corpus). Its words are spread over so many shards by a
-hash; all parts use the restaurant's exact number of customers, and scale their own tables by its number of distinct words.
+hash; all parts use the restaurant's exact numbers of customers and tables, which are added up at each exchange. Within a sweep
+a part sees the tables of the other parts as they were at the last exchange.
 
 Contract: a text without words (null or empty) has n_words 0, log_prob 0 and a null perplexity. Repeated rows each count and
 each get a row; null ids are carried. An empty table gives no rows. Draws are seeded by shard, so results don't depend on
@@ -179,39 +183,42 @@ class Restaurants:
         """In how many contexts each dish stands."""
         return np.bincount(self.dish, minlength=len(self.dishes))
 
-    def part_of(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the given contexts those that are here, with their customers and types in this shard."""
-        here = np.flatnonzero(np.isin(self.rooms, contexts))
-        return self.rooms[here], self.total[here], np.bincount(self.room, minlength=len(self.rooms))[here]
+    def split_of(self, hot: np.ndarray) -> np.ndarray:
+        """The restaurants of which only a part may be here."""
+        return np.flatnonzero(np.isin(self.rooms, hot))
 
-    def complete(self, contexts: np.ndarray, customers: np.ndarray, types: np.ndarray) -> None:
-        """Tells the customers and types of whole restaurants of which only a part is here."""
-        here = np.flatnonzero(np.isin(self.rooms, contexts))
-        at = np.searchsorted(contexts, self.rooms[here])
-        self.scale[here] = types[at] / np.bincount(self.room, minlength=len(self.rooms))[here]
-        self.total[here] = customers[at]
+    def complete(self, here: np.ndarray, customers: np.ndarray, tables: np.ndarray, t: np.ndarray) -> None:
+        """Tells the customers and tables of whole restaurants of which only a part is here, seated as ``t``."""
+        self.total[here] = customers
+        self.scale[here] = tables / np.bincount(self.room, t, minlength=len(self.rooms))[here]
 
     def tables(self, t: np.ndarray) -> np.ndarray:
         """Tables of each restaurant."""
         return np.bincount(self.room, t, minlength=len(self.rooms)) * self.scale
 
+    def sweep(self, t: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> None:
+        """Draws the tables ``t`` of all types anew, a quarter of them at a time."""
+        open_ = np.flatnonzero(self.customers > 1)
+        quarters = rng.integers(0, 4, len(open_))
+        for q in range(4):
+            pick = open_[quarters == q]
+            if len(pick):
+                tables = self.tables(t)
+                t[pick] = draw_tables(self.customers[pick], tables[self.room[pick]] - t[pick], p[pick], DISCOUNT, STRENGTH, rng)
+
+    def probability(self, t: np.ndarray, tables: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Predictive probability of each type, given tables of types and of restaurants."""
+        return ((self.customers - DISCOUNT * t) + (STRENGTH + DISCOUNT * tables[self.room]) * p) / (STRENGTH + self.total[self.room])
+
     def predictive(self, parent: np.ndarray, seed: int, burn_in: int, samples: int) -> np.ndarray:
-        """Averaged predictive probability of each type; ``parent`` is the parent's of each dish."""
+        """Averaged predictive probability of each type under a parent that stays; ``parent`` is the parent's of each dish."""
         rng = np.random.default_rng(seed)
-        c, p = self.customers, parent[self.dish]
-        t = np.ones(len(c), np.int64)
-        total = np.zeros(len(c))
-        open_ = np.flatnonzero(c > 1)
-        quarters = rng.integers(0, 4, len(open_))
+        p, t = parent[self.dish], np.ones(len(self.customers), np.int64)
+        total = np.zeros(len(t))
         for sweep in range(burn_in + samples):
-            for q in range(4):
-                pick = open_[quarters == q]
-                if len(pick):
-                    tables = self.tables(t)
-                    t[pick] = draw_tables(c[pick], tables[self.room[pick]] - t[pick], p[pick], DISCOUNT, STRENGTH, rng)
+            self.sweep(t, p, rng)
             if sweep >= burn_in:
-                tables = self.tables(t)[self.room]
-                total += ((c - DISCOUNT * t) + (STRENGTH + DISCOUNT * tables) * p) / (STRENGTH + self.total[self.room])
+                total += self.probability(t, self.tables(t), p)
         return total / samples
 
 
@@ -254,65 +261,130 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, d: float, thet
     return out
 
 
-def _counts(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(part, shard, words, types, split): for each part of the parent, the words of this shard and their contexts.
+_ASK = "part int, shard int, ask binary, state binary"
+_ASK_TYPES = (np.uint8, np.uint32, np.int64, np.uint64, np.int64, np.int64)
+_ANSWER_TYPES = (np.float32, np.int64, np.int64, np.int64)
+_STATE_TYPES = (np.uint32, np.float32, np.float64)
+
 
-    The first part also gets the number of types, and customers and types of the hot contexts' parts here.
+def _asks(r: Restaurants, shard: int, parts: int, hot: np.ndarray, t: np.ndarray, seated: np.ndarray, state: bytes | None) -> pa.RecordBatch:
+    """(part, shard, ask, state): to each part of the parent its words' tables here, all tables here, the parent's tables in its
+    other parts (``seated``: of each part, empty if not known yet), and customers and tables of the hot contexts that it adds up.
+
+    The shard's own state goes to one part, which hands it back.
     """
+    n = np.bincount(r.dish, t, minlength=len(r.dishes)).astype(np.uint32)
+    own = np.bincount(r.room, t, minlength=len(r.rooms)).astype(np.int64)
+    customers = np.bincount(r.room, r.customers, minlength=len(r.rooms)).astype(np.int64)
+    here, part, hot_part = _places(r, parts, hot)
+    rows = []
+    for k in range(parts):
+        mine, h = part == k, here[hot_part == k]
+        others = seated.sum() - seated[k] if len(seated) else -1
+        rows.append((k, shard, _pack(_five(r.dishes[mine]), n[mine], np.array([t.sum(), others], np.int64), r.rooms[h], customers[h], own[h]), state if k == shard % parts else None))
+    return pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["part", "shard", "ask", "state"])
+
+
+def _places(r: Restaurants, parts: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Split restaurants; the parent's part of each dish; the part that adds up each split restaurant."""
+    here = r.split_of(hot)
+    return here, (arrays.mix(r.dishes) % np.uint64(parts)).astype(np.int64), (arrays.mix(r.rooms[here]) % np.uint64(parts)).astype(np.int64)
+
+
+def _begin(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What each shard asks at the least seating, one table for each type."""
     held: dict[int, list[bytes]] = {}
     for b in batches:
         for s, x in zip(b["shard"].to_pylist(), b["blob"].to_pylist()):
             held.setdefault(s, []).append(x)
     for s, blobs in held.items():
         r = Restaurants(blobs)
-        n = r.contexts_of()
-        part = (arrays.mix(r.dishes) % np.uint64(parts)).astype(np.int64)
-        split = _pack(*(x.astype(np.int64) for x in r.part_of(hot)))
-        rows = [(k, s, _pack(_five(r.dishes[part == k]), n[part == k].astype(np.uint32)), len(r.room) if k == 0 else 0, split if k == 0 else None) for k in range(parts)]
-        cols = list(zip(*rows))
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary()))], ["part", "shard", "words", "types", "split"])
-
-
-def _totals(table: pa.Table) -> pa.Table:
-    """(all_types, hot): types in all, and customers and types of each hot context."""
-    got = [_unpack(x, np.int64, np.int64, np.int64) for x in table["split"].to_pylist()]
-    contexts, of = np.unique(np.concatenate([g[0] for g in got]).view(np.uint64), return_inverse=True)
-    sums = [np.bincount(of, np.concatenate([g[k] for g in got]), minlength=len(contexts)).astype(np.int64) for k in (1, 2)]
-    return pa.table({"all_types": pa.array([pa.compute.sum(table["types"]).as_py()], pa.int64()), "hot": pa.array([_pack(contexts, *sums)], pa.binary())})
+        yield _asks(r, s, parts, hot, np.ones(len(r.customers), np.int64), np.zeros(0, np.int64), None)
 
 
-def _parent(table: pa.Table, parts: int) -> pa.Table:
-    """(shard, answer, hot): the parent's probability of each word of each shard; the first part passes the hot contexts on."""
-    got = [_unpack(x, np.uint8, np.uint32) for x in table["words"].to_pylist()]
+def _parent(table: pa.Table, parts: int, turn: int) -> pa.Table:
+    """(shard, part, answer, state): the parent's probability of each word asked for, seated on the tables of all shards; the
+    part's own tables; customers and tables of the whole hot contexts asked for."""
+    table = table.sort_by("shard")
+    got = [_unpack(x, *_ASK_TYPES) for x in table["ask"].to_pylist()]
     words = [_from_five(g[0]) for g in got]
     every, of = np.unique(np.concatenate(words), return_inverse=True)
     c = np.bincount(of, np.concatenate([g[1] for g in got]), minlength=len(every)).astype(np.int64)
-    rng = np.random.default_rng(int(table["part"][0].as_py()))
+    part = int(table["part"][0].as_py())
+    rng = np.random.default_rng((part, turn))
     base, t = np.full(len(every), 1 / BASE_WORDS), np.ones(len(every), np.int64)
     total = np.zeros(len(every))
-    customers = int(table["all_types"][0].as_py())
+    customers, others = sum(int(g[2][0]) for g in got), int(got[0][2][1])
+    tables = lambda: t.sum() + others if others >= 0 else t.sum() * parts  # noqa: E731  # words are spread over the parts by a hash
     for sweep in range(BURN_IN + SAMPLES):
-        tables = t.sum() * parts  # words are spread over the parts by a hash: each sees its share of the tables
-        t = draw_tables(c, np.maximum(tables - t, 0), base, PARENT_DISCOUNT, PARENT_STRENGTH, rng)
+        t = draw_tables(c, np.maximum(tables() - t, 0), base, PARENT_DISCOUNT, PARENT_STRENGTH, rng)
         if sweep >= BURN_IN:
-            total += (c - PARENT_DISCOUNT * t + (PARENT_STRENGTH + PARENT_DISCOUNT * t.sum() * parts) * base) / (PARENT_STRENGTH + customers)
+            total += (c - PARENT_DISCOUNT * t + (PARENT_STRENGTH + PARENT_DISCOUNT * tables()) * base) / (PARENT_STRENGTH + customers)
     p = (total / SAMPLES).astype(np.float32)
-    cut = np.cumsum([0, *map(len, words)])
-    hot = table["hot"] if table["part"][0].as_py() == 0 else pa.nulls(len(words), pa.binary())
-    return pa.table({"shard": table["shard"], "answer": pa.array([_pack(_five(w), p[of[a:b]]) for w, a, b in zip(words, cut, cut[1:])], pa.binary()), "hot": hot})
-
-
-def _score(left: pa.Table, right: pa.Table) -> pa.Table:
+    rooms, room = np.unique(np.concatenate([g[3] for g in got]), return_inverse=True)
+    in_all = [np.bincount(room, np.concatenate([g[k] for g in got]), minlength=len(rooms)).astype(np.int64) for k in (4, 5)]
+    cut, room_cut = np.cumsum([0, *map(len, words)]), np.cumsum([0, *(len(g[3]) for g in got)])
+    own = np.array([t.sum()], np.int64)
+    answers = [_pack(p[of[a:b]], own, *(x[room[i:j]] for x in in_all)) for a, b, i, j in zip(cut, cut[1:], room_cut, room_cut[1:])]
+    return pa.table({"shard": table["shard"], "part": table["part"], "answer": pa.array(answers, pa.binary()), "state": table["state"]})
+
+
+class Seating:
+    """A shard's restaurants as its last sweep left them, with the parent's answers to that."""
+
+    def __init__(self, left: pa.Table, right: pa.Table, hot: np.ndarray):
+        r = self.r = Restaurants(left["blob"].to_pylist())
+        right = right.sort_by("part")
+        got = [_unpack(x, *_ANSWER_TYPES) for x in right["answer"].to_pylist()]
+        here, part, hot_part = _places(r, len(got), hot)
+        self.parent, self.seated = np.zeros(len(r.dishes), np.float32), np.array([g[1][0] for g in got])
+        customers, tables = np.zeros((2, len(here)), np.int64)
+        for k, (p, _, n, m) in enumerate(got):
+            self.parent[part == k], customers[hot_part == k], tables[hot_part == k] = p, n, m
+        state = next((x for x in right["state"].to_pylist() if x is not None), None)
+        t, p, sums = _unpack(state, *_STATE_TYPES) if state else (np.ones(len(r.customers)), np.zeros(0, np.float32), np.zeros(0))
+        # the sums are of tables by type, then for each sample the tables of restaurants
+        self.t = t.astype(np.int64)
+        n = len(p) // max(1, len(r.dishes))
+        self.parents = list(p.reshape(n, -1)) if n else []
+        self.sum_t = sums[: len(self.t)] if n else np.zeros(len(self.t))
+        self.rooms = list(sums[len(self.t) :].reshape(n, -1)) if n else []
+        r.complete(here, customers, tables, self.t)
+
+    def take(self) -> None:
+        """Takes a sample."""
+        self.parents.append(self.parent)
+        self.rooms.append(self.r.tables(self.t))
+        self.sum_t = self.sum_t + self.t
+
+    def state(self) -> bytes:
+        sums = np.concatenate([self.sum_t, *self.rooms]) if self.parents else np.zeros(0)
+        return _pack(self.t.astype(np.uint32), np.concatenate(self.parents) if self.parents else np.zeros(0, np.float32), sums)
+
+    def predictive(self) -> np.ndarray:
+        """The samples' averaged predictive probability of each type."""
+        r, n = self.r, len(self.parents)
+        total = r.customers * n - DISCOUNT * self.sum_t
+        for p, tables in zip(self.parents, self.rooms):
+            total += (STRENGTH + DISCOUNT * tables[r.room]) * p.astype(float)[r.dish]
+        return total / n / (STRENGTH + r.total[r.room])
+
+
+def _turn(left: pa.Table, right: pa.Table, parts: int, hot: np.ndarray, turn: int) -> pa.Table:
+    """A sweep under the parent's last answers, and what the shard then asks."""
+    s, shard = Seating(left, right, hot), left["shard"][0].as_py()
+    if turn > BURN_IN:
+        s.take()
+    s.r.sweep(s.t, s.parent[s.r.dish].astype(float), np.random.default_rng((shard, turn)))
+    return pa.Table.from_batches([_asks(s.r, shard, parts, hot, s.t, s.seated, s.state())])
+
+
+def _score(left: pa.Table, right: pa.Table, hot: np.ndarray) -> pa.Table:
     """(segment, blob): log-likelihoods of each segment's texts in this shard, and ids and word counts from the first shard."""
-    r = Restaurants(left["blob"].to_pylist())
-    for x in right["hot"].to_pylist():
-        if x is not None:
-            r.complete(*_unpack(x, np.uint64, np.int64, np.int64))
-    got = [_unpack(x, np.uint8, np.float32) for x in right["answer"].to_pylist()]
-    words, p = np.concatenate([_from_five(g[0]) for g in got]), np.concatenate([g[1] for g in got])
-    order = np.argsort(words)
-    parent = p[order].astype(float)  # every dish was answered once
-    log_p = np.log(r.predictive(parent, left["shard"][0].as_py(), BURN_IN, SAMPLES)) if len(r.customers) else np.zeros(0)
+    s = Seating(left, right, hot)
+    s.take()
+    r = s.r
+    log_p = np.log(s.predictive())
     at, out = 0, []
     for _, _, _, count, doc, ids, null, size in r.parts:
         types = r.of[at : at + len(count)]
@@ -345,11 +417,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hot = busy_contexts(rows, shards)
     seg = rows.mapInArrow(lambda it: _segment(it, shards, hot), "shard int, segment long, blob binary")
     home = seg.repartition(shards, "shard")
-    counts = home.mapInArrow(lambda it: _counts(it, parts, hot[0]), "part int, shard int, words binary, types long, split binary").repartition(parts, "part")
-    every = counts.filter("part = 0").groupBy("part").applyInArrow(_totals, "all_types long, hot binary")
-    asked = counts.drop("types", "split").crossJoin(F.broadcast(every))  # one row of at most HOT contexts
-    answers = asked.groupBy("part").applyInArrow(lambda t: _parent(t, parts), "shard int, answer binary, hot binary").repartition(shards, "shard")
-    got = home.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_score, "segment long, blob binary")
+    asks = home.mapInArrow(lambda it: _begin(it, parts, hot[0]), _ASK)
+    seat = lambda turn: lambda t: _parent(t, parts, turn)
+    sweep = lambda turn: lambda x, y: _turn(x, y, parts, hot[0], turn)
+    for turn in range(BURN_IN + SAMPLES + 1):
+        answers = asks.repartition(parts, "part").groupBy("part").applyInArrow(seat(turn), "shard int, part int, answer binary, state binary")
+        both = home.groupBy("shard").cogroup(answers.repartition(shards, "shard").groupBy("shard"))
+        if turn < BURN_IN + SAMPLES:
+            asks = both.applyInArrow(sweep(turn), _ASK)
+    got = both.applyInArrow(lambda x, y: _score(x, y, hot[0]), "segment long, blob binary")
     sums = got.groupBy("segment").applyInArrow(_join, "doc_id long, ll double, n_words long")
     return sums.select("doc_id", "n_words", F.round("ll", 4).alias("log_prob"), F.when(F.col("n_words") > 0, F.round(F.exp(-F.col("ll") / F.col("n_words")), 4)).alias("perplexity"))
 
