@@ -127,6 +127,26 @@ def test_parent_is_seated_on_sampled_tables(texts):
         assert kept == [max(0, turn - 1 - op1_pitman_yor.BURN_IN)] * len(seatings)
 
 
+def test_parts_of_a_split_context_share_its_tables(texts):
+    """Every part knows the whole restaurant's tables, so the context's probabilities add up to one."""
+    text = list(texts.values())
+    context, n = np.unique(op1_pitman_yor.pairs(pa.array(text, pa.string()))[0], return_counts=True)
+    top = np.sort(context[np.argsort(-n)[:5]])
+    for turn, (seatings, _) in enumerate(exchange(text, 6, (top, np.full(5, 6, np.uint64)), 2, 4)):
+        for c in top:
+            own = [(s, np.flatnonzero(s.r.rooms == c)[0]) for s in seatings if c in s.r.rooms]
+            real = sum(int(s.t[s.r.room == k].sum()) for s, k in own)
+            customers = sum(int(s.r.customers[s.r.room == k].sum()) for s, k in own)
+            assert len(own) > 1 and {int(s.r.tables(s.t)[k]) for s, k in own} == {real} and {int(s.r.total[k]) for s, k in own} == {customers}
+            mass, parent = 0.0, 0.0
+            for s, k in own:
+                of = s.r.room == k
+                mass += s.r.probability(s.t, s.r.tables(s.t), s.parent[s.r.dish].astype(float))[of].sum()
+                parent += s.parent[s.r.dish[of]].astype(float).sum()
+            rest = (op1_pitman_yor.STRENGTH + op1_pitman_yor.DISCOUNT * real) / (op1_pitman_yor.STRENGTH + customers) * (1 - parent)
+            assert mass + rest == pytest.approx(1, abs=1e-9)
+
+
 def test_scores_grow_surer_with_repeats_and_match_by_shards(spark, docs, monkeypatch):
     one = {r["doc_id"]: r for r in op1_pitman_yor.score(docs).collect()}
     monkeypatch.setattr(op1_pitman_yor, "SHARD_BYTES", 40_000)

@@ -176,7 +176,7 @@ class Restaurants:
         self.rooms, self.room = np.unique(contexts[at], return_inverse=True)
         self.dishes, self.dish = np.unique(words[at], return_inverse=True)
         self.total = np.bincount(self.room, self.customers, minlength=len(self.rooms))
-        self.scale = np.ones(len(self.rooms))
+        self.elsewhere = np.zeros(len(self.rooms))
         self.parts = parts
 
     def contexts_of(self) -> np.ndarray:
@@ -190,11 +190,11 @@ class Restaurants:
     def complete(self, here: np.ndarray, customers: np.ndarray, tables: np.ndarray, t: np.ndarray) -> None:
         """Tells the customers and tables of whole restaurants of which only a part is here, seated as ``t``."""
         self.total[here] = customers
-        self.scale[here] = tables / np.bincount(self.room, t, minlength=len(self.rooms))[here]
+        self.elsewhere[here] = tables - np.bincount(self.room, t, minlength=len(self.rooms))[here]
 
     def tables(self, t: np.ndarray) -> np.ndarray:
         """Tables of each restaurant."""
-        return np.bincount(self.room, t, minlength=len(self.rooms)) * self.scale
+        return np.bincount(self.room, t, minlength=len(self.rooms)) + self.elsewhere
 
     def sweep(self, t: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> None:
         """Draws the tables ``t`` of all types anew, a quarter of them at a time."""
