@@ -165,6 +165,27 @@ def test_fixpoint_lets_units_of_removed_texts_stay(spark):
     assert {r[0] for r in ngram_dedup.ngram_dedup(df, mode="document", rounds=5).select("doc_id").collect()} == {1, 4}
 
 
+@pytest.mark.parametrize("mode", ["document", "paragraph", "old-both"])
+def test_chains_of_versions_go_as_in_sequence(spark, mode):
+    """Each version shares over 80 % with the one before; only n-grams of kept units count as seen."""
+    rows = [(i, "\n".join(" ".join(f"{p}{j}" for j in range(8 * i, 8 * i + 90)) for p in "pq"[: 1 if mode == "document" else 2])) for i in range(9)]
+    seen, want = set(), {}
+    for i, text in rows:
+        left, shared, total = [], 0, 0
+        for unit in text.split("\n"):
+            ws = unit.split()
+            grams = [tuple(ws[k : k + 13]) for k in range(len(ws) - 12)]
+            hits = sum(g in seen for g in grams)
+            shared, total = shared + hits, total + len(grams)
+            if hits / len(grams) <= 0.8:
+                left.append(unit)
+                seen.update(grams)
+        if left and (mode != "old-both" or shared / total <= 0.8):
+            want[i] = text if mode == "document" else "\n".join(left)
+    got = {r["doc_id"]: r["text"] for r in ngram_dedup.ngram_dedup(spark.createDataFrame(rows, "doc_id long, text string"), mode=mode).collect()}
+    assert got == want and 1 < len(got) < 9
+
+
 def test_substring(spark):
     long = " ".join(f"s{i}" for i in range(60))
     df = spark.createDataFrame([(1, long), (2, f"before it {long} and after"), (3, " ".join(f"s{i}" for i in range(40)))], "doc_id long, text string")

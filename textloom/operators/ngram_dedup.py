@@ -1,8 +1,8 @@
 """N-gram deduplication by first occurrences.
 
 The sequential rule "a unit goes if more than ``threshold`` of its n-grams were inserted by units before it" becomes a shuffle:
-the first place of each n-gram is a partial aggregation, joined back. ``rounds`` repeats it over the surviving units, until
-they are stable; one round treats every earlier unit as a survivor. Units are ordered by (id, unit number); ids are integers.
+the first place of each n-gram is a partial aggregation, joined back. It is repeated over the surviving units until none
+changes, which is the sequential result; ``rounds`` caps that, and one round treats every earlier unit as a survivor. Units are ordered by (id, unit number); ids are integers.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -35,31 +35,47 @@ def _grams(units: DataFrame, low: int, high: int) -> DataFrame:
     return units.withColumn("ws", ws).select("pos", F.posexplode(F.transform(at, lambda i: F.xxhash64(F.slice("ws", i, high)))).alias("k", "gram"))
 
 
-def _seen_share(grams: DataFrame, first: DataFrame) -> DataFrame:
+def _seen_share(grams: DataFrame, first: DataFrame, place: Column | None = None) -> DataFrame:
     both = grams.join(first, "gram", "left")
-    return both.groupBy("pos").agg(F.count("*").alias("total"), F.sum(F.coalesce((F.col("first") < F.col("pos")).cast("long"), F.lit(0))).alias("seen"))
+    place = F.col("first") if place is None else place
+    return both.groupBy("pos").agg(F.count("*").alias("total"), F.sum(F.coalesce((place < F.col("pos")).cast("long"), F.lit(0))).alias("seen"))
 
 
-def unit_shares(units: DataFrame, low: int, high: int, threshold: float, rounds: int = 1, strict: bool = True, known: DataFrame | None = None) -> DataFrame:
-    """(pos, total, seen, gone) of every unit with n-grams; ``known`` is a table of n-grams that count as seen."""
+def unit_shares(units: DataFrame, low: int, high: int, threshold: float, rounds: int | None = None, strict: bool = True, known: DataFrame | None = None, seen: bool = True) -> DataFrame:
+    """(pos, total, seen, gone) of every unit with n-grams; ``known`` is a table of n-grams that count as seen.
+
+    Without ``seen``, units that surely stay may be missing. Only units that go when all earlier ones count can ever go, so the
+    later rounds run over these; the n-grams of the others are seen in every round.
+    """
     grams = _grams(units, low, high)
     if known is not None:
         first = known.select("gram").distinct().withColumn("first", F.lit(-1).cast("long"))
     else:
         first = grams.groupBy("gram").agg(F.min("pos").alias("first"))
 
-    def judge(first: DataFrame) -> DataFrame:
+    def judged(shares: DataFrame) -> DataFrame:
         share = F.col("seen") / F.col("total")
-        return _seen_share(grams, first).withColumn("gone", share > threshold if strict else share >= threshold)
-
-    out = judge(first)
-    for _ in range(rounds - 1 if known is None else 0):
-        before = out = cut(out)
-        alive = grams.join(before.filter("gone").select("pos"), "pos", "left_anti")
-        out = cut(judge(alive.groupBy("gram").agg(F.min("pos").alias("first"))))
-        if out.select("pos", "gone").exceptAll(before.select("pos", "gone")).limit(1).count() == 0:
+        return shares.withColumn("gone", share > threshold if strict else share >= threshold)
+
+    out = judged(_seen_share(grams, first))
+    if known is not None or rounds == 1:
+        return out
+    before = cut(out.filter("gone"))
+    maybe = before.select("pos")
+    sure = grams.join(maybe, "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("sure"))
+    ours = cut(grams.join(maybe, "pos", "left_semi").join(sure, "gram", "left"))
+    turn = 1
+    while rounds is None or turn < rounds:
+        alive = ours.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("alive"))
+        now = cut(judged(_seen_share(ours.select("pos", "gram", "sure"), alive.withColumnRenamed("alive", "first"), F.least("first", "sure"))))
+        changed = now.select("pos", "gone").exceptAll(before.select("pos", "gone")).limit(1).count()
+        before, turn = now, turn + 1
+        if not changed:
             break
-    return out
+    if not seen:
+        return before
+    left = grams.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("first"))
+    return judged(_seen_share(grams, left))
 
 
 def _rebuild(df: DataFrame, units: DataFrame, id_col: str, text_col: str, annotate: bool) -> DataFrame:
@@ -74,7 +90,7 @@ def _rebuild(df: DataFrame, units: DataFrame, id_col: str, text_col: str, annota
 
 
 @step("global")
-def ngram_dedup(df: DataFrame, text_col: str = "text", mode: str = "paragraph", min_ngram_size: int = 5, max_ngram_size: int = 13, threshold: float = 0.8, id_col: str = "doc_id", annotate_only: bool = False, rounds: int = 1, known: DataFrame | None = None) -> DataFrame:
+def ngram_dedup(df: DataFrame, text_col: str = "text", mode: str = "paragraph", min_ngram_size: int = 5, max_ngram_size: int = 13, threshold: float = 0.8, id_col: str = "doc_id", annotate_only: bool = False, rounds: int | None = None, known: DataFrame | None = None) -> DataFrame:
     """``mode``: exact, paragraph, document, both (paragraphs and whole texts by their own shares, at least the threshold),
     naive-both (texts, then paragraphs of the rest), old-both (paragraphs; a text whose share is over the threshold goes)."""
     how = dict(low=min_ngram_size, high=max_ngram_size, threshold=threshold, rounds=rounds, known=known)
@@ -96,7 +112,7 @@ def ngram_dedup(df: DataFrame, text_col: str = "text", mode: str = "paragraph",
         out = _rebuild(df, placed, id_col, text_col, annotate_only)
         return out if annotate_only else out.join(bad, id_col, "left_anti")
     units = _units(df, mode, id_col, text_col)
-    found = unit_shares(units, **how)
+    found = unit_shares(units, seen=False, **how)
     if mode == "document":
         gone = found.filter("gone").select(F.shiftright("pos", UNIT_BITS).alias(id_col))
         return df.join(gone.withColumn("duplicate", F.lit(True)), id_col, "left").withColumn("duplicate", F.coalesce("duplicate", F.lit(False))) if annotate_only else df.join(gone, id_col, "left_anti")
