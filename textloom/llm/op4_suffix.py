@@ -1,8 +1,10 @@
 """Repeated passages by distributed prefix doubling.
 
-A position is ranked by the words that follow it: equal ranks mean equal prefixes. Ranks of prefixes twice as long come from
-sorting pairs (rank here, rank at the offset); positions whose pair is unique drop out, and doubling ends at the threshold.
-With a threshold of 50 words the prefixes are 13, 25 and 50 words long, the first ranked by a 64-bit fingerprint.
+A position is ranked by the words that follow it: equal ranks mean equal prefixes. Ranks of prefixes up to the threshold come
+from sorting pairs (rank here, rank at the offset); positions whose pair is unique drop out.
+There are two sorts, whatever the threshold, and one doubling by ranks. With 50 words no sort ranks prefixes of 13: the first
+ranks prefixes of 25 by a hash of two 13-word fingerprints, the second pairs (rank, rank at offset 25). Equal ranks thus mean
+equal prefixes but for collisions of 64-bit hashes.
 
 Before the first sort an exact filter drops positions that can't repeat: each prefix of ``least`` words has the least hash of
 its word runs of ``GRAM`` (a winnowing fingerprint), which any other copy of the prefix has too; where that hash occurs once
