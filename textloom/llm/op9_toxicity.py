@@ -1,13 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-A bigram model of toxic and one of ordinary text, with modified Kneser-Ney discounts, both back off to one unigram
-distribution, the continuation counts of words over both classes. Counts are of texts that hold a pair or word, and rare ones
-are pruned. A rare expression, on which the classes don't surely differ (a likelihood-ratio test), has the shared count in
-both, so that only expressions with evidence tell the classes apart. A text's score is the mean over its words of the difference of the two log-likelihoods; the threshold is the one that
-separates held-out labelled rows best (F1).
+A bigram model of toxic and one of ordinary text, with modified Kneser-Ney discounts: pairs back off to the class's words, and
+words to one distribution that both classes share, the continuation counts of words over both. Each model is normalised. A text
+counts an expression once, so that one text which repeats a word doesn't make a class. An expression on which the classes don't
+surely differ (a likelihood-ratio test), as all rare ones, has the shared count in both, so that only expressions with evidence
+tell the classes apart. A text's score is the mean over its words of the difference of the two log-likelihoods; the threshold is
+the one that separates held-out labelled rows best (F1).
 
-Training reads at most ``TRAIN_ROWS`` labelled rows a class and as many again are held out, chosen by a hash of the id. Scoring
-covers every document. The model is sent to the workers; its size is bounded by the training rows' words.
+Labelled rows are cut by a hash of the id: seven tenths train, of these at most ``TRAIN_ROWS`` a class; of the rest at most
+``TRAIN_ROWS`` are held out. Scoring covers every document. The model is sent to the workers; its size is bounded by the
+training rows' words.
 
 Contract: a label is toxic where ``toxic`` is 1, ordinary where it is 0, and left out where it is null, as are labels without a
 document and null texts. Repeated rows count as often as they occur. A text without words has score 0 and isn't toxic. With no
@@ -26,8 +28,6 @@ from pyspark.sql import functions as F
 from textloom.llm import arrays
 
 TRAIN_ROWS = 3000
-#: Pairs and words in fewer training texts are pruned to the back-off.
-LEAST_PAIR, LEAST_WORD = 4, 2
 #: Log-likelihood ratio (chi-square, one degree) from which a word or pair has counts of its own in each class.
 SURE = 16.0
 _START = np.uint64(0x5851F42D4C957F2D)
@@ -98,16 +98,15 @@ def _tell(n1: np.ndarray, n0: np.ndarray, t1: int, t0: int) -> tuple[np.ndarray,
 
 
 def train(texts: dict[int, pa.Array]) -> Model:
-    """Fits both models; class 1 is toxic."""
+    """Fits both models; class 1 is toxic. Each is normalised: probabilities of all words and of a stranger add up to one."""
     keys, befores, afters, of = [], [], [], []
     for c in (1, 0):
-        before, word, doc = _pairs(texts[c])
-        once = np.unique(arrays.mix(_key(before, word) ^ arrays.mix(doc.astype(np.uint64))), return_index=True)[1]
-        keys.append(_key(before, word)[once])
-        befores.append(before[once])
-        afters.append(word[once])
-        own = np.unique(arrays.mix(word ^ arrays.mix(doc.astype(np.uint64))), return_index=True)[1]
-        of.append(np.unique(word[own], return_counts=True))
+        parts = [_once(p) for p in arrays.pieces(texts[c])]
+        k, before, after, single = (np.concatenate(x) if parts else np.zeros(0, np.uint64) for x in (zip(*parts) if parts else [()] * 4))
+        keys.append(k)
+        befores.append(before)
+        afters.append(after)
+        of.append(np.unique(single, return_counts=True))
     t1, t0 = len(texts[1]), len(texts[0])
     pairs, at, which = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     before, after = np.concatenate(befores)[at], np.concatenate(afters)[at]
@@ -116,29 +115,39 @@ def train(texts: dict[int, pa.Array]) -> Model:
     find = arrays.Lookup(words)
     n1, n0 = np.zeros(len(words)), np.zeros(len(words))
     n1[find.find(of[0][0])], n0[find.find(of[1][0])] = of[0][1], of[1][1]
-    kept_words = (n1 + n0 >= LEAST_WORD) | (words == _START)
-    # Shared: in how many contexts a word stands, over both classes, as lower orders count; one more place for strangers.
-    seen = np.bincount(find.find(after), minlength=len(words)).astype(float) * kept_words
-    shared = seen / (seen.sum() + 1)
-    cut = np.where(n1 + n0 > 0, _discounts((n1 + n0)[n1 + n0 > 0])[np.minimum(n1 + n0, 3).astype(int)], 0.0) if len(pairs) else np.zeros(len(words))
-    single = [np.maximum(e - cut, 0) * kept_words for e in _tell(n1, n0, t1, t0)]
-    total = max(*(e.sum() for e in _tell(n1, n0, t1, t0)), 1.0)
-    # Both classes are divided by the larger total, and the mass that the fuller one leaves is the back-off of both: classes
-    # with longer texts or more junk would else differ on every word.
-    left = 1 - max(e.sum() for e in single) / total
-    floor = left / (seen.sum() + 1)
-    uni = [np.maximum(e / total + left * shared, floor) for e in single]  # the start has no counts
-    few = m1 + m0 < LEAST_PAIR
-    paired = _tell(m1, m0, t1, t0)
     context, target = find.find(before), find.find(after)
-    size = np.maximum(np.maximum(*(np.bincount(context, m, minlength=len(words)) for m in paired)), 1)  # pruned pairs count too
-    less = _discounts((m1 + m0)[m1 + m0 > 0])[np.minimum(m1 + m0, 3).astype(int)] if len(pairs) else np.zeros(0)
-    full = [np.maximum(m - less, 0) * ~few for m in paired]
-    weight = np.maximum(1 - np.maximum(*(np.bincount(context, k, minlength=len(words)) for k in full)) / size, 1e-6)
-    bigram = [np.log(k[~few] / size[context[~few]] + weight[context[~few]] * u[target[~few]]).astype(np.float32) for k, u in zip(full, uni)]
-    order = np.flatnonzero(kept_words)
-    unigram, backoff = [np.log(u[order]).astype(np.float32) for u in uni], [np.log(weight[order]).astype(np.float32)] * 2
-    return Model(words[order], np.stack(unigram), np.stack(backoff), pairs[~few], np.stack(bigram), np.array([np.log(floor)] * 2))
+    # Shared: in how many contexts a word stands, over both classes, as lower orders count; one more place for strangers.
+    seen = np.bincount(target, minlength=len(words)).astype(float)
+    shared, stranger = seen / (seen.sum() + 1), 1 / (seen.sum() + 1)
+    unigram, bigram, backoff, unseen = [], [], [], []
+    for n, m in zip(_tell(n1, n0, t1, t0), _tell(m1, m0, t1, t0)):
+        total = max(n.sum(), 1e-9)
+        kept = np.maximum(n - _less(n1 + n0), 0) / total
+        left = 1 - kept.sum()
+        uni = kept + left * shared
+        size = np.bincount(context, m, minlength=len(words))
+        full = np.maximum(m - _less(m1 + m0), 0) / np.maximum(size, 1e-9)[context]
+        weight = np.where(size > 0, np.maximum(1 - np.bincount(context, full, minlength=len(words)), 1e-6), 1.0)
+        bigram.append(np.log(np.maximum(full + weight[context] * uni[target], 1e-300)).astype(np.float32))
+        unigram.append(np.log(np.maximum(uni, 1e-300)).astype(np.float32))  # the start has no counts and is never asked for
+        backoff.append(np.log(weight).astype(np.float32))
+        unseen.append(np.log(left * stranger))
+    return Model(words, np.stack(unigram), np.stack(backoff), pairs, np.stack(bigram), np.array(unseen))
+
+
+def _once(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, its first word, its second) of each text once, and each text's words once."""
+    before, word, doc = _pairs(text)
+    key, salt = _key(before, word), arrays.mix(doc.astype(np.uint64))
+    pair = np.unique(arrays.mix(key ^ salt), return_index=True)[1]
+    single = np.unique(arrays.mix(word ^ salt), return_index=True)[1]
+    return key[pair], before[pair], word[pair], word[single]
+
+
+def _less(counts: np.ndarray) -> np.ndarray:
+    """The discount of each count."""
+    some = counts > 0
+    return _discounts(counts[some])[np.minimum(counts, 3).astype(int)] * some if some.any() else np.zeros(len(counts))
 
 
 def best_threshold(score: np.ndarray, toxic: np.ndarray) -> float:
@@ -154,15 +163,14 @@ def best_threshold(score: np.ndarray, toxic: np.ndarray) -> float:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model | None:
     """Trains on at most ``train_rows`` labelled rows a class and sets the threshold on as many others (natural shares)."""
     marks = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic")).filter("toxic in (0, 1)")
-    total = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
-    if len(total) < 2:
-        return None
-    order = F.xxhash64("label_id", F.lit(9))
+    cut = F.xxhash64(F.lit("toxicity"), "label_id")
+    train_part = F.pmod(cut, F.lit(10)) < 7
+    order = (F.xxhash64("label_id", F.lit(9)), "label_id")
     chosen = None
     for c in (1, 0):
-        part = marks.filter(F.col("toxic") == c).orderBy(order, "label_id").limit(min(train_rows, -(-total[c] * 7 // 10)))
+        part = marks.filter(train_part & (F.col("toxic") == c)).orderBy(*order).limit(train_rows)
         chosen = part if chosen is None else chosen.unionByName(part)
-    held = marks.orderBy(F.xxhash64("label_id", F.lit(9)).desc(), "label_id").limit(min(train_rows, max(1, sum(total.values()) * 3 // 10)))
+    held = marks.filter(~train_part).orderBy(*order).limit(train_rows)
     named = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
 
     def rows(part: DataFrame) -> pa.Table:
