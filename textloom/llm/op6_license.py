@@ -3,14 +3,15 @@
 A text's words are aligned with a template's: words that are unique in both are anchors, the longest increasing subsequence of
 anchors is kept, and the gaps between them are aligned in the same way; a gap without anchors gets the longest common
 subsequence. Coverage is the share of the template's words that are aligned within ``SPREAD`` times its length of consecutive
-text words (its own length, for a brief one).
+text words. A template whose key words (a licence's name and version) aren't all aligned isn't found. Templates of all lengths,
+brief notices and whole texts, follow the same rule.
 
 Every text is read whole. A template is tried at each place of a text where a stretch of that length has enough of the
-template's words (counted with their multiplicity), which any stretch with enough coverage has.
+template's words (counted with their multiplicity), which any stretch with enough coverage has. Where finds of several templates
+overlap, the one with most aligned words is kept, then the one with most coverage, the shortest, the first by name.
 
-Contract: one row for every licence found (doc_id, license, coverage, first_word, last_word), in each text from left to right
-without overlap within a template; last_word is included. A template of up to ``BRIEF`` words must be there whole and without
-other words between, a longer one by ``COVERAGE``. Texts without words (null or empty) have none. Repeated rows each get theirs; null ids are carried. An
+Contract: one row for every licence found (doc_id, license, coverage, first_word, last_word), in each text without overlap;
+last_word is included. Texts without words (null or empty) have none. Repeated rows each get theirs; null ids are carried. An
 empty table gives no rows. Other columns of the input don't matter, whatever their names.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import ceil
 
 import numpy as np
@@ -27,26 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays
+from textloom.llm.licenses import TEMPLATES, Template
 
-COVERAGE, BRIEF, SPREAD = 0.8, 12, 1.5
-TEMPLATES = {
-    "mit": "Released under the MIT License.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0": "Licensed under CC BY 4.0.",
-    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-granted, provided that the above copyright notice and this permission notice appear in all copies.""",
-    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
-liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
-purpose, including commercial applications, and to alter it and redistribute it freely.""",
-    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
-publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
-commercial or non-commercial, and by any means.""",
-    "gpl-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
-later version.""",
-}
+COVERAGE, SPREAD = 0.8, 1.5
 
 
 def increasing(places: list[int]) -> list[int]:
@@ -111,16 +95,18 @@ def align(template: list[int], text: list[int]) -> list[tuple[int, int]]:
 class Scanner:
     """Templates ready for scanning."""
 
-    def __init__(self, templates: dict[str, str]):
-        t = arrays.words(pa.array(list(templates.values()), pa.string()))
-        h = t.hashes()
-        self.names = [k for k, a, b in zip(templates, t.first, t.first[1:]) if b > a]
-        own = [h[a:b] for a, b in zip(t.first, t.first[1:]) if b > a]
-        self.vocabulary = np.unique(h)
+    def __init__(self, templates: Iterable[Template]):
+        given = list(templates)
+        t = arrays.words(pa.array([x.text for x in given], pa.string()))
+        own = [t.hashes()[a:b] for a, b in zip(t.first, t.first[1:])]
+        self.names = [x.license for x, w in zip(given, own) if len(w)]
+        self.vocabulary = np.unique(t.hashes())
         self.find = arrays.Lookup(self.vocabulary)
-        self.words = [np.searchsorted(self.vocabulary, w).tolist() for w in own]
+        self.words = [np.searchsorted(self.vocabulary, w).tolist() for w in own if len(w)]
         self.counts = [np.bincount(w, minlength=len(self.vocabulary)) for w in self.words]
-        self.need = [len(w) if len(w) <= BRIEF else ceil(COVERAGE * len(w)) for w in self.words]
+        self.need = [ceil(COVERAGE * len(w)) for w in self.words]
+        keys = [self.find.find(arrays.words(pa.array([" ".join(x.keys)], pa.string())).hashes()) for x, w in zip(given, own) if len(w)]
+        self.keys = [np.unique(k) for k in keys]
 
     def scan(self, text: pa.Array) -> Iterator[tuple[int, str, float, int, int]]:
         """(text, licence, coverage, first word, last word); words count from the text's first."""
@@ -131,36 +117,47 @@ class Scanner:
         if not len(hits):
             return
         doc = np.searchsorted(t.first, hits, "right") - 1
-        have = np.bincount(doc * kinds + ids[hits], minlength=len(text) * kinds).reshape(len(text), kinds)
+        some, row = np.unique(doc, return_inverse=True)
+        have = np.bincount(row * kinds + ids[hits], minlength=len(some) * kinds).reshape(len(some), kinds)
+        found: dict[int, list[tuple[int, float, int, int, str]]] = {}
         for k, name in enumerate(self.names):
-            for d in np.flatnonzero(np.minimum(have, self.counts[k]).sum(axis=1) >= self.need[k]):
-                yield from ((int(d), name, *x) for x in self._in_text(k, ids[t.first[d] : t.first[d + 1]]))
-
-    def _in_text(self, k: int, ids: np.ndarray) -> Iterator[tuple[float, int, int]]:
-        words, need, most = self.words[k], self.need[k], self.counts[k]
-        span = len(words) if len(words) <= BRIEF else ceil(SPREAD * len(words))
+            ok = (np.minimum(have, self.counts[k]).sum(axis=1) >= self.need[k]) & (have[:, self.keys[k]] > 0).all(axis=1)
+            for d in some[ok]:
+                found.setdefault(int(d), []).extend((-n, -n / len(self.words[k]), b - a, a, name) for n, a, b in self._in_text(k, ids[t.first[d] : t.first[d + 1]]))
+        for d in sorted(found):
+            kept: list[tuple[int, int, str, float]] = []
+            for _, share, length, a, name in sorted(found[d]):
+                if all(a > hi or a + length < lo for lo, hi, *_ in kept):
+                    kept.append((a, a + length, name, -share))
+            yield from ((d, name, share, lo, hi) for lo, hi, name, share in sorted(kept))
+
+    def _in_text(self, k: int, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(aligned words, first word, last word) from left to right without overlap."""
+        words, need, most, keys = self.words[k], self.need[k], self.counts[k], self.keys[k]
+        span = ceil(SPREAD * len(words))
         mine = np.flatnonzero((ids >= 0) & (most[ids] > 0))
         last = np.searchsorted(mine, mine + span)  # hits of the stretch that begins at a hit
         at = 0
         for i in np.flatnonzero(last - np.arange(len(mine)) >= need):
             if mine[i] < at:
                 continue
-            stretch = ids[mine[i : last[i]]]
-            if np.minimum(np.bincount(stretch, minlength=len(most)), most).sum() < need:
+            stretch = np.bincount(ids[mine[i : last[i]]], minlength=len(most))
+            if np.minimum(stretch, most).sum() < need or not stretch[keys].all():
                 continue
             got = align(words, ids[mine[i] : mine[i] + span].tolist())
-            if len(got) >= need and got[0][1] == 0:  # else a later start has the same words
-                yield len(got) / len(words), int(mine[i]), int(mine[i] + got[-1][1])
+            # where the first word isn't aligned, a later start has the same words
+            if len(got) >= need and got[0][1] == 0 and np.isin(keys, [words[a] for a, _ in got]).all():
+                yield len(got), int(mine[i]), int(mine[i] + got[-1][1])
                 at = mine[i] + got[-1][1] + 1
 
 
-def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
+def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Iterable[Template] = TEMPLATES) -> DataFrame:
     """(doc_id, license, coverage, first_word, last_word) of every licence in every text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = dict(TEMPLATES if templates is None else templates)
+    given = tuple(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(texts)
+        scanner = Scanner(given)
         for b in arrays.slices(batches, "text"):
             got = list(scanner.scan(b["text"]))
             if got:
