@@ -5,31 +5,36 @@ the leaves' counts add up to the text's. A segment tree over the leaves holds su
 a range of characters: the leaves that it touches, and neighbours as far as the pre-token boundary between them is no longer
 sure, are joined, encoded anew and their sums updated up to the root; no other leaf is read.
 
-The query redacts mail addresses, IPv4 addresses, phone numbers and web addresses in every document by edits, and returns the
-counts before and after.
+Trees are kept: ``trees`` is a table with a row a document (its text, and characters and tokens of each leaf), ``edited`` takes
+such a table and one of edits and gives the edited documents' new rows, encoding only what the edits touch. The query stores the
+trees of all documents, makes a table of edits that redact mail addresses, IPv4 addresses, phone numbers and web addresses,
+applies it to the stored trees and returns the counts before and after.
 
 Contract: one row a document (doc_id, n_tokens, n_edits, n_tokens_after, n_encoded), the last being the characters that the edits had
-encoded anew. Edits of a text are given in places of the original, ordered and apart. A null text counts as an empty one.
-Repeated rows each get a row; null ids are carried. An empty table gives no rows. Other columns don't matter, whatever their
-names.
+encoded anew. Edits of a text are given in places of the original, in any order; of overlapping ones the first is made, of those
+that begin together the longest; places behind the end are the end, a null new text is an empty one. Edits of no document are
+ignored. A null text counts as an empty one. Repeated rows each get a row; null ids are carried. An empty table gives no rows.
+Other columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays, tokenizer
+from textloom.llm.scratch import Scratch, keyed, sent
 
 LEAF = 512
-#: (needed character, pattern, replacement); patterns are bounded, so that a scan takes time in proportion to the text.
+#: (needed character, pattern, replacement); each scan takes time in proportion to the text (mail names and labels have 64 characters at most).
 RULES = (
     ("@", re.compile(r"[\w.+-]{1,64}@[\w-]{1,64}(?:\.[\w-]{1,64}){1,8}"), "<mail>"),
-    ("://", re.compile(r"https?://[^\s<>\"]{1,2048}"), "<web>"),
+    ("://", re.compile(r"https?://[^\s<>\"]+"), "<web>"),
     (".", re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])"), "<ip>"),
     ("-", re.compile(r"(?<![\d-])\d{3}-\d{3,4}-\d{4}(?![\d-])"), "<phone>"),
 )
@@ -38,9 +43,9 @@ RULES = (
 class Tree:
     """Leaves of a text and sums over them; ``chars[1]`` and ``tokens[1]`` are the whole text's."""
 
-    def __init__(self, text: str, vocabulary: str = tokenizer.VOCABULARY, counts: list[int] | None = None, leaf: int = LEAF):
+    def __init__(self, text: str, vocabulary: str = tokenizer.VOCABULARY, counts: list[int] | None = None, leaf: int = LEAF, leaves: list[str] | None = None):
         self.vocabulary, self.leaf, self.encoded = vocabulary, leaf, 0
-        self.leaves = tokenizer.blocks(text, leaf)
+        self.leaves = tokenizer.blocks(text, leaf) if leaves is None else leaves
         self.size = 1 << max(0, len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
         if counts is None:
@@ -51,10 +56,20 @@ class Tree:
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    @classmethod
+    def stored(cls, text: str, chars: list[int], tokens: list[int], vocabulary: str = tokenizer.VOCABULARY, leaf: int = LEAF) -> "Tree":
+        """A tree as it was kept: the text, and characters and tokens of each leaf."""
+        ends = [0, *accumulate(chars)]
+        return cls(text, vocabulary, tokens, leaf, [text[a:b] for a, b in zip(ends, ends[1:])])
+
     def counts(self) -> list[int]:
-        """Tokens of each leaf, which with the text restore the tree."""
+        """Tokens of each leaf."""
         return self.tokens[self.size : self.size + len(self.leaves)]
 
+    def lengths(self) -> list[int]:
+        """Characters of each leaf."""
+        return self.chars[self.size : self.size + len(self.leaves)]
+
     @property
     def total(self) -> int:
         return self.tokens[1]
@@ -117,41 +132,97 @@ class Tree:
                 self._set(lo + k, part, tokenizer.count(part, self.vocabulary) if part else 0)
 
 
-def redactions(text: str) -> list[tuple[int, int, str]]:
-    """Edits (start, end, new) of a text, ordered and apart; of overlapping ones the first, then the longest."""
-    found = [(m.start(), -m.end(), new) for need, pattern, new in RULES if need in text for m in pattern.finditer(text)]
+def apart(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Edits in order, without those that overlap one before."""
     out, at = [], 0
-    for start, end, new in sorted(found):
+    for start, end, new in sorted(edits, key=lambda e: (e[0], -e[1])):
         if start >= at:
-            out.append((start, -end, new))
-            at = -end
+            out.append((start, end, new))
+            at = max(end, start)
     return out
 
 
-def recount(text: str, edits: list[tuple[int, int, str]], vocabulary: str = tokenizer.VOCABULARY) -> tuple[int, int, int]:
-    """(tokens, tokens after the edits, characters encoded for them)."""
-    tree = Tree(text, vocabulary)
-    n = tree.total
-    for start, end, new in reversed(edits):  # from the end, so that places stay those of the original
-        tree.edit(start, end, new)
-    return n, tree.total, tree.encoded
-
-
-def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = tokenizer.VOCABULARY) -> DataFrame:
-    """(doc_id, n_tokens, n_edits, n_tokens_after, n_encoded) of every document."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in arrays.slices(batches, "text"):
-            got = []
-            for text in b["text"].to_pylist():
-                edits = redactions(text or "")
-                n, after, encoded = recount(text or "", edits, vocabulary)
-                got.append((n, len(edits), after, encoded))
-            cols = [pa.array(c, pa.int64()) for c in zip(*got)]
-            yield pa.record_batch([b["doc_id"], *cols], ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_encoded"])
-
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_encoded long")
+def redactions(text: str) -> list[tuple[int, int, str]]:
+    """Edits (start, end, new) of a text, ordered and apart."""
+    return apart([(m.start(), m.end(), new) for need, pattern, new in RULES if need in text for m in pattern.finditer(text)])
+
+
+TREES = "row_key long, doc_id long, text string, leaf_chars array<int>, leaf_tokens array<int>"
+EDITED = f"{TREES}, n_tokens long, n_edits long, n_encoded long"
+#: Bytes of edits up to which they are sent to the scan of the stored trees; more are joined by a shuffle.
+SENT_BYTES = 64 << 20
+
+
+def _plant(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+    ints = pa.list_(pa.int32())
+    for b in arrays.slices(batches, "text"):
+        made = [Tree(t or "", vocabulary) for t in b["text"].to_pylist()]
+        cols = [b["row_key"], b["doc_id"], b["text"], pa.array([t.lengths() for t in made], ints), pa.array([t.counts() for t in made], ints)]
+        yield pa.record_batch(cols, ["row_key", "doc_id", "text", "leaf_chars", "leaf_tokens"])
+
+
+def trees(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = tokenizer.VOCABULARY) -> DataFrame:
+    """A stored tree of every document."""
+    rows = keyed(docs, "row_key", scratch, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return scratch.table("trees", rows.mapInArrow(lambda it: _plant(it, vocabulary), TREES))
+
+
+def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in arrays.slices(batches, "text"):
+        found = [(k, *e) for k, t in zip(b["row_key"].to_pylist(), b["text"].to_pylist()) if t for e in redactions(t)]
+        if found:
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int32(), pa.int32(), pa.string()))], ["row_key", "start", "end", "new"])
+
+
+def redaction_edits(stored: DataFrame, scratch: Scratch) -> DataFrame:
+    """A stored table of edits (row_key, start, end, new)."""
+    return scratch.table("edits", stored.select("row_key", "text").mapInArrow(_redact, "row_key long, start int, end int, new string"))
+
+
+def _edit(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+    ints, names = pa.list_(pa.int32()), [x.split()[0] for x in EDITED.split(", ")]
+    for b in arrays.slices(batches, "text"):
+        out = []
+        for row in b.to_pylist():
+            tree = Tree.stored(row["text"] or "", row["leaf_chars"], row["leaf_tokens"], vocabulary)
+            before, size = tree.total, tree.chars[1]
+            edits = apart([(max(0, min(e["start"], size)), max(0, min(e["end"], size)), e["new"] or "") for e in row["edits"]])
+            for start, end, new in reversed(edits):  # from the end, so that places stay those of the original
+                tree.edit(start, max(start, end), new)
+            out.append((row["row_key"], row["doc_id"], tree.text(), tree.lengths(), tree.counts(), before, len(edits), tree.encoded))
+        kinds = (pa.int64(), pa.int64(), pa.string(), ints, ints, pa.int64(), pa.int64(), pa.int64())
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+
+def edited(stored: DataFrame, edits: DataFrame, vocabulary: str = tokenizer.VOCABULARY) -> DataFrame:
+    """The new trees of the documents with edits, with the tokens before, the number of edits and the characters encoded anew."""
+    per_text = edits.filter("start IS NOT NULL AND end IS NOT NULL").groupBy(F.col("row_key").alias("edit_key")).agg(F.collect_list(F.struct("start", "end", "new")).alias("edits"))
+    size = edits.agg(F.coalesce(F.sum(F.octet_length("new") + 32), F.lit(0))).first()[0]
+    per_text = F.broadcast(per_text) if size <= SENT_BYTES else per_text
+    both = stored.join(per_text, stored["row_key"] == per_text["edit_key"]).drop("edit_key")
+    return both.mapInArrow(lambda it: _edit(it, vocabulary), EDITED)
+
+
+def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = tokenizer.VOCABULARY, edits: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_tokens, n_edits, n_tokens_after, n_encoded) of every document; checkpointed.
+
+    ``edits`` has (doc_id, start, end, new), for every row with that id; without it the redactions are made.
+    """
+    scratch = Scratch(docs.sparkSession)
+    stored = trees(docs, scratch, id_col, text_col, vocabulary)
+    if edits is None:
+        made = redaction_edits(stored, scratch)
+    else:
+        given = edits.select(F.col("doc_id").alias("edit_id"), "start", "end", "new")
+        made = scratch.table("edits", stored.select("row_key", "doc_id").join(given, F.col("doc_id") == F.col("edit_id")).select("row_key", "start", "end", "new"))
+    total = F.aggregate("leaf_tokens", F.lit(0).cast("long"), lambda a, x: a + x)
+    new = scratch.table("new", edited(stored, made, vocabulary).select("row_key", "n_tokens", "n_edits", total.alias("n_tokens_after"), "n_encoded"))
+    new = sent(new)
+    old = stored.select("row_key", "doc_id", total.alias("before"))
+    both = old.join(new, "row_key", "left")
+    return scratch.result(
+        both.select("doc_id", F.col("before").alias("n_tokens"), *[F.coalesce(c, F.lit(d).cast("long") if isinstance(d, int) else F.col(d)).alias(c) for c, d in (("n_edits", 0), ("n_tokens_after", "before"), ("n_encoded", 0))])
+    )
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
