@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays
-from textloom.llm.scratch import fresh
+from textloom.llm.scratch import Scratch, fresh
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
+#: Words of a stretch whose share of distinct words is measured; a text has the mean over its stretches.
+STRETCH = 1000
 RULES = ("length", "stop_words", "symbols", "symbol_share", "repeats", "shouting", "exclaiming", "variety", "punctuation", "word_length", "line_ends", "repeated_lines")
 STOP = """the of and to in that is was he for it with as his on be at by this had not are but from or have an they which
 you were her all she there would their le la les de des du un une et est en que qui dans pour pas sur au avec ce il
@@ -52,9 +54,13 @@ def features(arr: pa.Array) -> dict[str, np.ndarray]:
     doc = t.doc_of()
     same = np.zeros(len(h), bool)
     same[1:] = (h[1:] == h[:-1]) & (doc[1:] == doc[:-1])
-    order = np.lexsort((h, doc))
+    part = (np.arange(len(h)) - first[doc]) // STRETCH
+    begins = np.zeros(len(h), bool)
+    begins[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])
+    part = np.cumsum(begins)
+    order = np.lexsort((h, part))
     new = np.ones(len(h), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    new[1:] = (h[order][1:] != h[order][:-1]) | (part[order][1:] != part[order][:-1])
     nonascii = data >= 0xC3
     upper2 = np.zeros(len(data), bool)
     upper2[1:] = (data[:-1] == 0xC3) & (data[1:] < 0x9F)
@@ -121,7 +127,7 @@ def votes(arr: pa.Array) -> np.ndarray:
         vote(some, ~(f["repeat"] >= 0.2), f["repeat"] >= 0.2),
         vote(f["letters"] >= 20, ~(f["upper"] >= 0.5), f["upper"] >= 0.5),
         vote(some, ~(f["exclaim"] >= 0.3), f["exclaim"] >= 0.3),
-        vote((n >= 30) & (n <= 3000), f["distinct"] >= 0.35, f["distinct"] < 0.2),
+        vote(n >= 30, f["distinct"] >= 0.35, f["distinct"] < 0.2),
         vote(n >= 40, ~((f["points"] < 0.004) | (f["points"] > 0.8)), (f["points"] < 0.004) | (f["points"] > 0.8)),
         vote(some, ~((f["mean_len"] < 2) | (f["mean_len"] > 12)), (f["mean_len"] < 2) | (f["mean_len"] > 12)),
         vote(some, f["closed"] >= 0.6, (f["lines"] >= 3) & (f["closed"] < 0.1)),
@@ -192,7 +198,11 @@ def digits(codes: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Fits the model to the votes on every document; only pattern counts reach the driver (3**12 at most)."""
-    rows = docs.select(code_column(F.col(text_col)).alias("code")).groupBy("code").count().orderBy("code").collect()
+    return _fit(docs.select(code_column(F.col(text_col)).alias("code")).groupBy("code").count())
+
+
+def _fit(counted: DataFrame) -> Model:
+    rows = counted.orderBy("code").collect()
     return fit(digits(np.array([r["code"] for r in rows], np.int64)), np.array([r["count"] for r in rows], float))
 
 
@@ -206,12 +216,16 @@ def posterior(code: Column, model: Model) -> Column:
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """(doc_id, votes, posterior, keep) of every row; ``votes`` has a digit a rule: 0 abstains, 1 bad, 2 good."""
-    model = train(docs, text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), code_column(F.col(text_col)).alias("code"))
+    """(doc_id, votes, posterior, keep) of every row; ``votes`` has a digit a rule: 0 abstains, 1 bad, 2 good; checkpointed.
+
+    Texts are read once: their votes are stored, and the model and the posteriors are made from these.
+    """
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.table("codes", docs.select(F.col(id_col).alias("doc_id"), code_column(F.col(text_col)).alias("code")))
+    model = _fit(rows.groupBy("code").count())
     shown = F.concat(*[F.pmod(F.floor(F.col("code") / F.lit(int(b))), F.lit(3)).cast("string") for b in _BASE])
     p = F.round(posterior(F.col("code"), model), 6)
-    return rows.select("doc_id", shown.alias("votes"), p.alias("posterior"), (p >= keep_at).alias("keep"))
+    return scratch.result(rows.select("doc_id", shown.alias("votes"), p.alias("posterior"), (p >= keep_at).alias("keep")))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", keep_at: float = 0.5) -> DataFrame:

@@ -1,7 +1,7 @@
 """Main text of HTML pages by two passes of block rules.
 
 A page is cut into blocks at block-level tags and at doubled line breaks; scripts, styles, titles, form choices and comments
-have no text. The first pass classifies each block on its own:
+have no text (nor has one that isn't closed, but for what follows it). The first pass classifies each block on its own:
 
 * bad: over ``LINKS`` of its characters are in links, or it has a copyright sign;
 * short: under ``SHORT`` characters, and bad if any of them is in a link;
@@ -33,8 +33,12 @@ from textloom.llm.op2_quality import STOP
 
 LINKS, SHORT, LONG, STOP_LOW, STOP_HIGH, HEADING = 0.2, 70, 200, 0.1, 0.14, 200
 _STOP = frozenset(STOP)
-_SILENT = "script|style|title|noscript|template|svg|iframe|object|select|textarea"
-_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)[^<>]*>|<[!?][^<>]*>", re.S | re.I)
+#: Elements without text: from the tag to its end tag. One that closes itself, or never, holds nothing; a raw one that never closes
+#: holds the rest of the page.
+_RAW = frozenset("script style textarea title".split())
+_SILENT = _RAW | frozenset("noscript template svg iframe object select".split())
+_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in _SILENT}
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-z][a-z0-9:-]*)[^<>]*>|<[!?][^<>]*>", re.S | re.I)
 _BLOCK = frozenset(
     "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -70,7 +74,8 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     at = 0
-    for m in _TAG.finditer(page):
+    open_: set[str] = set()  # silent elements that no longer end
+    while m := _TAG.search(page, at):
         if m.start() > at:
             piece = page[at : m.start()]
             parts.append(piece)
@@ -79,8 +84,16 @@ def blocks(page: str) -> list[Block]:
             if not piece.isspace():
                 breaks = 0
         at = m.end()
-        name = (m[3] or "").lower()
-        if name == "br":
+        name = (m[2] or "").lower()
+        if name in _SILENT:
+            if not m[1] and name not in open_ and (name in _RAW or page[at - 2] != "/"):
+                if end := _END[name].search(page, at):
+                    at = end.end()
+                elif name in _RAW:
+                    at = len(page)
+                else:
+                    open_.add(name)
+        elif name == "br":
             breaks += 1
             parts.append(" ")
             if breaks > 1:
@@ -88,12 +101,12 @@ def blocks(page: str) -> list[Block]:
         elif name == "a":
             linked += len(clean(link_parts))
             link_parts.clear()
-            in_link = not m[2]
+            in_link = not m[1]
         elif name in _BLOCK:
             flush()
             breaks = 0
             in_link = False
-            heading = int(name[0] == "h" and name[1:].isdigit() and not m[2])
+            heading = int(name[0] == "h" and name[1:].isdigit() and not m[1])
     if at < len(page):
         parts.append(page[at:])
     flush()
