@@ -1,10 +1,14 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator and stage."""
 
+from pathlib import Path
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textloom.llm import op1_pitman_yor, op2_quality, op3_decontaminate, op4_suffix, op5_html, op6_license, op7_token_counts, op8_simhash, op9_toxicity, op10_pack
+from textloom.llm import arrays, op1_pitman_yor, op2_quality, op3_decontaminate, op4_suffix, op5_html, op6_license, op7_token_counts, op8_simhash, op9_toxicity, op10_pack
+from textloom.llm.scratch import made, shared_dir
 
 EXTRA = ["row_key", "key", "text_", "votes", "code", "quality_votes", "hash_a", "hash_b", "cid", "pair", "cut", "cuts", "left", "n", "n_tokens", "toxic", "label_id", "mark", "bucket", "shard", "segment", "blob", "got", "item_id", "item_key", "top_key", "gone_key"]
 BASE = "doc_id long, text string, lang string, source string, n_chars long"
@@ -84,6 +88,44 @@ def test_stages(spark, awkward, empty, items, tmp_path, name, stage):
     assert stage(spark, empty, str(tmp_path)).count() == 0
 
 
+def test_toxicity_of_awkward_rows(spark, awkward):
+    bad = spark.createDataFrame([(100 + i, f"the word of it and {'vile nasty' if i % 2 else 'house'} was {i}") for i in range(200)], "doc_id long, text string")
+    docs = awkward.select("doc_id", "text").unionByName(bad).unionByName(bad.limit(1))
+    marks = bad.select("doc_id", F.pmod("doc_id", F.lit(2)).alias("toxic"))
+    got = op9_toxicity.toxicity(docs, marks).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        if r["doc_id"] in (2, 3, 4):
+            assert r["score"] == 0 and not r["toxic"]
+        if (r["doc_id"] or 0) >= 100:
+            assert r["toxic"] == (r["doc_id"] % 2 == 1)
+
+
+def test_stages_leave_no_tables(spark, awkward, items, tmp_path):
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    root = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(root.glob("scratch-*/*"))
+    for name, stage in corpus_pipeline.STAGES:
+        with made():
+            stage(spark, awkward, str(tmp_path)).write.parquet(str(tmp_path / name))
+    for f in (OPS[k][0] for k in ("op1", "op2", "op3", "op4", "op7", "op8", "op10")):
+        f(awkward, items, None).count()
+    assert set(root.glob("scratch-*/*")) == before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://there:7077"
+        getConf = staticmethod(lambda: {})
+
+        class _jsc:
+            sc = staticmethod(lambda: type("J", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))}))
+
+    session = type("S", (), {"sparkContext": Context, "conf": type("C", (), {"get": staticmethod(lambda k, d: d)})})
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(session)
+
+
 def test_defined_results(awkward, items):
     gone = {(r["doc_id"], r["kept_id"]) for r in op8_simhash.duplicates(awkward).collect()}
     assert (1, 0) in gone and (12, 0) in gone and (None, 0) in gone and not any(a == 2 for a, _ in gone)
@@ -92,5 +134,19 @@ def test_defined_results(awkward, items):
     packed = op10_pack.pack_texts(awkward).collect()
     assert {r["doc_id"] for r in packed if r["bin_id"] is None} >= {2, 3}
     assert {r["doc_id"] for r in op3_decontaminate.matches(awkward, items).collect()} == {0, 1, 12, None}
+    assert {r["kind"] for r in op3_decontaminate.matches(awkward, items).collect()} == {"phrase"}
+    votes = {r["doc_id"]: r for r in op2_quality.quality(awkward).collect()}
+    for d in (2, 3, 4):  # no words: the length rule alone votes, for bad
+        assert votes[d]["votes"] == "1" + "0" * 11 and not votes[d]["keep"]
+    assert votes[0]["posterior"] == votes[1]["posterior"] and votes[0]["votes"] == votes[1]["votes"]
+    spans = op4_suffix.repeats(awkward).collect()
+    n = len(arrays.words(pa.array([PROSE])).starts)
+    whole = sorted((str(r["doc_id"]), r["cut"]) for r in spans if (r["start_word"], r["end_word"]) == (0, n))
+    assert whole == [("0", False), ("0", True), ("1", True), ("12", True), ("None", True)]  # the first of the repeated rows stays
+    assert {r["doc_id"] for r in spans} == {0, 1, 10, 11, 12, None}  # repeats within one text count too
+    main = {r["page_id"]: r for r in op5_html.main_text(awkward, "doc_id", "text").collect()}
+    assert all(main[d]["text"] == "" and main[d]["n_blocks"] == 0 for d in (2, 3, 4)) and main[0]["text"] == PROSE
+    counts = {r["doc_id"]: r for r in op7_token_counts.token_counts(awkward).collect()}
+    assert all(tuple(counts[d])[1:] == (0, 0, 0, 0) for d in (2, 3)) and counts[12]["n_tokens"] > counts[0]["n_tokens"] == counts[1]["n_tokens"]
     scores = {r["doc_id"]: r for r in op1_pitman_yor.score(awkward).collect()}
     assert scores[2]["n_words"] == 0 and scores[2]["perplexity"] is None and scores[3]["log_prob"] == 0

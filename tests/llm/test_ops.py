@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.llm.licenses import TEMPLATES
 from textloom.llm import arrays, op1_pitman_yor, op2_quality, op3_decontaminate, op4_suffix, op5_html, op6_license, op7_token_counts, op8_simhash, op9_toxicity, op10_pack, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -184,6 +185,63 @@ def test_quality_against_labels(spark):
     assert right / sum(n.values()) > 0.9
 
 
+def plain_votes(text):
+    """The twelve rules on one text, without arrays."""
+    text = text or ""
+    raw, w = text.encode(), words(text)
+    n, lines = len(w), [x for x in raw.split(b"\n") if x]
+    letters = [c for c in text if c.isascii() and c.isalpha()]
+    wide = sum(x >= 0xC3 for x in raw)
+    upper = sum(c.isupper() for c in letters) + sum(raw[i - 1] == 0xC3 and raw[i] < 0x9F for i in range(1, len(raw)))
+    symbols = sum(chr(x) in "#$%&*|@^~<>{}\\=+_[]`" for x in raw)
+    share = lambda k, of: k / max(of, 1)
+    distinct = share(sum(len(set(w[i : i + op2_quality.STRETCH])) for i in range(0, n, op2_quality.STRETCH)), n)
+    stop, again = share(sum(x in op2_quality.STOP for x in w), n), share(sum(a == b for a, b in zip(w, w[1:])), n)
+    mean, points = share(sum(len(x.encode()) for x in w), n), share(sum(text.count(c) for c in ".!?"), n)
+    closed = share(sum(x[-1:] in b".!?\":" for x in lines), len(lines))
+    copies = share(len(lines) - len(set(lines)), len(lines))
+    rules = [
+        (True, n >= 3, n < 3),
+        (n >= 8, stop >= 0.12, n >= 25 and stop < 0.04),
+        (n > 0, True, share(symbols, n) >= 0.3),
+        (n > 0, True, share(symbols, len(raw)) >= 0.04),
+        (n >= 8, True, again >= 0.2),
+        (len(letters) + wide >= 20, True, share(upper, len(letters) + wide) >= 0.5),
+        (n >= 8, True, share(text.count("!"), n) >= 0.3),
+        (n >= 30, distinct >= 0.35, distinct < 0.2),
+        (n >= 40, True, points < 0.004 or points > 0.8),
+        (n >= 8, True, mean < 2 or mean > 12),
+        (n >= 8, closed >= 0.6, len(lines) >= 3 and closed < 0.1),
+        (len(lines) >= 4, True, copies >= 0.4),
+    ]
+    return "".join("0" if not asked else "1" if bad else "2" if good else "0" for asked, good, bad in rules)
+
+
+def test_votes_and_posteriors_against_brute_force(docs, texts):
+    """Votes are recomputed text by text, the model by expectation-maximisation over single documents."""
+    want = {d: plain_votes(t) for d, t in texts.items()}
+    got = {r["doc_id"]: r for r in op2_quality.quality(docs).collect()}
+    assert {d: r["votes"] for d, r in got.items()} == want
+    every = list(want.values())
+    p = [0.1 if "1" in v else 0.95 for v in every]
+    for _ in range(500):
+        good = [(sum(q for v, q in zip(every, p) if v[j] == "2") + 9.9) / (sum(q for v, q in zip(every, p) if v[j] != "0") + 10) for j in range(12)]
+        bad = [(sum(1 - q for v, q in zip(every, p) if v[j] == "1") + 1) / (sum(1 - q for v, q in zip(every, p) if v[j] != "0") + 2) for j in range(12)]
+        prior = min(0.99, max(0.01, sum(p) / len(p)))
+        odds = [math.log(prior / (1 - prior)) + sum(0 if x == "0" else math.log((1 - g) / b) if x == "1" else math.log(g / (1 - b)) for x, g, b in zip(v, good, bad)) for v in every]
+        new = [1 / (1 + math.exp(-x)) for x in odds]
+        moved, p = max(abs(x - y) for x, y in zip(new, p)), new
+        if moved < 1e-10:
+            break
+    assert max(abs(q - got[d]["posterior"]) for d, q in zip(want, p)) < 2e-5
+
+
+def test_long_texts_are_judged_for_variety():
+    cycle, fresh = " ".join(f"the w{i % 40}" for i in range(4000)), " ".join(f"the w{i}" for i in range(4000))
+    at = op2_quality.RULES.index("variety")
+    assert op2_quality.votes(pa.array([cycle, fresh]))[:, at].tolist() == [op2_quality.BAD, op2_quality.GOOD]
+
+
 # 3
 def test_phrases_against_brute_force(spark, docs, texts):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
@@ -217,6 +275,12 @@ def test_proximity_by_brute_force(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and want
 
 
+def test_short_items_match_as_phrases(spark):
+    rows, tests = [(1, "the answer is forty two indeed"), (2, "two forty is the answer")], [(1, "forty two"), (2, "answer"), (3, "no such")]
+    got = op3_decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(tests, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["kind"]) for r in got) == [(1, 1, "phrase"), (1, 2, "phrase"), (2, 2, "phrase")]
+
+
 # 4
 @pytest.mark.parametrize("least", [50, 20])
 def test_repeats_against_brute_force(docs, texts, least):
@@ -257,6 +321,75 @@ def test_html_rules():
     assert op5_html.extract(None) == ("", 0, 0) == op5_html.extract("")
 
 
+def test_silent_elements_that_never_end():
+    page = "<p>one</p><svg/><p>two</p><object><p>three</p><noscript><p>no</p></noscript><p>four<script>x<p>no</p>"
+    assert [b.text for b in op5_html.blocks(page)] == ["one", "two", "three", "four"]
+    assert op5_html.extract("<svg>" * 100_000 + "<svg " * 100_000)[2] == 0
+
+
+def plain_kinds(found):
+    """Both passes by looking up and down from every block."""
+    first = []
+    for b in found:
+        w = re.findall(r"[^\W\d_]+", b.text.lower())
+        stops = sum(x in op5_html._STOP for x in w) / max(1, len(w))
+        if b.link_chars > 0.2 * len(b.text) or "©" in b.text:
+            first.append("bad")
+        elif len(b.text) < 70:
+            first.append("bad" if b.link_chars else "short")
+        else:
+            first.append("bad" if stops < 0.1 else "near" if stops < 0.14 or len(b.text) <= 200 else "good")
+    own = list(first)
+    for i, b in enumerate(found):
+        if first[i] == "short" and b.heading:
+            far = 0
+            for j in range(i + 1, len(found)):
+                if first[j] in ("good", "near"):
+                    own[i] = "good" if far <= 200 else own[i]
+                    break
+                far += len(found[j].text)
+    out = []
+    for i, k in enumerate(own):
+        sides = []
+        for side in (own[:i][::-1], own[i + 1 :]):
+            at = next((j for j, x in enumerate(side) if x in ("good", "bad")), None)
+            sides.append((side[at] if at is not None else "bad", "near" in (side[:at] if at is not None else side)))
+        (p, p_near), (q, q_near) = sides
+        if k in ("good", "bad"):
+            out.append(k)
+        elif p == q:
+            out.append(p)
+        else:
+            out.append("good" if k == "near" or (p == "bad" and p_near) or (q == "bad" and q_near) else "bad")
+    return out
+
+
+def test_block_rules_against_brute_force(spark):
+    rng = random.Random(4)
+    filler = ["the of and house in that was town it", "xylophone quartz jumble vex", "word and other"]
+    pages = []
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            text = " ".join(rng.choice(filler) for _ in range(rng.choice([1, 1, 3, 6, 12])))
+            tag = rng.choice(["p", "p", "h2", "div"])
+            parts.append(f"<{tag}>{'<a href=x>' if rng.random() < 0.2 else ''}{text}</a></{tag}>")
+        pages.append("".join(parts))
+    pages += [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    kinds = Counter()
+    for page in pages:
+        found = op5_html.blocks(page)
+        want = plain_kinds(found)
+        op5_html.classify(found)
+        assert [b.kind for b in found] == want
+        kinds.update(want)
+    assert min(kinds["good"], kinds["bad"]) > 100
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    for r in op5_html.main_text(rows).collect():
+        found = op5_html.blocks(pages[r["page_id"]])
+        assert r["text"] == "\n\n".join(b.text for b, k in zip(found, plain_kinds(found)) if k == "good")
+
+
 def test_html_time_is_linear():
     assert op5_html.extract("<a" * 200_000)[1] == 1
     assert op5_html.extract("<p>" * 200_000) == ("", 0, 0)
@@ -296,16 +429,67 @@ def test_alignment():
             assert [a[i] for i in op6_license.increasing(a)] == sorted(set(a[i] for i in op6_license.increasing(a)))
 
 
+NOTICE = {t.license: t.text for t in reversed(TEMPLATES)}
+WHOLE = {t.license: t.text for t in TEMPLATES}
+
+
+def scan(texts):
+    return list(op6_license.Scanner(TEMPLATES).scan(pa.array(texts, pa.string())))
+
+
 def test_licenses_are_found(spark, texts):
-    isc, mit = op6_license.TEMPLATES["isc"], op6_license.TEMPLATES["mit"]
+    isc, mit = WHOLE["isc"], NOTICE["mit"]
     rows = [(1, f"some words. {isc} more words " + "the of and " * 500), (2, isc.replace("purpose", "aim").replace("hereby", "")), (3, "use copy modify " * 30), (4, f"{mit} and {mit}"), (5, "released under the old license mit")]
-    got = [tuple(r)[:3] for r in op6_license.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    got = sorted(tuple(r)[:3] for r in op6_license.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert [x[:2] for x in got] == [(1, "isc"), (2, "isc"), (4, "mit"), (4, "mit")] and got[0][2] == 1.0 and 0.8 <= got[1][2] < 1
     found = {(r["doc_id"], r["license"]) for r in op6_license.licenses(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
-    want = {(d, k) for d, t in texts.items() for k in ("mit", "apache-2.0", "gpl-3.0", "cc-by-nc-4.0") if op6_license.TEMPLATES[k].lower() in t.lower()}
+    want = {(d, k) for d, t in texts.items() for k in ("mit", "apache-2.0", "gpl-3.0", "cc-by-nc-4.0") if NOTICE[k].lower() in t.lower()}
     assert found == want
 
 
+def test_every_template_is_told_from_its_kin():
+    for t in TEMPLATES:
+        n = len(words(t.text))
+        assert [x[1:] for x in scan([f"before. {t.text} after"])] == [(t.license, 1.0, 1, n)]
+    near = ["Licensed under the MIT License", "Released under MIT license", "Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0", "Licensed under the GNU General Public License, version 2."]
+    assert [(x[0], x[1]) for x in scan(near)] == [(0, "mit"), (1, "mit"), (2, "cc-by-4.0"), (3, "cc-by-nc-4.0")]
+
+
+def test_coverage_counts_what_is_left():
+    """Words that occur once in a template: taking k away leaves (n - k) / n, foreign words between change nothing."""
+    rng = random.Random(6)
+    for t in TEMPLATES:
+        w = words(t.text)
+        if len(w) < 30:
+            continue
+        single = [i for i, x in enumerate(w) if w.count(x) == 1 and x not in t.keys and 0 < i < len(w) - 1]
+        gone = set(rng.sample(single, min(len(single), len(w) // 10)))
+        left = [x for i, x in enumerate(w) if i not in gone]
+        spread = [y for x in left for y in ([x, f"foreign{rng.random()}"] if rng.random() < 0.2 else [x])]
+        for text in (left, spread):
+            got = [x for x in scan([" ".join(text)]) if x[1] == t.license]
+            assert [round(x[2], 9) for x in got] == [round(len(left) / len(w), 9)], t.license
+
+
+def test_scans_against_trying_every_place():
+    rng = random.Random(8)
+    some = [op6_license.Template("x", "alpha beta gamma delta beta eta", ("gamma",)), op6_license.Template("y", "one two three four")]
+    vocabulary = "alpha beta gamma delta eta one two three four other".split()
+    for _ in range(400):
+        text = [rng.choice(vocabulary) for _ in range(rng.randint(0, 25))]
+        for t in some:
+            w, want, at = words(t.text), [], 0
+            for i in range(len(text)):
+                if i < at:
+                    continue
+                got = op6_license.align(w, text[i : i + math.ceil(1.5 * len(w))])
+                if got and len(got) >= math.ceil(0.8 * len(w)) and got[0][1] == 0 and set(t.keys) <= {w[a] for a, _ in got}:
+                    want.append((round(len(got) / len(w), 9), i, i + got[-1][1]))
+                    at = i + got[-1][1] + 1
+            mine = [(round(x[2], 9), *x[3:]) for x in op6_license.Scanner([t]).scan(pa.array([" ".join(text)]))]
+            assert mine == want
+
+
 # 7
 def test_edits_keep_counts():
     rng = random.Random(3)
@@ -333,12 +517,31 @@ def test_recounts_encode_little(docs, texts):
         assert r["n_encoded"] <= 4 * op7_token_counts.LEAF * len(edits) + 2048 * (r["n_edits"] > 0)
 
 
-def test_counts_restore_the_tree():
-    text = "some words and others. " * 200
-    a = op7_token_counts.Tree(text)
-    b = op7_token_counts.Tree(text, counts=a.counts())
-    b.edit(100, 120, "new")
-    assert b.total == tokenizer.count(text[:100] + "new" + text[120:])
+def test_stored_trees_take_edits_again_and_again():
+    rng, text = random.Random(9), "some words and others. " * 200
+    tree = op7_token_counts.Tree(text)
+    for _ in range(30):
+        a = rng.randrange(len(text))
+        text = text[:a] + "new" + text[a + 20 :]
+        tree.edit(a, a + 20, "new")
+        kept = tree.text(), tree.lengths(), tree.counts()
+        tree = op7_token_counts.Tree.stored(*kept)
+        assert tree.encoded == 0 and tree.total == tokenizer.count(text) and (tree.text(), tree.lengths(), tree.counts()) == kept
+
+
+@pytest.mark.parametrize("sent", [1 << 20, -1])
+def test_edits_table(spark, monkeypatch, sent):
+    """Edits in any order, overlapping, behind the end, null and of no document; sent to the scan or joined by a shuffle."""
+    monkeypatch.setattr(op7_token_counts, "SENT_BYTES", sent)
+    text = "The quick brown fox jumps over the lazy dog. " * 100
+    docs = spark.createDataFrame([(1, text), (2, text), (3, None), (None, text)], "doc_id long, text string")
+    edits = spark.createDataFrame([(1, 4, 9, "slow"), (1, 900, 1000, None), (1, 5, 7, "lost"), (1, 10**6, 10**6 + 5, " end"), (3, 0, 0, "born anew"), (9, 0, 1, "x"), (None, 0, 3, "x")], "doc_id long, start int, end int, new string")
+    got = {r["doc_id"]: r for r in op7_token_counts.token_counts(docs, edits=edits).collect()}
+    new = text[:4] + "slow" + text[9:900] + text[1000:] + " end"
+    n = tokenizer.count(text)
+    assert tuple(got[1])[1:4] == (n, 3, tokenizer.count(new)) and 0 < got[1]["n_encoded"] <= 6 * op7_token_counts.LEAF
+    assert tuple(got[2])[1:] == (n, 0, n, 0) == tuple(got[None])[1:]
+    assert tuple(got[3])[1:4] == (0, 1, tokenizer.count("born anew"))
 
 
 # 8
@@ -403,10 +606,72 @@ def test_toxicity_on_held_out_rows(spark):
     assert right >= 0.97 * len(got)
 
 
-def test_toxicity_precision(spark):
+def test_toxicity_models_are_normalised():
+    rng = random.Random(2)
+    make = lambda extra: [" ".join(rng.choice([f"w{i}" for i in range(12)] + extra) for _ in range(rng.randint(1, 30))) for _ in range(80)]
+    texts = {1: pa.array(make(["vile"] * 3)), 0: pa.array(make([]))}
+    m = op9_toxicity.train(texts)
+    of = {int(k): i for i, k in enumerate(m.words)}
+    pair = {int(k): i for i, k in enumerate(m.pairs)}
+    for c in range(2):
+        uni = np.exp(m.unigram[c].astype(float))
+        assert uni.sum() + math.exp(m.unseen[c]) == pytest.approx(1, abs=1e-5)
+        for before in m.words:
+            w = np.exp(m.backoff[c][of[int(before)]].astype(float))
+            keys = op9_toxicity._key(np.full(len(m.words), before), m.words)
+            p = [math.exp(m.bigram[c][pair[int(k)]]) if int(k) in pair else w * uni[i] for i, k in enumerate(keys)]
+            assert sum(p) + w * math.exp(m.unseen[c]) == pytest.approx(1, abs=1e-4)
+
+
+def test_toxicity_against_brute_force():
+    """Both models from dictionaries of counts, word by word."""
+    rng = random.Random(3)
+    make = lambda extra, n: [" ".join(rng.choice([f"w{i}" for i in range(9)] + extra) for _ in range(rng.randint(1, 12))) for _ in range(n)]
+    texts = {1: make(["vile", "vile"], 60), 0: make(["fine"], 90)}
+    size = {c: len(t) for c, t in texts.items()}
+    single, double = ({c: Counter(x for t in texts[c] for x in set(f(words(t)))) for c in texts} for f in (lambda w: w, lambda w: list(zip(["<s>", *w], w))))
+
+    def told(counts):
+        out = {0: {}, 1: {}}
+        for x in counts[0] | counts[1]:
+            n = {c: counts[c][x] for c in counts}
+            rate = sum(n.values()) / sum(size.values())
+            ratio = 2 * sum((n[c] * math.log(n[c] / size[c] / rate) if n[c] else 0) + ((size[c] - n[c]) * math.log((1 - n[c] / size[c]) / (1 - rate)) if n[c] < size[c] else 0) for c in n)
+            for c in n:
+                out[c][x] = n[c] * sum(size.values()) / size[c] if ratio >= op9_toxicity.SURE else sum(n.values())
+        return out
+
+    def discounts(counts):
+        n = Counter(min(x, 4) for x in (counts[0] + counts[1]).values())
+        n = {k: n[k] + 1 for k in (1, 2, 3, 4)}
+        y = n[1] / (n[1] + 2 * n[2])
+        return {x: min(max(min(k, 3) - (min(k, 3) + 1) * y * n[min(k, 3) + 1] / n[min(k, 3)], 0.3 * min(k, 3)), 0.95 * min(k, 3)) for x, k in (counts[0] + counts[1]).items()}
+
+    one, two, less1, less2 = told(single), told(double), discounts(single), discounts(double)
+    seen = Counter(b for _, b in double[0] | double[1])
+    model = op9_toxicity.train({c: pa.array(t) for c, t in texts.items()})
+    tests = make(["vile", "fine", "stranger"], 30)
+    got = model.score(pa.array(tests))
+    for c, mine in ((1, got[0]), (0, got[1])):
+        total = sum(one[c].values())
+        kept = {w: max(k - less1[w], 0) / total for w, k in one[c].items()}
+        uni = lambda w: kept.get(w, 0) + (1 - sum(kept.values())) * (seen[w] if w in seen else 1) / (sum(seen.values()) + 1)  # noqa: B023, E731
+        for text, value in zip(tests, mine):
+            logs = []
+            for a, b in zip(["<s>", *words(text)], words(text)):
+                after = {x: k for (h, x), k in two[c].items() if h == a}
+                all_ = sum(after.values())
+                full = {x: max(k - less2[a, x], 0) / all_ for x, k in after.items() if all_}
+                logs.append(math.log(full.get(b, 0) + (1 - sum(full.values())) * uni(b)))
+            assert value == pytest.approx(sum(logs) / len(logs), abs=1e-4)
+
+
+def test_toxicity_precision_on_rows_not_trained_on(spark):
     d = "/root/testdata/sf0.1"
-    got = op9_toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
-    n = {(r["y"], r["toxic"]): r["count"] for r in got.join(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", F.col("toxic").alias("y")), "doc_id").groupBy("y", "toxic").count().collect()}
+    marks = spark.read.parquet(f"{d}/labels.parquet")
+    known, unknown = marks.filter("doc_id % 3 > 0"), marks.filter("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("y"))
+    got = op9_toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), known)
+    n = {(r["y"], r["toxic"]): r["count"] for r in got.join(unknown, "doc_id").groupBy("y", "toxic").count().collect()}
     assert n[1, True] / (n[1, True] + n.get((0, True), 0)) > 0.9 and n[1, True] / (n[1, True] + n.get((1, False), 0)) > 0.7
 
 
@@ -440,3 +705,51 @@ def test_exact_complements():
             for a, b in p.items:
                 used[a] += b * p.count
         assert {k: v for k, v in used.items() if v} == lengths
+
+
+def plain_plan(lengths, capacity):
+    """The same rules on single pieces: one bin after the other, everything searched for anew."""
+    left = Counter({k: v for k, v in lengths.items() if v})
+    bins = []
+
+    def take(*parts):
+        ok = all(left[p] >= parts.count(p) for p in parts)
+        while ok and all(left[p] >= parts.count(p) for p in parts):
+            left.subtract(parts)
+            bins.append(sorted(parts))
+
+    for first in range(capacity, 0, -1):
+        gap = capacity - first
+        if gap == 0:
+            take(first)
+        for n in (1, 2, 3):
+            parts = [p for p in itertools.combinations_with_replacement(range(1, gap + 1), n) if sum(p) == gap]
+            for p in sorted(parts, reverse=True):
+                take(first, *p)
+    rest = []
+    for length in sorted(left.elements(), reverse=True):
+        fits = [b for b in rest if sum(b) + length <= capacity]
+        if fits:
+            max(fits, key=sum).append(length)
+        else:
+            rest.append([length])
+    return bins, rest
+
+
+def test_packing_against_brute_force():
+    rng = random.Random(11)
+    for capacity in (6, 9, 13):
+        for _ in range(60):
+            lengths = {k: rng.choice([0, 0, 1, 2, 5]) for k in range(1, capacity + 1)}
+            exact, rest = plain_plan(lengths, capacity)
+            got = [(sorted(x for a, b in p.items for x in [a] * b)) for p in op10_pack.plan({k: v for k, v in lengths.items() if v}, capacity) for _ in range(p.count)]
+            full = [b for b in got if sum(b) == capacity]
+            assert Counter(map(tuple, exact)) <= Counter(map(tuple, full))
+            assert len(got) == len(exact) + len(rest) and sum(map(sum, got)) == sum(k * v for k, v in lengths.items())
+
+
+def test_packing_is_the_same_in_buckets(spark, monkeypatch):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), (F.pmod(F.col("id"), F.lit(3)) * 700 + 5).alias("n"))
+    want = sorted(map(tuple, op10_pack.pack(docs, F.col("n")).collect()))
+    monkeypatch.setattr(op10_pack, "RANK_ROWS", 90)
+    assert sorted(map(tuple, op10_pack.pack(docs, F.col("n")).collect())) == want

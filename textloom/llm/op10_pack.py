@@ -25,7 +25,7 @@ from textloom.llm import tokenizer
 from textloom.llm.scratch import Scratch
 
 CAPACITY = 2048
-#: Rows of one length that are ranked together; a length with more rows is ranked in several buckets.
+#: Rows of one length that are ranked together; a length with more rows is ranked in several ranges of the hash, in the same order.
 RANK_ROWS = 1_000_000
 
 
@@ -38,7 +38,11 @@ class Pattern:
 
 
 def plan(lengths: dict[int, int], capacity: int) -> list[Pattern]:
-    """Bins for so many pieces of each length; every piece is placed once."""
+    """Bins for so many pieces of each length; every piece is placed once.
+
+    There are at most four patterns a length, whatever the counts: each complement uses up one length, and best-fit opens at
+    most three patterns for one.
+    """
     avail = np.zeros(capacity + 1, np.int64)
     for length, n in lengths.items():
         avail[length] += n
@@ -120,7 +124,7 @@ def slots(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int]]:
 
 
 def pack(docs: DataFrame, lengths: Column, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
-    """Packs the rows of ``docs``, ``lengths`` being their token counts (null counts as 0)."""
+    """Packs the rows of ``docs``, ``lengths`` being their token counts (null counts as 0); checkpointed."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     sized = scratch.table("sized", docs.select(F.col(id_col).alias("doc_id"), F.coalesce(lengths.cast("long"), F.lit(0)).alias("n")))
     cut = F.when(F.col("n") <= 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), ((F.col("n") - 1) / capacity).cast("int")))
@@ -133,7 +137,7 @@ def pack(docs: DataFrame, lengths: Column, id_col: str = "doc_id", capacity: int
     table = spark.createDataFrame(slots(plan(counts, capacity)), where)
     buckets = max(1, -(-max(counts.values(), default=1) // RANK_ROWS))
     mark = F.xxhash64("doc_id", "chunk")
-    ranked = pieces.filter(filled).withColumn("mark", mark).withColumn("bucket", F.pmod(F.col("mark"), F.lit(buckets)))
+    ranked = pieces.filter(filled).withColumn("mark", mark).withColumn("bucket", F.floor((F.col("mark") / 2.0**64 + 0.5) * buckets))
     within = Window.partitionBy("n_tokens", "bucket").orderBy("mark", "doc_id", "chunk")
     ranked = ranked.withColumn("rank", F.row_number().over(within) - F.lit(1).cast("long"))
     if buckets > 1:
@@ -141,14 +145,14 @@ def pack(docs: DataFrame, lengths: Column, id_col: str = "doc_id", capacity: int
         before = Window.partitionBy("n_tokens").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("n_tokens", "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("skip"))
         ranked = ranked.join(sums, ["n_tokens", "bucket"]).withColumn("rank", F.col("rank") + F.col("skip"))
-    table = F.broadcast(table.withColumnRenamed("n_tokens", "slot_tokens"))  # bounded by the lengths up to capacity, not by rows
+    table = F.broadcast(table.withColumnRenamed("n_tokens", "slot_tokens"))  # bounded by the capacity, see plan()
     hit = ranked.join(table, (F.col("n_tokens") == F.col("slot_tokens")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
     nth = F.col("rank") - F.col("from_rank")
     placed = hit.select(
         "doc_id", "chunk", "n_tokens", (F.col("first_bin") + F.floor(nth / F.col("each"))).alias("bin_id"), (F.col("at") + F.pmod(nth, F.col("each")) * F.col("n_tokens")).alias("bin_offset")
     )
     none = F.lit(None).cast("long")
-    return placed.unionByName(pieces.filter(~filled).select("doc_id", "chunk", "n_tokens", none.alias("bin_id"), none.alias("bin_offset")))
+    return scratch.result(placed.unionByName(pieces.filter(~filled).select("doc_id", "chunk", "n_tokens", none.alias("bin_id"), none.alias("bin_offset"))))
 
 
 def token_count(text: Column, vocabulary: str = tokenizer.VOCABULARY) -> Column:

@@ -9,7 +9,9 @@ a stored table. A test item is looked up segment by segment:
 * *proximity*: at least ``share`` of the item's distinct terms within ``slack`` times the item's length of consecutive words,
   in any order. Anchors are the occurrences of the rarest terms, so many of them that no match can be without one.
 
-Contract: an item with fewer than ``least`` words never matches. Null or empty texts have no words. Repeated rows each get
+An item with fewer than ``least`` words is sought as a phrase only: any one or two words in any order are no match.
+
+Contract: null or empty texts have no words. Repeated rows each get
 their matches; a document matching several items has a row for each. Null ids are carried. Empty tables on either side give
 no rows. Other columns of the inputs don't matter, whatever their names.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import arrays
-from textloom.llm.scratch import Scratch, keyed
+from textloom.llm.scratch import Scratch, keyed, text_key
 
 PHRASE, LEAST, SHARE, SLACK = 13, 5, 0.8, 1.5
 #: Bytes of text in a segment, and of test items that are looked up together.
@@ -94,11 +96,11 @@ class Item:
     distinct: np.ndarray
 
 
-def read_items(keys: list[int], texts: list[str | None], least: int) -> list[Item]:
+def read_items(keys: list[int], texts: list[str | None]) -> list[Item]:
     t = arrays.words(pa.array(texts, pa.string()))
     h = t.hashes()
     own = [h[a:b] for a, b in zip(t.first, t.first[1:])]
-    return [Item(k, w, np.unique(w)) for k, w in zip(keys, own) if len(w) >= least]
+    return [Item(k, w, np.unique(w)) for k, w in zip(keys, own) if len(w)]
 
 
 def phrases(seg: Segment, words: np.ndarray, found: np.ndarray, size: np.ndarray, n: int, lists: dict[int, np.ndarray]) -> list[np.ndarray]:
@@ -144,7 +146,7 @@ def widest(positions: np.ndarray, which: np.ndarray, width: int, kinds: int) ->
     return best
 
 
-def match(seg: Segment, items: list[Item], phrase: int, share: float, slack: float) -> Iterator[tuple[int, int, str, int, int, int]]:
+def match(seg: Segment, items: list[Item], phrase: int, least: int, share: float, slack: float) -> Iterator[tuple[int, int, str, int, int, int]]:
     """(row key, item key, kind, hits, first word, last word); words count from the document's start, the last is included.
 
     ``hits`` is the number of positions at which a run of the item begins, or of distinct terms in the window. A document
@@ -172,6 +174,8 @@ def match(seg: Segment, items: list[Item], phrase: int, share: float, slack: flo
                 own = p[doc == d] - int(seg.first[d])
                 done.add(int(d))
                 yield int(seg.rows[d]), item.key, "phrase", len(own), int(own[0]), int(own[-1]) + n - 1
+        if len(item.words) < least:
+            continue
         m = len(item.distinct)
         need = max(1, int(np.ceil(share * m - 1e-9)))
         idx = seg.find(item.distinct)
@@ -208,9 +212,9 @@ def match(seg: Segment, items: list[Item], phrase: int, share: float, slack: flo
                 yield int(seg.rows[docs[j]]), item.key, "proximity", best, lo - int(start[j]), hi - int(start[j])
 
 
-def _search(batches: Iterator[pa.RecordBatch], items: list[Item], phrase: int, share: float, slack: float) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], items: list[Item], phrase: int, least: int, share: float, slack: float) -> Iterator[pa.RecordBatch]:
     for seg in _segments(batches):
-        rows = list(match(seg, items, phrase, share, slack))
+        rows = list(match(seg, items, phrase, least, share, slack))
         if rows:
             cols = list(zip(*rows))
             yield pa.record_batch(
@@ -237,11 +241,11 @@ def search(index: DataFrame, items: DataFrame, scratch: Scratch, phrase: int = P
     for r in range(rounds):
         part = items if rounds == 1 else items.filter(F.pmod(F.hash("item_key"), F.lit(rounds)) == r)
         got = part.orderBy("item_key").collect()
-        ready = read_items([x["item_key"] for x in got], [x["text"] for x in got], least)
+        ready = read_items([x["item_key"] for x in got], [x["text"] for x in got])
         sent = spark.sparkContext.broadcast(ready)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            return _search(batches, sent.value, phrase, share, slack)
+            return _search(batches, sent.value, phrase, least, share, slack)
 
         out.append(index.mapInArrow(run, FOUND))
         if rounds > 1:
@@ -271,12 +275,11 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     tests = keyed(items, "item_key", scratch, F.col(item_text).alias("text"))
     found = scratch.table("found", search(store_index(rows, scratch), tests, scratch, **how))
     scratch.remove("index")
-    hashes = [F.xxhash64("text").alias("hash_a"), F.xxhash64("text", F.lit(1)).alias("hash_b")]
-    bad = rows.join(found.select("row_key").distinct(), "row_key", "left_semi").select(*hashes).distinct()
+    bad = rows.join(found.select("row_key").distinct(), "row_key", "left_semi").select(*text_key(F.col("text"))).distinct()
     bad = scratch.table("bad", bad)
-    text = docs[text_col]
-    here = (F.xxhash64(text) == bad["hash_a"]) & (F.xxhash64(text, F.lit(1)) == bad["hash_b"])
-    return docs.join(bad, here, "left_anti")
+    scratch.only("bad")
+    hash_a, hash_b = text_key(docs[text_col])
+    return docs.join(bad, (hash_a == bad["hash_a"]) & (hash_b == bad["hash_b"]), "left_anti")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
