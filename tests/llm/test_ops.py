@@ -299,6 +299,40 @@ def test_repeats_against_brute_force(docs, texts, least):
     assert mine[True] == cut and mine[False] == kept and cut
 
 
+def test_ranges_are_chained(spark, tmp_path):
+    """Ranks of sorted ranges that cut keys anywhere are those of the whole."""
+    rng = random.Random(12)
+    for _ in range(200):
+        rows = sorted((rng.choice([1, 1, 1, 2, 3, 4, 5, 9]), 0, rng.randrange(50), i) for i in range(rng.randint(1, 30)))
+        cuts = sorted(rng.randint(0, len(rows)) for _ in range(rng.randint(0, 5)))
+        want, count = {}, Counter(r[:2] for r in rows)
+        for r in rows:
+            if count[r[:2]] > 1:
+                want[r[2:]] = (sorted(count).index(r[:2]), r != min(x for x in rows if x[:2] == r[:2]))
+        got, edges, parts = {}, [], []
+        for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+            own = rows[lo:hi]
+            step = rng.randint(1, 4)
+            batches = [pa.record_batch([pa.array([r[k] for r in own[i : i + step]], pa.int32() if k == 3 else pa.int64()) for k in range(4)], ["a", "b", "cid", "pos"]) for i in range(0, len(own), step)]
+            for b in op4_suffix._ranked(iter(batches), part):
+                for r in b.to_pylist():
+                    edges.append((part, r["edge"])) if r["edge"] else parts.append((part, r))
+        ends = {x[0]: x[1:] for x in op4_suffix._chained(edges)}
+        for part, r in parts:
+            start, keys, first_alone, last_alone, goes_on = ends[part]
+            if not (r["local"] == 0 and first_alone) and not (r["local"] == keys - 1 and last_alone):
+                got[r["cid"], r["pos"]] = (start + r["local"], r["later"] or (r["local"] == 0 and goes_on))
+        assert got == want
+
+
+def test_a_passage_of_many_copies_is_spread(spark):
+    """Most documents carry one passage: no range of the sort holds all its copies, and all but the first are cut."""
+    passage = " ".join(f"p{i}" for i in range(52))
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("own"), "id", F.lit(f" {passage} tail"), "id").alias("text"))
+    got = op4_suffix.repeats(df).groupBy("cut", "start_word", "end_word").count().collect()
+    assert {tuple(r) for r in got} == {(False, 1, 53, 1), (True, 1, 53, 2999)}
+
+
 def test_cutting_leaves_first_copies(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     df = spark.createDataFrame([(1, f"one {passage} end.", 9), (2, f"two {passage} fin.", 9), (3, passage, 9), (4, "clean text", 10)], "doc_id long, text string, n_chars int")

@@ -1,10 +1,13 @@
 """Repeated passages by distributed prefix doubling.
 
-A position is ranked by the words that follow it: equal ranks mean equal prefixes. Ranks of prefixes up to the threshold come
-from sorting pairs (rank here, rank at the offset); positions whose pair is unique drop out.
-There are two sorts, whatever the threshold, and one doubling by ranks. With 50 words no sort ranks prefixes of 13: the first
-ranks prefixes of 25 by a hash of two 13-word fingerprints, the second pairs (rank, rank at offset 25). Equal ranks thus mean
-equal prefixes but for collisions of 64-bit hashes.
+A position is ranked by the words that follow it: equal ranks mean equal prefixes. Spark sorts the positions by the 64-bit hash of
+their first words (a quarter of the threshold), then by pairs (rank here, rank at the offset), the offset growing as the ranked
+prefix doubles: 13, 26 and 50 words for a threshold of 50. After each sort positions get dense ranks in the sorted order, and
+those whose key is unique drop out, until the threshold is passed.
+
+The sort is by ranges of (key, document, position), so that the copies of a passage, however many, are spread over tasks, which
+read them as a stream. Of each task's range the first and last key are told to the driver (one row a task): it chains keys that
+go on in the next range and gives each range the rank of its first key.
 
 Before the first sort an exact filter drops positions that can't repeat: each prefix of ``least`` words has the least hash of
 its word runs of ``GRAM`` (a winnowing fingerprint), which any other copy of the prefix has too; where that hash occurs once
@@ -66,9 +69,20 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> I
         yield pa.record_batch([pa.array(b["row_key"].to_numpy()[doc[start]]), pa.array(low[start].view(np.int64)), pa.array(n.astype(np.int32))], ["row_key", "print", "n"])
 
 
-def _first_pairs(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """(pair, cid, pos) of the positions that may repeat and of those half the threshold behind them."""
-    quarter, half = -(-least // 4), -(-least // 2)
+def steps(least: int) -> list[int]:
+    """Lengths of the ranked prefixes: a quarter of the threshold, then doubled up to it."""
+    out = [-(-least // 4)]
+    while out[-1] < least:
+        out.append(min(2 * out[-1], least))
+    return out
+
+
+def _first_keys(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, cid, pos) of the positions that may repeat and of those behind them whose ranks they need; b is 0."""
+    lengths = steps(least)
+    ahead = [0]
+    for short, long in zip(lengths, lengths[1:]):
+        ahead += [x + long - short for x in ahead]
     for b in arrays.slices(batches, "text"):
         t = arrays.words(b["text"])
         h = t.hashes()
@@ -77,14 +91,14 @@ def _first_pairs(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> It
         hot = b["prints"]
         flat = hot.flatten().to_numpy().view(np.uint64)
         of = np.repeat(np.arange(len(hot)), np.diff(hot.offsets.to_numpy()))
-        ok = np.isin(arrays.mix(low ^ _salt(doc)), arrays.mix(flat ^ _salt(of)))
-        at = np.unique(np.concatenate([at[ok], at[ok] + (least - half)]))
+        at = at[np.isin(arrays.mix(low ^ _salt(doc)), arrays.mix(flat ^ _salt(of)))]
+        at = np.unique(np.concatenate([at + x for x in ahead]))
         if not len(at):
             continue
-        base = arrays.grams(h, quarter)
-        pair = arrays.mix(base[at] * np.uint64(3) ^ arrays.mix(base[at + half - quarter]))
+        key = arrays.grams(h, lengths[0])[at]
         doc = np.searchsorted(t.first, at, "right") - 1
-        yield pa.record_batch([pa.array(pair.view(np.int64)), pa.array(b["cid"].to_numpy()[doc]), pa.array((at - t.first[doc]).astype(np.int32))], ["pair", "cid", "pos"])
+        cells = key.view(np.int64), np.zeros(len(at), np.int64), b["cid"].to_numpy()[doc], (at - t.first[doc]).astype(np.int32)
+        yield pa.record_batch([pa.array(c) for c in cells], ["a", "b", "cid", "pos"])
 
 
 def _salt(i: np.ndarray) -> np.ndarray:
@@ -102,15 +116,84 @@ def _groups(part: dict[str, np.ndarray], *keys: str) -> tuple[np.ndarray, np.nda
     return new, which, np.bincount(which)[which] > 1
 
 
-def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """New ranks of the positions whose pair isn't unique."""
-    base = TaskContext.get().partitionId() << 40
-    for part in arrays.whole(batches, "pair"):
-        _, which, several = _groups(part, "pair")
-        rank = base + which
-        base += int(which[-1]) + 1
-        if several.any():
-            yield pa.record_batch([pa.array(rank[several]), pa.array(part["cid"][several]), pa.array(part["pos"][several])], ["rank", "cid", "pos"])
+_RANKED = "part int, local long, cid long, pos int, later boolean, edge array<long>"
+
+
+def _ranked(batches: Iterator[pa.RecordBatch], part: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of a sorted range with the number of their key in it; those of keys that have one row go, but for the first and last key.
+
+    ``later``: the key has a row before in this range. The last row has ``edge`` instead: first and last key, their rows, keys.
+    """
+    part = TaskContext.get().partitionId() if part is None else part
+    names = [x.split()[0] for x in _RANKED.split(", ")]
+    longs = pa.list_(pa.int64())
+
+    def out(local: np.ndarray, cid: np.ndarray, pos: np.ndarray, later: np.ndarray) -> pa.RecordBatch:
+        n = len(local)
+        return pa.record_batch([pa.array(np.full(n, part, np.int32)), pa.array(local.astype(np.int64)), pa.array(cid), pa.array(pos), pa.array(later), pa.nulls(n, longs)], names)
+
+    first = last = held = None
+    key, rows, n_first = -1, 0, 0  # number and rows of the key that is still open, rows of the first one
+    for x in batches:
+        if not x.num_rows:
+            continue
+        a, b, cid, pos = (x[c].to_numpy() for c in ("a", "b", "cid", "pos"))
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        new[0] = (int(a[0]), int(b[0])) != last
+        seg = np.cumsum(new)
+        count = np.bincount(seg)
+        count[0] += rows if not new[0] else 0
+        first = first or (int(a[0]), int(b[0]))
+        local = key + seg
+        if held is not None and not new[0]:
+            yield out(*held)
+        held = None
+        keep = (count[seg] > 1) | (local == 0)
+        if new[-1] and not keep[-1]:  # perhaps the next batch has more of it
+            held = local[-1:], cid[-1:], pos[-1:], np.zeros(1, bool)
+        if keep.any():
+            yield out(local[keep], cid[keep], pos[keep], ~new[keep])
+        n_first += int((local == 0).sum())
+        key, rows, last = int(local[-1]), int(count[-1]), (int(a[-1]), int(b[-1]))
+    if first is not None:
+        if held is not None:
+            yield out(*held)
+        edge = pa.array([[*first, *last, n_first, rows, key + 1]], longs)
+        yield pa.record_batch([pa.array([part], pa.int32()), *(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.bool_())), edge], names)
+
+
+def _chained(edges: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, bool, bool, bool]]:
+    """(part, rank of its first key, keys, whether its first key has one row in all, its last, whether the first goes on from before)."""
+    out, rank = [], 0
+    sizes: list[int] = []  # rows of each key at an edge; a key that goes on is one entry
+    for part, (a, b, c, d, n_first, n_last, keys) in edges:
+        joined = bool(out) and out[-1][-1] == (a, b)
+        if joined:
+            sizes[-1] += n_first
+        else:
+            sizes.append(n_first)
+        at = len(sizes) - 1
+        if keys > 1:
+            sizes.append(n_last)
+        start = rank - joined
+        rank = start + keys
+        out.append((part, start, keys, at, len(sizes) - 1, joined, (c, d)))
+    return [(part, start, keys, sizes[i] == 1, sizes[j] == 1, joined) for part, start, keys, i, j, joined, _ in out]
+
+
+def ranks(pairs: DataFrame, name: str, scratch: Scratch) -> DataFrame:
+    """(rank, cid, pos, cut) of the rows of (a, b, cid, pos) whose key (a, b) isn't unique.
+
+    Ranks are dense and follow the keys' order; ``cut`` holds for all but the first row of a key by (cid, pos).
+    """
+    order = ("a", "b", "cid", "pos")
+    sorted_ = scratch.table(name, pairs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(lambda it: _ranked(it), _RANKED))
+    edges = [(r["part"], list(r["edge"])) for r in sorted_.filter("edge IS NOT NULL").select("part", "edge").orderBy("part").collect()]
+    ends = pairs.sparkSession.createDataFrame(_chained(edges), "part int, start long, keys long, first_alone boolean, last_alone boolean, goes_on boolean")
+    both = sorted_.filter("edge IS NULL").join(F.broadcast(ends), "part")  # one row a task
+    both = both.filter("NOT (local = 0 AND first_alone) AND NOT (local = keys - 1 AND last_alone)")
+    return both.select((F.col("start") + F.col("local")).alias("rank"), "cid", "pos", (F.col("later") | ((F.col("local") == 0) & F.col("goes_on"))).alias("cut"))
 
 
 def _next_pairs(batches: Iterator[pa.RecordBatch], offset: int) -> Iterator[pa.RecordBatch]:
@@ -121,15 +204,7 @@ def _next_pairs(batches: Iterator[pa.RecordBatch], offset: int) -> Iterator[pa.R
         k = np.searchsorted(code, code + offset)
         ok = np.append(code, -1)[k] == code + offset
         if ok.any():
-            yield pa.record_batch([pa.array(part["rank"][ok]), pa.array(part["rank"][k[ok]]), pa.array(part["cid"][ok]), pa.array(part["pos"][ok])], ["rank", "ahead", "cid", "pos"])
-
-
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Positions whose pair isn't unique, and whether each is the first with it."""
-    for part in arrays.whole(batches, "rank", "ahead"):
-        new, _, several = _groups(part, "rank", "ahead")
-        if several.any():
-            yield pa.record_batch([pa.array(part["cid"][several]), pa.array(part["pos"][several]), pa.array(~new[several])], ["cid", "pos", "cut"])
+            yield pa.record_batch([pa.array(part["rank"][ok]), pa.array(part["rank"][k[ok]]), pa.array(part["cid"][ok]), pa.array(part["pos"][ok])], ["a", "b", "cid", "pos"])
 
 
 def _spans(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -166,26 +241,30 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def spans(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM) -> DataFrame:
     """(row_key, doc_id, cut, start_word, end_word, start_char, end_char) of every repeated span; ends are excluded."""
-    quarter, half = -(-least // 4), -(-least // 2)
-    if not 0 < gram <= least or quarter > half or 2 * quarter < half:
+    if not 0 < gram <= least:
         raise ValueError("the gram must not be longer than the threshold")
     rows = keyed(docs, "row_key", scratch, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = scratch.table("prints", rows.select("row_key", "text").mapInArrow(lambda it: _fingerprints(it, least, gram), "row_key long, print long, n int"))
-    hot = prints.groupBy("print").agg(F.sum("n").alias("n")).filter("n > 1").select("print")
+    # A table of its own: both sides of the join are then shuffled by it, and a print of very many texts can be split.
+    hot = scratch.table("hot", prints.groupBy("print").agg(F.sum("n").alias("n")).filter("n > 1").select("print"))
     mine = prints.join(hot, "print", "left_semi").groupBy("row_key").agg(F.collect_set("print").alias("prints"))
     order = (F.col("doc_id").isNull(), "doc_id", "row_key")
     chosen = rows.join(mine, "row_key").repartitionByRange(*order).sortWithinPartitions(*order)
     # Numbers given after the sort and written with the rows: their order is that of (doc_id, row_key).
     cand = scratch.table("cand", chosen.withColumn("cid", F.monotonically_increasing_id()))
     scratch.remove("prints")
-    first = cand.select("cid", "text", "prints").mapInArrow(lambda it: _first_pairs(it, least, gram), "pair long, cid long, pos int")
-    ranked = first.repartition("pair").sortWithinPartitions("pair").mapInArrow(_rerank, "rank long, cid long, pos int")
-    ranked = scratch.table("ranked", ranked)
-    pairs = ranked.repartition("cid").sortWithinPartitions("cid", "pos").mapInArrow(lambda it: _next_pairs(it, least - half), "rank long, ahead long, cid long, pos int")
-    again = pairs.repartition("rank", "ahead").sortWithinPartitions("rank", "ahead", "cid", "pos").mapInArrow(_repeated, "cid long, pos int, cut boolean")
-    again = scratch.table("again", again)
-    scratch.remove("ranked")
-    merged = again.repartition("cid").sortWithinPartitions("cid", "cut", "pos").mapInArrow(lambda it: _spans(it, least), "cid long, cut boolean, starts array<int>, ends array<int>")
+    scratch.remove("hot")
+    pairs = scratch.table("pairs0", cand.select("cid", "text", "prints").mapInArrow(lambda it: _first_keys(it, least, gram), "a long, b long, cid long, pos int"))
+    lengths = steps(least)
+    for k, (short, long) in enumerate(zip(lengths, [*lengths[1:], 0])):
+        ranked = ranks(pairs, f"ranked{k}", scratch)
+        scratch.remove(f"pairs{k}")
+        if long:
+            near = ranked.select("rank", "cid", "pos").repartition("cid").sortWithinPartitions("cid", "pos")
+            pairs = scratch.table(f"pairs{k + 1}", near.mapInArrow(lambda it, offset=long - short: _next_pairs(it, offset), "a long, b long, cid long, pos int"))
+            scratch.remove(f"ranked{k}")
+    again = ranked.select("cid", "pos", "cut").repartition("cid").sortWithinPartitions("cid", "cut", "pos")
+    merged = again.mapInArrow(lambda it: _spans(it, least), "cid long, cut boolean, starts array<int>, ends array<int>")
     placed = cand.select("cid", "row_key", "doc_id", "text").join(merged, "cid").select("row_key", "doc_id", "cut", "starts", "ends", "text")
     return placed.mapInArrow(_places, "row_key long, doc_id long, cut boolean, start_word int, end_word int, start_char int, end_char int")
 
@@ -205,6 +284,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = filed(docs, scratch)
     cut = spans(docs, scratch, id_col, text_col, least).filter("cut")
     cut = scratch.table("cuts", cut.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start_char", "end_char"))).alias("cuts")))
+    scratch.only("cuts")
     cut = sent(cut, SENT_CUTS)
     key, cuts, gap = (fresh(docs, c) for c in ("row_key", "cuts", "left"))
     own = keyed(docs, key, scratch, *[F.col(f"`{c}`") for c in docs.columns])
