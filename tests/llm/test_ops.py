@@ -303,17 +303,17 @@ def test_ranges_are_chained(spark, tmp_path):
     """Ranks of sorted ranges that cut keys anywhere are those of the whole."""
     rng = random.Random(12)
     for _ in range(200):
-        rows = sorted((rng.choice([1, 1, 1, 2, 3, 4, 5, 9]), 0, rng.randrange(50), i) for i in range(rng.randint(1, 30)))
+        rows = sorted((rng.choice([1, 1, 1, 2, 3, 4, 5, 9]), rng.randrange(50), i) for i in range(rng.randint(1, 30)))
         cuts = sorted(rng.randint(0, len(rows)) for _ in range(rng.randint(0, 5)))
-        want, count = {}, Counter(r[:2] for r in rows)
+        want, count = {}, Counter(r[0] for r in rows)
         for r in rows:
-            if count[r[:2]] > 1:
-                want[r[2:]] = (sorted(count).index(r[:2]), r != min(x for x in rows if x[:2] == r[:2]))
+            if count[r[0]] > 1:
+                want[r[1:]] = (sorted(count).index(r[0]), r != min(x for x in rows if x[0] == r[0]))
         got, edges, parts = {}, [], []
         for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
             own = rows[lo:hi]
             step = rng.randint(1, 4)
-            batches = [pa.record_batch([pa.array([r[k] for r in own[i : i + step]], pa.int32() if k == 3 else pa.int64()) for k in range(4)], ["a", "b", "cid", "pos"]) for i in range(0, len(own), step)]
+            batches = [pa.record_batch([pa.array([r[k] for r in own[i : i + step]], pa.int32() if k == 2 else pa.int64()) for k in range(3)], ["key", "cid", "pos"]) for i in range(0, len(own), step)]
             for b in op4_suffix._ranked(iter(batches), part):
                 for r in b.to_pylist():
                     edges.append((part, r["edge"])) if r["edge"] else parts.append((part, r))

@@ -104,6 +104,11 @@ def sent(stored: DataFrame, most: int = SENT_KEYS) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= most else stored
 
 
+def sent_bytes(stored: DataFrame, size: Column, most: int) -> DataFrame:
+    """As ``sent``, by the bytes of all rows, of which ``size`` is an expression."""
+    return F.broadcast(stored) if stored.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most else stored
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits of a text, by two hashes with independent seeds: (hash_a, hash_b)."""
     return [F.xxhash64(text).alias("hash_a"), F.xxhash64(F.lit("textloom"), text).alias("hash_b")]
