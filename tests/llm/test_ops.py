@@ -11,8 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm.licenses import TEMPLATES
 from textloom.llm import arrays, op1_pitman_yor, op2_quality, op3_decontaminate, op4_suffix, op5_html, op6_license, op7_token_counts, op8_simhash, op9_toxicity, op10_pack, tokenizer
+from textloom.llm.licenses import TEMPLATES
+from textloom.llm.scratch import Scratch
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(arrays.WORD)
@@ -610,16 +611,67 @@ def test_near_copies_against_brute_force(spark):
     assert set(top) | set(top.values()) <= linked  # nobody is taken for a copy who isn't one
 
 
-def test_graph_recall():
-    rng = np.random.default_rng(7)
-    heads = rng.integers(0, 2**63, (300, 2), dtype=np.uint64)
-    sigs = np.repeat(heads, 6, axis=0)
+def noisy(rng, heads, each, bits):
+    sigs = np.repeat(rng.integers(0, 2**63, (heads, 2), dtype=np.uint64), each, axis=0)
     for k in range(len(sigs)):
-        for bit in rng.choice(128, 8, replace=False):
+        for bit in rng.choice(128, bits, replace=False):
             sigs[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
-    sigs = np.unique(sigs, axis=0)
-    label = op8_simhash.joined(sigs, sigs[:0], 32)
-    assert op8_simhash.recall(sigs, label, 32, 10**6) >= 0.9
+    return np.unique(sigs, axis=0)
+
+
+def test_graph_recall():
+    """Groups of six, and pairs beside one large group, which an average over all pairs would hide."""
+    rng = np.random.default_rng(7)
+    for sigs in (noisy(rng, 300, 6, 8), np.concatenate([noisy(rng, 1, 1500, 8), noisy(rng, 400, 2, 8)])):
+        queries = sigs[::50] ^ np.array([1, 2], np.uint64)
+        label, a, b, (audited, found, _) = op8_simhash.joined(sigs, queries, 32)
+        assert audited > 100 and found >= 0.9
+        both = np.concatenate([sigs, queries])
+        assert (op8_simhash.hamming(both[a], both[b]) <= 32).all()  # every edge is a hit, and they make a forest
+        assert (op8_simhash.roots(len(both), a, b) == label).all() and len(a) == len(both) - len(np.unique(label))
+        _, every = op8_simhash.recall(both, len(sigs), label, 32, 10**6)
+        assert every >= 0.9
+
+
+def test_components_of_one_task_and_of_rounds(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(130)] + [(1000 + i, 1001 + i) for i in range(40)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    scratch = Scratch(spark)
+    one = {tuple(r) for r in op8_simhash.components(df, scratch, "one").collect()}
+    many = {tuple(r) for r in op8_simhash.components(df, scratch, "many", most=0).collect()}
+    scratch.drop()
+    assert one == many and (1040, 1000) in one
+
+
+def family(spark, n, changes):
+    """n texts that share all but ``changes`` of 60 words, and as many strangers."""
+    rng = random.Random(n)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for k in rng.sample(range(60), changes):
+            w[k] = f"x{rng.random()}"
+        rows += [(i, " ".join(w)), (10**6 + i, " ".join(f"s{i}_{k}" for k in range(30)))]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_hot_min_hashes_are_split(spark):
+    """One family many times a shard: no shard or task of pairs holds it, and it is one group all the same."""
+    df = family(spark, 600, 2)
+    top = {r["kept_id"] for r in op8_simhash.duplicates(df, shard_rows=40).collect()}
+    assert top == {0} and op8_simhash.duplicates(df, shard_rows=40).count() == 599
+    sizes = [r["rows"] for r in op8_simhash.audits(df, shard_rows=40).collect()]
+    assert sum(sizes) < 30 * 1200 and max(sizes) < 40 * 5 + op8_simhash.PIVOTS * 2
+
+
+def test_pairs_of_blocks_join_what_failed_edges_parted(spark, monkeypatch):
+    """Hits that don't verify part a component; all pairs between its groups are tried, in blocks of any size."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {tuple(r) for r in op8_simhash.duplicates(docs, distance=44).collect()}
+    monkeypatch.setattr(op8_simhash, "BLOCK_ROWS", 3)
+    assert {tuple(r) for r in op8_simhash.duplicates(docs, distance=44).collect()} == want and want
 
 
 # 9
