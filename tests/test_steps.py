@@ -186,6 +186,99 @@ def test_chains_of_versions_go_as_in_sequence(spark, mode):
     assert got == want and 1 < len(got) < 9
 
 
+def test_columns_that_clash_and_wide_ids(spark):
+    """Columns named like the operator's own, ids near the largest, texts of very many lines."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(2**62 + i, f"{text}\n{'x ' * 3}" if i < 3 else "short", 1, 2, 3, 4) for i in range(5)] + [(-7, text, 1, 2, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id int, at int, gone int, gone_id int")
+    for mode, kept in (("document", {-7, 2**62 + 3, 2**62 + 4}), ("paragraph", {r[0] for r in rows}), ("both", {-7, 2**62 + 3, 2**62 + 4})):
+        got = ngram_dedup.ngram_dedup(df, mode=mode)
+        assert got.columns == df.columns and {r["doc_id"] for r in got.collect()} == kept
+    lines = "\n".join(" ".join(f"q{i}_{k}" for k in range(6)) for i in range(3000))
+    many = spark.createDataFrame([(0, lines), (1, lines)], "doc_id long, text string")
+    assert [(r["doc_id"], len(r["text"])) for r in ngram_dedup.ngram_dedup(many).collect()] == [(0, len(lines))]
+
+
+def test_both_counts_ngrams_across_paragraphs(spark):
+    """Lines too short for n-grams of their own: the whole text goes in mode both, and stays in old-both."""
+    text = "\n".join(f"a{i} b{i}" for i in range(20))
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    assert {r["doc_id"] for r in ngram_dedup.ngram_dedup(df, mode="both").collect()} == {1}
+    assert {r["doc_id"] for r in ngram_dedup.ngram_dedup(df, mode="old-both").collect()} == {1, 2}
+
+
+def test_shards_meet_only_themselves(spark):
+    text = " ".join(WORDS[:30])
+    df = spark.createDataFrame([(i, text) for i in range(12)], "doc_id long, text string")
+    kept = ngram_dedup.ngram_dedup(df, mode="document", shards=3)
+    assert kept.count() == kept.select(F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("k")).distinct().count() == df.select(F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("k")).distinct().count()
+
+
+def reasons(spark, texts, make):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    return [r[1] for r in df.select("i", make(F.col("text")).alias("x")).orderBy("i").collect()]
+
+
+def test_page_rules_in_the_order_of_the_reference(spark):
+    prose = "word " * 60
+    texts = [
+        "the " * 5 + prose,  # one stop word, five times
+        "the " + prose,  # one stop word
+        "# " * 30 + prose,  # no stop word comes before hashes
+        "the of " + "# " * 30 + prose,
+        "\n".join(["* the of some words in lines"] * 12),  # asterisks aren't bullets
+        "\n".join(["  - the of some words in lines"] * 12),
+        "\n".join(["- the of some words in lines"] * 12 + [""] * 3),  # blank lines count
+        "the of " + "word ... " * 60,
+        "\n".join(["the of item " * 5 + "..."] * 5 + ["the of item " * 10] * 5),
+        "\n".join(["the of it " * 10 + "…  "] * 5 + ["the of item " * 10] * 2),
+        "the of " + "12 " * 20 + "word " * 50,
+        "the of " + "12 " * 10 + "word " * 50,
+        "the of " + "!!! " * 9 + "word " * 47,  # punctuation alone doesn't count as words of the text
+    ]
+    want = [None, "gopher_enough_stop_words", "gopher_enough_stop_words", "gopher_too_many_hashes", None, "gopher_too_many_bullets", None, "gopher_too_many_ellipsis", "gopher_too_many_end_ellipsis", "gopher_too_many_end_ellipsis", "gopher_below_avg_threshold", None, "gopher_short_doc"]
+    want[10] = "gopher_below_alpha_threshold"
+    assert reasons(spark, texts, content.gopher_quality_reason) == want
+    assert reasons(spark, texts[5:6], lambda t: content.gopher_quality_reason(t, all_bullets=True)) == ["bullet_lines_check"]
+    assert reasons(spark, texts[10:11], lambda t: content.gopher_quality_reason(t, whitelist=["(", ")"])) == [None]
+
+
+def test_line_rules_take_lines_as_they_stand(spark):
+    texts = ["end. \nend. ", "end.\nmore", "fin。\nslut؟", 'say "x"\nno', " " * 40 + "a\n" + "b" * 31, "", "\n \n"]
+    assert reasons(spark, texts, lambda t: content.line_punct_ratio_filter(t, 0.5)) == [False, True, True, False, False, False, False]
+    assert reasons(spark, texts[:1], lambda t: content.line_punct_ratio_filter(t, 0.5, True)) == [True]
+    assert reasons(spark, texts, content.short_line_ratio_filter)[4:] == [True, False, False]
+    assert reasons(spark, ["abc\nabc ", "abc\nabc", "a" * 50 + "\nb\nb"], content.char_dup_ratio_filter) == [True, False, True]
+
+
+def test_c4_judges_line_by_line(spark):
+    texts = [
+        "lorem ipsum\nthis line stays here",  # two words: skipped before its words are read
+        "this is lorem ipsum text",
+        "no javascript { here\nthis line stays here",  # skipped before its bracket counts
+        "use cookies { of this\nthis line stays here",  # a bracket comes before policies
+        "one two [3]\nthis line [12] stays here [edit]",  # citations count as words
+        "a b\r\nthis line stays here\u2028and this one too",
+        "x" * 1001 + " lorem ipsum { and more\nthis line stays here",
+    ]
+    judged = reasons(spark, texts, lambda t: F.concat_ws("|", content.c4_reason(content.c4_lines(t), -1), content.c4_text(content.c4_lines(t))))
+    line = "this line stays here"
+    assert judged == [line, "lorem_ipsum|", line, f"curly_bracket|{line}", "one two \nthis line  stays here", f"{line}\nand this one too", line]
+    df = spark.createDataFrame([(1, "One here now. Two here now. Three here. Four here now. Five here now."), (2, "Only one sentence here.")], "i int, text string")
+    assert [r["i"] for r in content.fineweb_c4_filter(df).collect()] == [1]
+    assert [tuple(r) for r in content.fineweb_c4_filter(df, annotate=True).select("i", "filter_reason").orderBy("i").collect()] == [(1, None), (2, "too_few_sentences")]
+    assert [r["i"] for r in content.fineweb_c4_filter(df, split_paragraph=False, min_num_sentences=4).collect()] == [1]
+
+
+def test_web_repetition_divides_by_the_whole_text():
+    name = "massive_web_repetition_filters:"
+    assert repetition.gopher_repetition("") == name + "empty_text"
+    assert repetition.gopher_repetition("\n".join(["same line"] * 4)) == name + "line"
+    assert repetition.gopher_repetition("p\n\np\n\np") == name + "paragraph"
+    assert repetition.gopher_repetition("one two") == name + "2_gram"  # its only pair is the text
+    assert repetition.gopher_repetition(" " * 40 + "one two") is None  # shares are of the text as it stands
+
+
 def test_substring(spark):
     long = " ".join(f"s{i}" for i in range(60))
     df = spark.createDataFrame([(1, long), (2, f"before it {long} and after"), (3, " ".join(f"s{i}" for i in range(40)))], "doc_id long, text string")

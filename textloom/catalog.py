@@ -5,6 +5,7 @@ Each query runs an operator over whole tables. A filter's query gives its decisi
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,9 +133,11 @@ add(
 )
 keep("filter_alphabetic_words", C.alphabetic_word_ratio_filter, rf"CASE WHEN len({toks('text')}) > 0 THEN len(list_filter({toks('text')}, lambda x: NOT {has('x', r'\p{L}')})) / len({toks('text')}) <= 0.2 ELSE false END")
 keep("filter_high_quality_ratio", C.high_quality_ratio_filter, f"coalesce({total(f'list_filter({pars_raw}, lambda x: len({toks(chr(120))}) >= 10)')} / nullif({total(pars_raw)}, 0) >= 0.75, false)" if (pars_raw := f"list_filter({rows('text')}, lambda p: {strip('p')} <> '')") else "")
-keep("filter_line_punctuation", C.line_punct_ratio_filter, rf"coalesce(len(list_filter({pars('text')}, lambda x: {has('x', '[.!?' + chr(34) + chr(39) * 2 + r'…。！？؟۔।॥\x{2047}-\x{2049}‼‽”｡﹒﹖﹗]\z')})) / nullif(len({pars('text')}), 0) >= 0.12, false)")
-keep("filter_short_lines", C.short_line_ratio_filter, f"coalesce(len(list_filter({pars('text')}, lambda x: length(x) <= 30)) / nullif(len({pars('text')}), 0) <= 0.67, false)")
-keep("filter_char_duplicates", C.char_dup_ratio_filter, f"coalesce(({total(pars('text'))} - {total('list_distinct(' + pars('text') + ')')}) / nullif(length(replace(text, chr(10), '')), 0) <= 0.1, false)")
+keep("filter_line_punctuation", C.line_punct_ratio_filter, f"coalesce(len(list_filter({pars_raw}, lambda x: {has('x', T.TERMINAL)})) / nullif(len({pars_raw}), 0) >= 0.12, false)")
+keep("filter_line_punctuation_or_none", lambda t: C.line_punct_ratio_filter(t, 0.5, True, [".", "!"]), f"coalesce(len(list_filter({pars_raw}, lambda x: suffix(x, '.') OR suffix(x, '!'))) / nullif(len({pars_raw}), 0) NOT BETWEEN 1e-9 AND 0.4999999, false)")
+keep("filter_short_lines", C.short_line_ratio_filter, f"coalesce(len(list_filter({pars_raw}, lambda x: length(x) <= 30)) / nullif(len({pars_raw}), 0) <= 0.67, false)")
+_extra_chars = f"({total(pars_raw)} - {total('list_distinct(' + pars_raw + ')')}) / nullif(length(replace(text, chr(10), '')), 0)"
+keep("filter_char_duplicates", C.char_dup_ratio_filter, f"coalesce(len({pars_raw}) > 0 AND {_extra_chars} <= 0.1, false)")
 keep("filter_list_ratio", lambda t: C.list_ratio_filter(t, 0.02), f"CASE WHEN len({toks('text')}) > 0 THEN (len({rows('text')}) - 1) / len({toks('text')}) <= 0.02 ELSE false END")
 keep("filter_lorem_ipsum", C.lorem_ipsum_filter, "NOT contains(lower(text), 'lorem ipsum')")
 add("filter_min_sentences", lambda s, d: documents(s, d).select("doc_id", C.min_sentences_filter(F.col("text")).alias("keep")))
@@ -143,35 +146,61 @@ add(
     lambda s, d: documents(s, d).withColumn("filename", F.concat(F.lit("f"), "doc_id", F.when(F.pmod("doc_id", F.lit(2)) == 0, ".py").otherwise(".bin"))).select("doc_id", C.github_extension_filter(F.col("text")).alias("keep")),
     "SELECT doc_id, doc_id % 2 = 0 AS keep FROM documents",
 )
-keep("filter_fineweb_quality", C.fineweb_quality_filter, f"coalesce(len({pars('text')}) > 0 AND ({total(pars('text'))} - {total('list_distinct(' + pars('text') + ')')}) / nullif(length(replace(text, chr(10), '')), 0) <= 0.1 AND (len({rows('text')}) - 1) / nullif(len({toks('text')}), 0) <= 0.3, false)")
-
-_real = rf"list_filter(ws, lambda w: {has('w', r'[\p{L}\p{N}]')})"
+# Rules in their order: no lines, sentence ends and short lines (both only where few characters stand in lines of ten words), repeats, lists.
+FINEWEB_SQL = f"""WITH a AS (SELECT doc_id, text, {pars_raw} AS ls, {toks("text")} AS ws FROM documents),
+b AS (SELECT *, {total("list_filter(ls, lambda x: len(" + toks("x") + ") >= 10)")} / nullif({total("ls")}, 0) < 0.9 AS poor FROM a)
+SELECT doc_id, coalesce(CASE WHEN len(ls) = 0 THEN 'fineweb_quality_filter_zero_lines'
+ WHEN poor AND len(list_filter(ls, lambda x: {has("x", T.TERMINAL)})) / len(ls) < 0.12 THEN 'line_punct_ratio_filter'
+ WHEN poor AND len(list_filter(ls, lambda x: length(x) <= 30)) / len(ls) > 0.67 THEN 'short_line_ratio_filter'
+ WHEN ({total("ls")} - {total("list_distinct(ls)")}) / length(replace(text, chr(10), '')) > 0.1 THEN 'char_dup_ratio_filter'
+ WHEN (len({rows("text")}) - 1) / len(ws) > 0.3 THEN 'list_ratio_filter' END, 'kept') AS reason FROM b"""
+add("fineweb_quality_reasons", lambda s, d: documents(s, d).select("doc_id", F.coalesce(C.fineweb_quality_reason(F.col("text"), high_quality_ratio_value=0.9), F.lit("kept")).alias("reason")), FINEWEB_SQL)
+keep("filter_fineweb_quality", C.fineweb_quality_filter, f"coalesce(len({pars_raw}) > 0 AND {_extra_chars} <= 0.1 AND (len({rows('text')}) - 1) / nullif(len({toks('text')}), 0) <= 0.3, false)")
+
+_breaks = T.LINE_BREAK
+_split_lines = f"CASE WHEN text = '' THEN [] ELSE regexp_split_to_array(regexp_replace(text, '(?:{_breaks})\\z', ''), '{_breaks}') END"
+# The page rules in their order: length rules over words that aren't punctuation alone, stop words with repeats, the rest over all words.
 GOPHER_SQL = rf"""
-WITH a AS (SELECT *, {toks("text")} AS ws, {pars("text")} AS ls FROM documents),
-b AS (SELECT *, {_real} AS r FROM a),
-c AS (SELECT *, len(r) AS n, CASE WHEN len(r) > 0 THEN {total("r")} / len(r) END AS mean, greatest(len(ls), 1) AS nl FROM b)
-SELECT doc_id, n AS n_words, coalesce(CASE
- WHEN n < 50 THEN 'gopher_short_doc' WHEN n > 100000 THEN 'gopher_long_doc'
+WITH a AS (SELECT *, {toks("text")} AS ws, {_split_lines} AS ls FROM documents),
+b AS (SELECT *, list_filter(ws, lambda w: {has("w", T.SYMBOL_FREE)}) AS r FROM a),
+c AS (SELECT *, len(r) AS m, len(ws) AS n, CASE WHEN len(r) > 0 THEN {total("r")} / len(r) END AS mean, len(ls) AS nl FROM b)
+SELECT doc_id, m AS n_words, coalesce(CASE
+ WHEN m < 50 THEN 'gopher_short_doc' WHEN m > 100000 THEN 'gopher_long_doc'
  WHEN mean < 3 THEN 'gopher_below_avg_threshold' WHEN mean > 10 THEN 'gopher_above_avg_threshold'
+ WHEN len(list_filter(ws, lambda w: w IN ('the', 'be', 'to', 'of', 'and', 'that', 'have', 'with'))) < 2 THEN 'gopher_enough_stop_words'
  WHEN {found("text", "#")} / n > 0.1 THEN 'gopher_too_many_hashes'
  WHEN {found("text", r"\.\.\.|…")} / n > 0.1 THEN 'gopher_too_many_ellipsis'
- WHEN len(list_filter(ls, lambda x: {has("x", "^[●•*-]")})) / nl > 0.9 THEN 'gopher_too_many_bullets'
- WHEN len(list_filter(ls, lambda x: {has("x", r"(\.\.\.|…)\z")})) / nl > 0.3 THEN 'gopher_too_many_end_ellipsis'
- WHEN len(list_filter(r, lambda w: {has("w", r"\p{L}")})) / n < 0.8 THEN 'gopher_below_alpha_threshold'
- WHEN len(list_distinct(list_filter(ws, lambda w: w IN ({_stop})))) < 2 THEN 'gopher_enough_stop_words' END, 'kept') AS reason
+ WHEN len(list_filter(ls, lambda x: {has("x", r"^\s*[•-]")})) / nl > 0.9 THEN 'gopher_too_many_bullets'
+ WHEN len(list_filter(ls, lambda x: {has("x", r"(\.\.\.|…)\s*\z")})) / nl > 0.3 THEN 'gopher_too_many_end_ellipsis'
+ WHEN len(list_filter(ws, lambda w: {has("w", r"\p{L}")})) / n < 0.8 THEN 'gopher_below_alpha_threshold' END, 'kept') AS reason
 FROM c"""
 
 
 def gopher_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    real = F.filter(T.tokens(F.col("text")), lambda w: w.rlike(r"[\p{L}\p{N}]"))
+    real = F.filter(T.tokens(F.col("text")), lambda w: w.rlike(T.SYMBOL_FREE))
     return documents(spark, sf_dir).select("doc_id", F.size(real).cast("long").alias("n_words"), F.coalesce(C.gopher_quality_reason(F.col("text")), F.lit("kept")).alias("reason"))
 
 
 add("gopher_quality", gopher_quality, GOPHER_SQL)
 add("gopher_quality_counts", lambda s, d: A.step_counts(documents(s, d), C.gopher_quality_reason(F.col("text"))), f"SELECT reason, count(*) AS pages FROM ({GOPHER_SQL}) GROUP BY reason")
-_c4 = f"list_filter(list_transform(string_split(regexp_replace(text, '\\[(citation needed|edit|\\d*)\\]', '', 'g'), chr(10)), lambda p: {strip('p')}), lambda x: coalesce(list_max(list_transform({toks('x')}, lambda w: length(w))), 0) <= 1000 AND len({toks('x')}) >= 3 AND NOT contains(lower(x), 'javascript') AND NOT {has('lower(x)', '|'.join(C.POLICY))})"
-rewrite("c4_lines", C.c4_text, f"array_to_string({_c4}, chr(10))")
+_cut = r"regexp_replace(x, '\[(citation needed|edit|\d*)\]', '', 'g')"
+# Each line by the first rule that holds: word length, number of words (both before citations go), lorem ipsum, javascript, bracket, policy.
+C4_SQL = f"""WITH a AS (SELECT doc_id, list_transform({_split_lines}, lambda p: {strip("p")}) AS given FROM documents),
+b AS (SELECT doc_id, list_transform(given, lambda x: {{'line': {_cut}, 'state': CASE WHEN coalesce(list_max(list_transform({toks("x")}, lambda w: length(w))), 0) > 1000 THEN 'skip'
+ WHEN len({toks("x")}) < 3 THEN 'skip' WHEN contains(lower({_cut}), 'lorem ipsum') THEN 'lorem_ipsum' WHEN contains(lower({_cut}), 'javascript') THEN 'skip'
+ WHEN contains({_cut}, '{{') THEN 'curly_bracket' WHEN {has(f"lower({_cut})", "|".join(C.POLICY))} THEN 'skip' ELSE 'keep' END}}) AS js FROM a),
+c AS (SELECT doc_id, list_filter(js, lambda j: j.state NOT IN ('keep', 'skip'))[1].state AS reason, {strip("array_to_string(list_transform(list_filter(js, lambda j: j.state = 'keep'), lambda j: j.line), chr(10))")} AS kept FROM b)"""
+
+
+def c4_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = documents(spark, sf_dir).select("doc_id", C.c4_lines(F.col("text")).alias("js"))
+    return judged.select("doc_id", F.coalesce(C.c4_reason(F.col("js"), -1), F.lit("kept")).alias("reason"), C.c4_text(F.col("js")).alias("new_text"))
+
+
+add("c4_lines", c4_judged, f"{C4_SQL} SELECT doc_id, coalesce(reason, 'kept') AS reason, kept AS new_text FROM c")
+add("c4_filter_any_sentences", lambda s, d: C.fineweb_c4_filter(documents(s, d), min_num_sentences=-1).select("doc_id", "text"), f"{C4_SQL} SELECT doc_id, kept AS text FROM c WHERE reason IS NULL AND kept <> ''")
 add("c4_filter", lambda s, d: C.fineweb_c4_filter(documents(s, d)).select("doc_id", "text"))
+add("c4_filter_sentences", lambda s, d: C.fineweb_c4_filter(documents(s, d), split_paragraph=False).select("doc_id", "text"))
 
 # Repetition
 _group = f"""
@@ -351,12 +380,26 @@ g AS (SELECT pos, unnest(CASE WHEN len(ws) >= {n} THEN list_transform(range(1, l
 f AS (SELECT gram, min(pos) AS first FROM g GROUP BY gram), s AS (SELECT pos, count(*) AS total, sum((first < pos)::int) AS seen FROM g JOIN f USING (gram) GROUP BY pos)"""
 
 
-_para = "SELECT doc_id, i AS idx, doc_id * 1048576 + i AS pos, CASE WHEN i > 0 THEN chr(10) ELSE '' END || l AS unit FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)"
-add("ngram_dedup_document", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="document").select("doc_id"), _ngram_sql("SELECT doc_id, doc_id * 1048576 AS pos, text AS unit FROM documents") + " SELECT doc_id FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total > 0.8, false)")
-add("ngram_dedup_paragraph", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="paragraph").select("doc_id", "text"), _ngram_sql(_para) + ", k AS (SELECT doc_id, string_agg(unit, '' ORDER BY idx) AS text FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total > 0.8, false) GROUP BY doc_id) SELECT doc_id, text FROM k WHERE text <> ''")
-add("ngram_dedup_old_both", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="old-both").select("doc_id", "text"), _ngram_sql(_para) + ", b AS (SELECT doc_id FROM s JOIN u USING (pos) GROUP BY doc_id HAVING sum(seen) / sum(total) > 0.8), k AS (SELECT doc_id, string_agg(unit, '' ORDER BY idx) AS text FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total > 0.8, false) GROUP BY doc_id) SELECT doc_id, text FROM k WHERE text <> '' AND doc_id NOT IN (SELECT doc_id FROM b)")
-add("ngram_dedup_both", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="both").select("doc_id", "text"))
-add("ngram_dedup_annotate", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="paragraph", annotate_only=True).select("doc_id", F.array_join(F.transform("duplicate_units", lambda x: x.cast("string")), ",").alias("units")), _ngram_sql(_para) + ", k AS (SELECT doc_id, string_agg(idx::varchar, ',' ORDER BY idx) AS units FROM u JOIN s USING (pos) WHERE seen / total > 0.8 GROUP BY doc_id) SELECT doc_id, units FROM documents LEFT JOIN k USING (doc_id)")
+_para = "SELECT doc_id, i AS idx, doc_id * 2147483648 + i AS pos, CASE WHEN i > 0 THEN chr(10) ELSE '' END || l AS unit FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)"
+_whole = "SELECT doc_id, doc_id * 2147483648 AS pos, text AS unit FROM documents"
+_kept = "k AS (SELECT doc_id, string_agg(unit, '' ORDER BY idx) AS text FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total {} 0.8, false) GROUP BY doc_id)"
+
+
+def dedup_query(mode: str, *cols, **how) -> Callable:
+    return lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode=mode, **how).select("doc_id", *cols)
+
+
+_units = F.array_join(F.transform("duplicate_units", lambda x: x.cast("string")), ",").alias("units")
+# One round, in which n-grams of removed units count too, is SQL; the sequential result isn't, and is tested against brute force.
+add("ngram_dedup_document_once", dedup_query("document", rounds=1), _ngram_sql(_whole) + " SELECT doc_id FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total > 0.8, false)")
+add("ngram_dedup_paragraph_once", dedup_query("paragraph", "text", rounds=1), _ngram_sql(_para) + f", {_kept.format('>')} SELECT doc_id, text FROM k WHERE text <> ''")
+add("ngram_dedup_old_both_once", dedup_query("old-both", "text", rounds=1), _ngram_sql(_para) + f", b AS (SELECT doc_id FROM s JOIN u USING (pos) GROUP BY doc_id HAVING sum(seen) / sum(total) > 0.8), {_kept.format('>')} SELECT doc_id, text FROM k WHERE text <> '' AND doc_id NOT IN (SELECT doc_id FROM b)")
+add("ngram_dedup_both_once", dedup_query("both", "text", rounds=1), _ngram_sql(_para) + f", {_kept.format('>=')}, " + re.sub(r"\b([uwgfs]) AS", r"\g<1>2 AS", _ngram_sql(_whole).removeprefix("WITH ")).replace("FROM u)", "FROM u2)").replace("FROM w)", "FROM w2)").replace("FROM g GROUP", "FROM g2 GROUP").replace("FROM g JOIN f", "FROM g2 JOIN f2") + " SELECT doc_id, text FROM k WHERE text <> '' AND doc_id NOT IN (SELECT doc_id FROM u2 JOIN s2 USING (pos) WHERE seen / total >= 0.8)")
+add("ngram_dedup_annotate_once", dedup_query("paragraph", _units, annotate_only=True, rounds=1), _ngram_sql(_para) + ", k AS (SELECT doc_id, string_agg(idx::varchar, ',' ORDER BY idx) AS units FROM u JOIN s USING (pos) WHERE seen / total > 0.8 GROUP BY doc_id) SELECT doc_id, units FROM documents LEFT JOIN k USING (doc_id)")
+for _mode in ("document", "paragraph", "old-both", "both", "naive-both"):
+    add(f"ngram_dedup_{_mode.replace('-', '_')}", dedup_query(_mode, "text"))
+add("ngram_dedup_annotate", dedup_query("paragraph", _units, annotate_only=True))
+add("ngram_dedup_shards", dedup_query("document", "text", shards=3))
 add("ngram_dedup_exact", lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode="exact", annotate_only=True).select("doc_id", "exact_duplicate"), "SELECT doc_id, doc_id > min(doc_id) OVER (PARTITION BY text) AS exact_duplicate FROM documents")
 add("substring_dedup", lambda s, d: ngram_dedup.substring_dedup(documents(s, d)).select("doc_id", "text"))
 add("overlap_with_benchmark", lambda s, d: ngram_dedup.decontamination_overlap(documents(s, d), benchmark(s, d)), r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '([\p{L}\p{N}]+|[^\p{L}\p{N}\s])') AS ws FROM documents), b AS (SELECT regexp_extract_all(lower(text), '([\p{L}\p{N}]+|[^\p{L}\p{N}\s])') AS ws FROM benchmark),

@@ -8,7 +8,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PUNCT = r"[^\p{L}\p{N}]"
-TERMINAL = "[.!?\"'…。！？؟۔।॥⁇-⁉‼‽”｡﹒﹖﹗]\\z"
+#: Code points that end sentences, over all scripts, and those of punctuation and control characters.
+_ENDS = """21 2e 3f 589 61d-61f 6d4 700-702 7f9 837 839 83d-83e 964-965 104a-104b 1362 1367-1368 166e 1735-1736 17d4-17d6 17d9-17da 1803
+1809 1944-1945 1aa8-1aab 1b5a-1b5b 1b5e-1b5f 1b7d-1b7e 1c3b-1c3c 1c7e-1c7f 203c-203d 2047-2049 2e2e 2e3c 2e53-2e54 3002 a4ff a60e-a60f
+a6f3 a6f7 a876-a877 a8ce-a8cf a92f a9c8-a9c9 aa5d-aa5f aaf0-aaf1 abeb fe52 fe56-fe57 ff01 ff0e ff1f ff61 10a56-10a57 10f55-10f59
+10f86-10f89 11047-11048 110be-110c1 11141-11143 111c5-111c6 111cd 111de-111df 11238-11239 1123b-1123c 112a9 1144b-1144c 115c2-115c3
+115c9-115d7 11641-11642 1173c-1173e 11944 11946 11a42-11a43 11a9b-11a9c 11c41-11c42 11ef7-11ef8 11f43-11f44 16a6e-16a6f 16af5
+16b37-16b38 16b44 16e98 1bc9f 1da88"""
+_MARKS = """0-8 b-1f 21-2f 3a-40 5b-60 7b-9f ab b4 bb 2013-2014 2019 201c-201e 2026 2236 2501 25ba 3001-3002 3008-300d 3010-3011 ff01 ff05
+ff08-ff09 ff0c ff0e ff11 ff1a-ff1b ff1f ff5e"""
+
+
+def char_class(ranges: str) -> str:
+    """The inside of a character class of hexadecimal ranges, for the JVM's patterns and for RE2."""
+    return "".join("-".join(rf"\x{{{x}}}" for x in part.split("-")) for part in ranges.split())
+
+
+TERMINAL = f"[{char_class(_ENDS)}]\\z"
+#: A character that is neither punctuation nor a sentence's end.
+SYMBOL_FREE = f"[^{char_class(_ENDS)}{char_class(_MARKS)}]"
+LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
 def let(value: Column, body) -> Column:
@@ -27,7 +46,12 @@ def lines(c: Column, sep: str = "\\n") -> Column:
 
 def split_lines(c: Column) -> Column:
     """As lines, without the empty part after a final line break, and without any part of an empty text."""
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, r"\R\z", ""), r"\R"))
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, rf"(?:{LINE_BREAK})\z", ""), LINE_BREAK))
+
+
+def full_lines(c: Column) -> Column:
+    """Lines as they stand, but for those of white space."""
+    return F.filter(lines(c), lambda x: strip(x) != "")
 
 
 def paragraphs(c: Column, end: str = "\\n", remove_empty: bool = True) -> Column:

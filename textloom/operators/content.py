@@ -6,10 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
-from textloom.registry import computed, step
+from textloom.registry import computed, fresh, keep, step
 
 STOP_WORDS = ("and", "be", "have", "of", "that", "the", "to", "with")
 BULLETS = "[●•*-]"
+#: Bullets of the page rules: the web variant's two, and all that other word models count.
+FEW_BULLETS, ALL_BULLETS = "[•-]", "[•‣▶◀◦■□▪▫–●-]"
 CODE_EXTENSIONS = (".py", ".java", ".c", ".cpp", ".h", ".js", ".ts", ".go", ".rs", ".rb", ".php", ".scala", ".sh", ".md", ".sql", ".html", ".css")
 POLICY = ("cookie policy", "use cookies", "use of cookies", "uses cookies", "privacy policy", "terms of use")
 
@@ -118,27 +120,31 @@ def high_quality_ratio_filter(text: Column, threshold: float = 0.75, min_words:
 
 
 def _long_line_share(text: Column, min_words: int) -> Column:
-    ls = F.filter(T.lines(text), lambda x: T.strip(x) != "")
+    ls = T.full_lines(text)
     full = T.total(ls)
     return F.when(full > 0, T.total(F.filter(ls, lambda x: F.size(T.tokens(x)) >= min_words)) / full)
 
 
 @step("filter")
-def line_punct_ratio_filter(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False) -> Column:
-    share = T.share(T.paragraphs(text), lambda x: x.rlike(T.TERMINAL))
+def line_punct_ratio_filter(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False, stop_chars: list[str] | None = None) -> Column:
+    """Share of lines whose last character, white space included, ends a sentence; a text without lines is removed."""
+    ends = (lambda x: F.exists(F.array(*map(F.lit, stop_chars)), lambda e: F.endswith(x, e))) if stop_chars else (lambda x: x.rlike(T.TERMINAL))
+    share = T.share(T.full_lines(text), ends)
     ok = share >= line_punct_thr
     return F.coalesce(ok | (share == 0) if line_punct_exclude_zero else ok, F.lit(False))
 
 
 @step("filter")
 def short_line_ratio_filter(text: Column, short_line_thr: float = 0.67, short_line_length: int = 30) -> Column:
-    return F.coalesce(T.share(T.paragraphs(text), lambda x: F.length(x) <= short_line_length) <= short_line_thr, F.lit(False))
+    return F.coalesce(T.share(T.full_lines(text), lambda x: F.length(x) <= short_line_length) <= short_line_thr, F.lit(False))
 
 
 @step("filter")
 def char_dup_ratio_filter(text: Column, char_duplicates_ratio: float = 0.1) -> Column:
     """Characters in repeats of lines, first copies apart, over characters without line feeds."""
-    return F.coalesce(_repeated_chars(T.paragraphs(text)) / F.nullif(F.length(F.replace(text, F.lit("\n"), F.lit(""))), F.lit(0)) <= char_duplicates_ratio, F.lit(False))
+    some = F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    ratio = F.when(F.size(T.full_lines(text)) > 0, _repeated_chars(T.full_lines(text)) / some)
+    return F.coalesce(ratio <= char_duplicates_ratio, F.lit(False))
 
 
 def _repeated_chars(ls: Column) -> Column:
@@ -156,13 +162,14 @@ def lorem_ipsum_filter(text: Column) -> Column:
     return ~F.contains(F.lower(text), F.lit("lorem ipsum"))
 
 
-def fineweb_quality_reason(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False, short_line_thr: float = 0.67, short_line_length: int = 30, char_duplicates_ratio: float = 0.1, new_line_ratio: float = 0.3, high_quality_ratio_value: float = -1, high_quality_min_line_num: int = 10, model: str = "split") -> Column:
+def fineweb_quality_reason(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False, short_line_thr: float = 0.67, short_line_length: int = 30, char_duplicates_ratio: float = 0.1, new_line_ratio: float = 0.3, high_quality_ratio_value: float = -1, high_quality_min_line_num: int = 10, model: str = "split", stop_chars: list[str] | None = None) -> Column:
     """Null for a text that passes, else the first reason; punctuation and short lines count only below the quality ratio."""
-    why = F.when(F.size(T.paragraphs(text)) == 0, "empty")
+    why = F.when(F.size(T.full_lines(text)) == 0, "fineweb_quality_filter_zero_lines")
     if high_quality_ratio_value > 0:
         poor = F.coalesce(_long_line_share(text, high_quality_min_line_num) < high_quality_ratio_value, F.lit(True))
-        why = why.when(poor & ~line_punct_ratio_filter(text, line_punct_thr, line_punct_exclude_zero), "line_punct_ratio").when(poor & ~short_line_ratio_filter(text, short_line_thr, short_line_length), "short_line_ratio")
-    return why.when(~char_dup_ratio_filter(text, char_duplicates_ratio), "char_dup_ratio").when(~list_ratio_filter(text, new_line_ratio, model), "list_ratio")
+        why = why.when(poor & ~line_punct_ratio_filter(text, line_punct_thr, line_punct_exclude_zero, stop_chars), "line_punct_ratio_filter")
+        why = why.when(poor & ~short_line_ratio_filter(text, short_line_thr, short_line_length), "short_line_ratio_filter")
+    return why.when(~char_dup_ratio_filter(text, char_duplicates_ratio), "char_dup_ratio_filter").when(~list_ratio_filter(text, new_line_ratio, model), "list_ratio_filter")
 
 
 @step("filter")
@@ -170,28 +177,36 @@ def fineweb_quality_filter(text: Column, **kw) -> Column:
     return fineweb_quality_reason(text, **kw).isNull() & text.isNotNull()
 
 
-def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words: int = 100_000, min_avg_word_length: float = 3, max_avg_word_length: float = 10, max_symbol_word_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, max_non_alpha_words_ratio: float = 0.8, min_stop_words: int = 2, model: str = "split") -> Column:
-    """Null for a text that passes, else the name of the first rule that fails; words of punctuation alone aren't counted."""
+def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words: int = 100_000, min_avg_word_length: float = 3, max_avg_word_length: float = 10, max_symbol_word_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, max_non_alpha_words_ratio: float = 0.8, min_stop_words: int = 2, model: str = "split", all_bullets: bool = False, whitelist: list[str] | None = None) -> Column:
+    """Null for a text that passes, else the name of the first rule that fails.
+
+    Length rules count words with a character that isn't punctuation, other shares divide by all words. Stop words count as often
+    as they occur. With ``whitelist`` its words and those of digits alone count as alphabetic.
+    """
+    bullets, bullet_reason = (ALL_BULLETS, "bullet_lines_check") if all_bullets else (FEW_BULLETS, "gopher_too_many_bullets")
+
+    def alphabetic(w: Column) -> Column:
+        return w.rlike(r"\p{L}") | w.rlike(r"\A\p{Nd}+\z") | w.isin(*whitelist) if whitelist is not None else w.rlike(r"\p{L}")
 
     def rules(ws: Column, real: Column, ls: Column) -> Column:
-        n, mean, some = F.size(real), T.mean_length(real), F.greatest(F.size(ls), F.lit(1))
+        n, n_real, n_lines, mean = F.size(ws), F.size(real), F.size(ls), T.mean_length(real)
         return (
-            F.when(n < min_doc_words, "gopher_short_doc")
-            .when(n > max_doc_words, "gopher_long_doc")
+            F.when(n_real < min_doc_words, "gopher_short_doc")
+            .when(n_real > max_doc_words, "gopher_long_doc")
             .when(mean < min_avg_word_length, "gopher_below_avg_threshold")
             .when(mean > max_avg_word_length, "gopher_above_avg_threshold")
+            .when(F.size(F.filter(ws, lambda w: w.isin(*STOP_WORDS))) < min_stop_words, "gopher_enough_stop_words")
             .when(T.count_of(text, "#") / n > max_symbol_word_ratio, "gopher_too_many_hashes")
             .when(T.count_of(text, r"\.\.\.|…") / n > max_symbol_word_ratio, "gopher_too_many_ellipsis")
-            .when(F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) / some > max_bullet_lines_ratio, "gopher_too_many_bullets")
-            .when(F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\z"))) / some > max_ellipsis_lines_ratio, "gopher_too_many_end_ellipsis")
-            .when(F.size(F.filter(real, lambda w: w.rlike(r"\p{L}"))) / n < max_non_alpha_words_ratio, "gopher_below_alpha_threshold")
-            .when(F.size(F.array_intersect(ws, F.array(*map(F.lit, STOP_WORDS)))) < min_stop_words, "gopher_enough_stop_words")
+            .when(F.size(F.filter(ls, lambda x: x.rlike(rf"\A\s*{bullets}"))) / n_lines > max_bullet_lines_ratio, bullet_reason)
+            .when(F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\s*\z"))) / n_lines > max_ellipsis_lines_ratio, "gopher_too_many_end_ellipsis")
+            .when(F.size(F.filter(ws, alphabetic)) / n < max_non_alpha_words_ratio, "gopher_below_alpha_threshold")
         )
 
     def lines_of(ws: Column, real: Column) -> Column:
-        return T.let(T.paragraphs(text), lambda ls: rules(ws, real, ls))
+        return T.let(T.split_lines(text), lambda ls: rules(ws, real, ls))
 
-    return T.let(T.words(text, model, False), lambda ws: T.let(F.filter(ws, lambda w: w.rlike(r"[\p{L}\p{N}]")), lambda real: lines_of(ws, real)))
+    return T.let(T.words(text, model, False), lambda ws: T.let(F.filter(ws, lambda w: w.rlike(T.SYMBOL_FREE)), lambda real: lines_of(ws, real)))
 
 
 @step("filter")
@@ -199,28 +214,56 @@ def fineweb_gopher_quality_filter(text: Column, **kw) -> Column:
     return gopher_quality_reason(text, **kw).isNull() & text.isNotNull()
 
 
-def c4_text(text: Column, remove_citations: bool = True, filter_no_terminal_punct: bool = False, min_words_per_line: int = 3, max_word_length: int = 1000, filter_javascript: bool = True, filter_policy: bool = True) -> Column:
-    """The lines that pass the line rules, joined."""
-    cites = r"\[(citation needed|edit|\d*)\]"
-    ls = T.lines(F.regexp_replace(text, cites, "") if remove_citations else text)
-    ls = F.filter(F.transform(ls, T.strip), lambda x: ~F.exists(T.tokens(x), lambda w: F.length(w) > max_word_length))
-    if filter_no_terminal_punct:
-        ls = F.filter(ls, lambda x: x.rlike(r"[.?!\"']\z") & ~x.rlike(r"\.\.\.\z"))
-    ls = F.filter(ls, lambda x: F.size(T.tokens(x)) >= min_words_per_line)
-    if filter_javascript:
-        ls = F.filter(ls, lambda x: ~F.contains(F.lower(x), F.lit("javascript")))
-    if filter_policy:
-        ls = F.filter(ls, lambda x: ~F.lower(x).rlike("|".join(POLICY)))
-    return F.array_join(ls, "\n")
+def c4_lines(text: Column, split_paragraph: bool = True, remove_citations: bool = True, filter_no_terminal_punct: bool = False, min_words_per_line: int = 3, max_word_length: int = 1000, filter_lorem_ipsum: bool = True, filter_javascript: bool = True, filter_curly_bracket: bool = True, filter_policy: bool = True) -> Column:
+    """Lines, or sentences without ``split_paragraph``, as (line, state): keep, skip, or the reason for which the page goes.
+
+    A line is judged in this order: a word too long, no sentence end, too few words, lorem ipsum, javascript, bracket, policy. Words
+    are counted before citations are cut.
+    """
+    given = F.transform(T.split_lines(text) if split_paragraph else T.split_into_parts(text, "sentences"), T.strip)
+
+    def judged(x: Column) -> Column:
+        line = F.regexp_replace(x, r"\[(citation needed|edit|\d*)\]", "") if remove_citations else x
+        low = F.lower(line)
+        state = F.when(F.exists(T.tokens(x), lambda w: F.length(w) > max_word_length), "skip") if max_word_length != -1 else F.when(F.lit(False), "skip")
+        if filter_no_terminal_punct:
+            state = state.when(~line.rlike(r"[.?!\"']\z") | line.rlike(r"\.\.\.\z"), "skip")
+        state = state.when(F.size(T.tokens(x)) < min_words_per_line, "skip")
+        if filter_lorem_ipsum:
+            state = state.when(F.contains(low, F.lit("lorem ipsum")), "lorem_ipsum")
+        if filter_javascript:
+            state = state.when(F.contains(low, F.lit("javascript")), "skip")
+        if filter_curly_bracket:
+            state = state.when(F.contains(line, F.lit("{")), "curly_bracket")
+        if filter_policy:
+            state = state.when(low.rlike("|".join(POLICY)), "skip")
+        return F.struct(line.alias("line"), state.otherwise("keep").alias("state"))
+
+    return F.transform(given, judged)
+
+
+def c4_text(judged: Column, split_paragraph: bool = True) -> Column:
+    """The kept lines, joined."""
+    return T.strip(F.array_join(F.transform(F.filter(judged, lambda x: x["state"] == "keep"), lambda x: x["line"]), "\n" if split_paragraph else " "))
 
 
-def c4_reason(text: Column, kept: Column, min_num_sentences: int = 5) -> Column:
-    low = F.lower(text)
-    return F.when(F.contains(low, F.lit("lorem ipsum")), "lorem_ipsum").when(F.contains(text, F.lit("{")), "curly_bracket").when(T.total(T.paragraphs(kept), T.n_sentences) < min_num_sentences, "too_few_sentences")
+def c4_reason(judged: Column, min_num_sentences: int = 5, split_paragraph: bool = True) -> Column:
+    """The first line's reason for which the page goes, else too few sentences in the kept lines, else null; -1 takes any number."""
+    why = F.get(F.filter(judged, lambda x: ~x["state"].isin("keep", "skip")), F.lit(0))["state"]
+    kept = F.transform(F.filter(judged, lambda x: x["state"] == "keep"), lambda x: x["line"])
+    n = T.total(kept, T.n_sentences) if split_paragraph else F.size(kept)
+    return F.coalesce(why, F.when(n < min_num_sentences, "too_few_sentences"))
 
 
 @step("global")
-def fineweb_c4_filter(df, text_col: str = "text", min_num_sentences: int = 5, **kw):
-    """Line rules rewrite the text, page rules drop the row."""
-    new = c4_text(F.col(text_col), **kw)
-    return computed(df, "_kept", new, drop_empty=True).filter(c4_reason(F.col(text_col), F.col("_kept"), min_num_sentences).isNull()).withColumn(text_col, F.col("_kept")).drop("_kept")
+def fineweb_c4_filter(df, text_col: str = "text", min_num_sentences: int = 5, split_paragraph: bool = True, annotate: bool = False, **kw):
+    """Line rules rewrite the text, page rules drop the row (or name the reason where ``annotate`` holds)."""
+    name, text = fresh(df, "judged"), F.col(f"`{text_col}`")
+    got = computed(df, name, c4_lines(text, split_paragraph, **kw))
+    judged = F.col(name)
+    why = c4_reason(judged, min_num_sentences, split_paragraph)
+    kept = c4_text(judged, split_paragraph)
+    if annotate:
+        marked = keep(got, why.isNull() & text.isNotNull(), why, True)
+        return marked.withColumn(text_col, F.when(why.isNull(), kept).otherwise(text)).drop(name)
+    return got.filter(why.isNull()).withColumn(text_col, kept).drop(name).filter(F.col(f"`{text_col}`") != "")

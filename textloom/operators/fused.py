@@ -47,7 +47,7 @@ def _first_failure(text: Column, ws: Column, shares: Column, ls: Column, ps: Col
         .when(F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) / some > 0.9, "quality_bullets")
         .when(F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|…)\z"))) / some > 0.3, "quality_end_ellipsis")
         .when(F.size(F.filter(ws, lambda w: w.rlike(r"\p{L}"))) / n < 0.8, "quality_alphabetic")
-        .when(F.size(F.array_intersect(ws, F.array(*map(F.lit, STOP_WORDS)))) < 2, "quality_stop_words")
+        .when(F.size(F.filter(ws, lambda w: w.isin(*STOP_WORDS))) < 2, "quality_stop_words")
         .when(T.share(ls, lambda x: x.rlike(T.TERMINAL)) < 0.12, "line_punctuation")
         .when(T.share(ls, lambda x: F.octet_length(x) <= 30) > 0.67, "line_short")
         .when((T.total(ls, F.octet_length) - T.total(F.array_distinct(ls), F.octet_length)) / F.greatest(F.octet_length(text), F.lit(1)) > 0.1, "line_duplicates")

@@ -1,122 +1,194 @@
 """N-gram deduplication by first occurrences.
 
 The sequential rule "a unit goes if more than ``threshold`` of its n-grams were inserted by units before it" becomes a shuffle:
-the first place of each n-gram is a partial aggregation, joined back. It is repeated over the surviving units until none
-changes, which is the sequential result; ``rounds`` caps that, and one round treats every earlier unit as a survivor. Units are ordered by (id, unit number); ids are integers.
+n-grams are hashed in Arrow batches, counted with partial aggregation, and only those of two units or more are joined back. It is
+repeated over the surviving units until none changes, which is the sequential result; ``rounds`` caps that, and one round treats
+every earlier unit as a survivor. Units are ordered by (id, unit number); ids are integers.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions import text as T
 from textloom.functions.lineage import cut
-from textloom.registry import step
-
-UNIT_BITS = 20
-
-
-def _units(df: DataFrame, mode: str, id_col: str, text_col: str) -> DataFrame:
-    """(id, at, pos, unit): a paragraph keeps the line feed before it."""
-    if mode == "paragraph":
-        parts = F.split(F.col(text_col), r"(?=\n)")
-        return df.select(F.col(id_col).alias("id"), F.posexplode(parts).alias("at", "unit")).withColumn("pos", F.col("id") * (1 << UNIT_BITS) + F.col("at"))
-    return df.select(F.col(id_col).alias("id"), F.lit(0).alias("at"), F.col(text_col).alias("unit"), (F.col(id_col) * (1 << UNIT_BITS)).alias("pos"))
-
-
-def _grams(units: DataFrame, low: int, high: int) -> DataFrame:
-    """(pos, gram): hashes of runs of ``high`` words, or of all words of a unit with ``low`` to ``high`` of them."""
-    ws = T.words(F.lower("unit"), "regex", False)
-    at = F.when(F.size("ws") >= high, F.sequence(F.lit(1), F.size("ws") - high + 1)).when(F.size("ws") >= low, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
-    return units.withColumn("ws", ws).select("pos", F.posexplode(F.transform(at, lambda i: F.xxhash64(F.slice("ws", i, high)))).alias("k", "gram"))
-
-
-def _seen_share(grams: DataFrame, first: DataFrame, place: Column | None = None) -> DataFrame:
-    both = grams.join(first, "gram", "left")
-    place = F.col("first") if place is None else place
-    return both.groupBy("pos").agg(F.count("*").alias("total"), F.sum(F.coalesce((place < F.col("pos")).cast("long"), F.lit(0))).alias("seen"))
-
-
-def unit_shares(units: DataFrame, low: int, high: int, threshold: float, rounds: int | None = None, strict: bool = True, known: DataFrame | None = None, seen: bool = True) -> DataFrame:
-    """(pos, total, seen, gone) of every unit with n-grams; ``known`` is a table of n-grams that count as seen.
-
-    Without ``seen``, units that surely stay may be missing. Only units that go when all earlier ones count can ever go, so the
-    later rounds run over these; the n-grams of the others are seen in every round.
+from textloom.registry import fresh, step
+
+_WORD = re.compile(r"[^\W_]+|[^\w\s]|_")
+_UNIT = re.compile(r"\n?[^\n]*")
+#: N-grams of a list that are sent to the workers; a longer list is joined by a shuffle.
+SENT_GRAMS = 1_000_000
+GRAMS = "id long, at int, k int, gram long, total int, doc_total int"
+
+
+def paragraphs_of(text: str) -> list[str]:
+    """Paragraphs, each with the line feed before it."""
+    first, *rest = text.split("\n")
+    return [first, *("\n" + x for x in rest)]
+
+
+def gram_hashes(words: list[int], sizes: list[int], low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, place, hash) of the runs of ``high`` words of each unit; a shorter unit of ``low`` words or more is one run."""
+    h, n = np.array(words, np.uint64), np.array(sizes, np.int64)
+    ends = np.cumsum(n)
+    starts = ends - n
+    count = np.where(n >= high, n - high + 1, (n >= low).astype(np.int64))
+    unit = np.repeat(np.arange(len(n)), count)
+    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at, length = starts[unit] + place, np.minimum(n, high)[unit]
+    out = np.full(len(unit), 0x9E3779B97F4A7C15, np.uint64)
+    for i in range(high):
+        here = i < length
+        x = (out[here] ^ h[at[here] + i]) * np.uint64(0xBF58476D1CE4E5B9)
+        out[here] = x ^ (x >> np.uint64(29))
+    return unit, place, out
+
+
+def _grams(df: DataFrame, mode: str, low: int, high: int, id_col: str = "doc_id", text_col: str = "text", only: np.ndarray | None = None) -> DataFrame:
+    """(id, at, k, gram, total, doc_total): n-grams of each unit with their place, and the numbers of n-grams of unit and text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for b in batches:
+            ids, texts = b["id"].to_numpy(zero_copy_only=False), b["text"].to_pylist()
+            for lo in range(0, len(texts), 256):
+                doc, number, sizes, words = [], [], [], []
+                for i, text in enumerate(texts[lo : lo + 256], lo):
+                    for k, unit in enumerate(paragraphs_of(text) if mode == "paragraph" else [text]):
+                        found = _WORD.findall(unit.lower())
+                        doc.append(i)
+                        number.append(k)
+                        sizes.append(len(found))
+                        for w in found:
+                            v = known.get(w)
+                            if v is None:
+                                v = known[w] = xxhash.xxh64_intdigest(w)
+                            words.append(v)
+                if len(known) > 1 << 20:
+                    known.clear()
+                unit, place, gram = gram_hashes(words, sizes, low, high)
+                of = np.array(doc)[unit]
+                total = np.bincount(unit, minlength=len(sizes))
+                whole = np.bincount(of, minlength=len(texts))
+                keep = slice(None) if only is None else np.isin(gram.view(np.int64), only)
+                cols = ids[of], np.array(number, np.int32)[unit], place.astype(np.int32), gram.view(np.int64), total[unit].astype(np.int32), whole[of].astype(np.int32)
+                yield pa.record_batch([pa.array(c[keep]) for c in cols], ["id", "at", "k", "gram", "total", "doc_total"])
+
+    named = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
+    return named.mapInArrow(run, GRAMS)
+
+
+def _pos(df: DataFrame, id_col: str) -> Column:
+    """A unit's place in the order of (id, at): one number, of 64 bits where the ids are small enough."""
+    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
+    small = low is None or (low >= 0 and high < 1 << 32)
+    return F.col("id") * F.lit(1 << 31) + F.col("at") if small else (F.col("id").cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("at")).cast("decimal(38,0)")
+
+
+def unit_shares(df: DataFrame, mode: str, low: int, high: int, threshold: float, rounds: int | None = None, strict: bool = True, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(pos, id, at, total, doc_total, seen, gone) of every unit that shares n-grams with others; ``known`` is a table of n-grams
+    that count as seen.
+
+    Only units that go when all earlier ones count can ever go, so the later rounds run over these; the n-grams of the others
+    are seen in every round.
     """
-    grams = _grams(units, low, high)
+    grams = _grams(df, mode, low, high, id_col, text_col).withColumn("pos", _pos(df, id_col)).drop("k")
+    unit = ("pos", "id", "at", "total", "doc_total")
     if known is not None:
-        first = known.select("gram").distinct().withColumn("first", F.lit(-1).cast("long"))
+        shared = known.select("gram").distinct().withColumn("first", F.lit(-1).cast("long"))
     else:
-        first = grams.groupBy("gram").agg(F.min("pos").alias("first"))
+        shared = grams.groupBy("gram").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).filter("first < last").select("gram", "first")
+    # Both tables are written, so that a join that meets a hot n-gram can be split.
+    shared = cut(shared)
+    ours = cut(grams.join(shared, "gram"))
 
-    def judged(shares: DataFrame) -> DataFrame:
+    def judged(rows: DataFrame, first: Column) -> DataFrame:
+        seen = F.sum(F.coalesce((first < F.col("pos")).cast("long"), F.lit(0))).alias("seen")
         share = F.col("seen") / F.col("total")
-        return shares.withColumn("gone", share > threshold if strict else share >= threshold)
+        return rows.groupBy(*unit).agg(seen).withColumn("gone", share > threshold if strict else share >= threshold)
 
-    out = judged(_seen_share(grams, first))
+    out = judged(ours, F.col("first"))
     if known is not None or rounds == 1:
         return out
     before = cut(out.filter("gone"))
     maybe = before.select("pos")
-    sure = grams.join(maybe, "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("sure"))
-    ours = cut(grams.join(maybe, "pos", "left_semi").join(sure, "gram", "left"))
+    sure = ours.join(maybe, "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("sure"))
+    open_ = cut(ours.drop("first").join(maybe, "pos", "left_semi").join(sure, "gram", "left"))
     turn = 1
     while rounds is None or turn < rounds:
-        alive = ours.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("alive"))
-        now = cut(judged(_seen_share(ours.select("pos", "gram", "sure"), alive.withColumnRenamed("alive", "first"), F.least("first", "sure"))))
+        alive = open_.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("alive"))
+        now = cut(judged(open_.join(alive, "gram", "left"), F.least("alive", "sure")))
         changed = now.select("pos", "gone").exceptAll(before.select("pos", "gone")).limit(1).count()
         before, turn = now, turn + 1
         if not changed:
             break
-    if not seen:
-        return before
-    left = grams.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("first"))
-    return judged(_seen_share(grams, left))
+    left = ours.join(before.filter("gone").select("pos"), "pos", "left_anti").groupBy("gram").agg(F.min("pos").alias("left"))
+    return judged(ours.join(left, "gram", "left"), F.col("left"))
 
 
-def _rebuild(df: DataFrame, units: DataFrame, id_col: str, text_col: str, annotate: bool) -> DataFrame:
+def _rebuild(df: DataFrame, gone: DataFrame, id_col: str, text_col: str, annotate: bool) -> DataFrame:
+    key, units = fresh(df, "gone_id"), fresh(df, "gone_units")
+    cuts = gone.groupBy(F.col("id").alias(key)).agg(F.array_sort(F.collect_list("at")).alias(units))
+    out = df.join(cuts, F.col(f"`{id_col}`") == F.col(key), "left").drop(key)
     if annotate:
-        spans = units.filter("gone").groupBy("id").agg(F.array_sort(F.collect_list("at")).alias("duplicate_units"))
-        return df.join(spans, F.col(id_col) == F.col("id"), "left").drop("id")
-    cut = units.filter("gone").groupBy("id").agg(F.collect_list("at").alias("_gone"))
-    out = df.join(cut, F.col(id_col) == F.col("id"), "left").drop("id")
-    parts = F.split(F.col(text_col), r"(?=\n)")
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "")
-    return out.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)).drop("_gone").filter(F.col(text_col) != "")
+        return out.withColumnRenamed(units, "duplicate_units")
+    text = F.col(f"`{text_col}`")
+    left = F.array_join(F.filter(F.split(text, r"(?=\n)"), lambda x, i: ~F.array_contains(units, i)), "")
+    return out.withColumn(text_col, F.when(F.col(units).isNull(), text).otherwise(left)).drop(units).filter(text != "")
+
+
+def _without(df: DataFrame, bad: DataFrame, id_col: str, annotate: bool) -> DataFrame:
+    """``df`` without the rows whose id is in ``bad``, or with a mark."""
+    key, mark = fresh(df, "bad_id"), fresh(df, "bad")
+    bad = bad.select(F.col("id").alias(key)).distinct()
+    if not annotate:
+        return df.join(bad, F.col(f"`{id_col}`") == F.col(key), "left_anti")
+    out = df.join(bad.withColumn(mark, F.lit(True)), F.col(f"`{id_col}`") == F.col(key), "left").drop(key)
+    return out.withColumn("duplicate", F.coalesce(mark, F.lit(False))).drop(mark)
 
 
 @step("global")
-def ngram_dedup(df: DataFrame, text_col: str = "text", mode: str = "paragraph", min_ngram_size: int = 5, max_ngram_size: int = 13, threshold: float = 0.8, id_col: str = "doc_id", annotate_only: bool = False, rounds: int | None = None, known: DataFrame | None = None) -> DataFrame:
-    """``mode``: exact, paragraph, document, both (paragraphs and whole texts by their own shares, at least the threshold),
-    naive-both (texts, then paragraphs of the rest), old-both (paragraphs; a text whose share is over the threshold goes)."""
-    how = dict(low=min_ngram_size, high=max_ngram_size, threshold=threshold, rounds=rounds, known=known)
+def ngram_dedup(df: DataFrame, text_col: str = "text", mode: str = "paragraph", min_ngram_size: int = 5, max_ngram_size: int = 13, threshold: float = 0.8, id_col: str = "doc_id", annotate_only: bool = False, rounds: int | None = None, known: DataFrame | None = None, shards: int = 1) -> DataFrame:
+    """``mode``: exact, paragraph, document, both (paragraphs by the share of their own n-grams, and whole texts by the n-grams of
+    the whole text, those across paragraphs too, at least the threshold), naive-both (texts, then paragraphs of the rest),
+    old-both (paragraphs; a text whose share of its paragraphs' n-grams is over the threshold goes). Texts meet only within the
+    shard, one of ``shards`` by a hash of the id, that they fall into."""
+    if shards > 1:
+        out = None
+        for k in range(shards):
+            part = ngram_dedup(df.filter(F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long")), F.lit(shards)) == k), text_col, mode, min_ngram_size, max_ngram_size, threshold, id_col, annotate_only, rounds, known)
+            out = part if out is None else out.unionByName(part)
+        return out
+    how = dict(low=min_ngram_size, high=max_ngram_size, threshold=threshold, rounds=rounds, known=known, id_col=id_col, text_col=text_col)
     if mode == "exact":
-        first = df.groupBy(F.md5(text_col).alias("_m")).agg(F.min(id_col).alias("_first"))
-        out = df.join(first, F.md5(F.col(text_col)) == F.col("_m")).withColumn("exact_duplicate", F.col("_first") < F.col(id_col)).drop("_m", "_first")
+        key, first = fresh(df, "text_md5"), fresh(df, "first_id")
+        firsts = df.groupBy(F.md5(text_col).alias(key)).agg(F.min(id_col).alias(first))
+        out = df.join(firsts, F.md5(F.col(text_col)) == F.col(key)).withColumn("exact_duplicate", F.col(first) < F.col(id_col)).drop(key, first)
         return out if annotate_only else out.filter(~F.col("exact_duplicate")).drop("exact_duplicate")
     if mode == "naive-both":
         kept = ngram_dedup(df, text_col, "document", min_ngram_size, max_ngram_size, threshold, id_col, rounds=rounds, known=known)
         return ngram_dedup(kept, text_col, "paragraph", min_ngram_size, max_ngram_size, threshold, id_col, annotate_only, rounds, known)
-    if mode in ("both", "old-both"):
-        strict = mode == "old-both"
-        units = _units(df, "paragraph", id_col, text_col)
-        found = unit_shares(units, strict=strict, **how)
-        whole = found.groupBy(F.shiftright("pos", UNIT_BITS).alias("id")).agg(F.sum("seen").alias("seen"), F.sum("total").alias("total"))
-        share = F.col("seen") / F.col("total")
-        bad = whole.filter(share > threshold if strict else share >= threshold).select(F.col("id").alias(id_col))
-        placed = units.join(found.filter("gone"), "pos").select("id", "at", "gone")
-        out = _rebuild(df, placed, id_col, text_col, annotate_only)
-        return out if annotate_only else out.join(bad, id_col, "left_anti")
-    units = _units(df, mode, id_col, text_col)
-    found = unit_shares(units, seen=False, **how)
     if mode == "document":
-        gone = found.filter("gone").select(F.shiftright("pos", UNIT_BITS).alias(id_col))
-        return df.join(gone.withColumn("duplicate", F.lit(True)), id_col, "left").withColumn("duplicate", F.coalesce("duplicate", F.lit(False))) if annotate_only else df.join(gone, id_col, "left_anti")
-    return _rebuild(df, units.join(found, "pos").select("id", "at", "gone"), id_col, text_col, annotate_only)
+        return _without(df, unit_shares(df, "document", **how).filter("gone"), id_col, annotate_only)
+    if mode not in ("paragraph", "both", "old-both"):
+        raise ValueError(f"unknown mode {mode}")
+    found = unit_shares(df, "paragraph", strict=mode != "both", **how)
+    out = _rebuild(df, found.filter("gone"), id_col, text_col, annotate_only)
+    if annotate_only or mode == "paragraph":
+        return out
+    if mode == "old-both":
+        whole = found.groupBy("id").agg(F.sum("seen").alias("seen"), F.max("doc_total").alias("doc_total"))
+        bad = whole.filter(F.col("seen") / F.col("doc_total") > threshold)
+    else:
+        bad = unit_shares(df, "document", strict=False, **how).filter("gone")
+    return _without(out, bad, id_col, False)
 
 
 def merge_intervals(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,24 +226,22 @@ def sandwich_intervals(spans: list[tuple[int, int]], share: float) -> list[tuple
 @step("global")
 def substring_dedup(df: DataFrame, text_col: str = "text", ngram_size: int = 13, least_tokens: int = 50, share: float = 1.0, id_col: str = "doc_id", annotate_only: bool = False) -> DataFrame:
     """Cuts stretches of at least ``least_tokens`` words whose n-grams all (``share`` of them) stood in an earlier text."""
-    grams = _grams(_units(df, "document", id_col, text_col), ngram_size, ngram_size)
-    first = grams.groupBy("gram").agg(F.min("pos").alias("first"))
-    seen = grams.join(first, "gram").filter(F.col("first") < F.col("pos")).groupBy("pos").agg(F.array_sort(F.collect_list("k")).alias("_seen"))
-    both = df.join(seen.select(F.shiftright("pos", UNIT_BITS).alias("_id"), "_seen"), F.col(id_col) == F.col("_id"), "left").drop("_id")
-    import re
-
-    word = re.compile(r"[^\W_]+|[^\w\s]|_")
+    seen_col, key = fresh(df, "seen_at"), fresh(df, "seen_id")
+    grams = _grams(df, "document", ngram_size, ngram_size, id_col, text_col)
+    first = cut(grams.groupBy("gram").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("gram", "first"))
+    seen = grams.join(first, "gram").filter(F.col("first") < F.col("id")).groupBy(F.col("id").alias(key)).agg(F.array_sort(F.collect_list("k")).alias(seen_col))
+    both = df.join(seen, F.col(f"`{id_col}`") == F.col(key), "left").drop(key)
 
     def spans(text: str, at) -> list[tuple[int, int]]:
-        places = [m.span() for m in word.finditer(text)]
+        places = [m.span() for m in _WORD.finditer(text)]
         found = merge_intervals([(int(i), int(i) + ngram_size) for i in at])
         found = sandwich_intervals(found, share) if share < 1 else found
         return [(places[a][0], places[min(b, len(places)) - 1][1]) for a, b in found if b - a >= least_tokens]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            cuts = [spans(t, s) if s is not None and t is not None else [] for t, s in zip(pdf[text_col], pdf["_seen"])]
-            pdf = pdf.drop(columns="_seen")
+            cuts = [spans(t, s) if s is not None and t is not None else [] for t, s in zip(pdf[text_col], pdf[seen_col])]
+            pdf = pdf.drop(columns=seen_col)
             if annotate_only:
                 pdf["duplicate_spans"] = [[list(c) for c in x] for x in cuts]
             else:
@@ -184,11 +254,17 @@ def substring_dedup(df: DataFrame, text_col: str = "text", ngram_size: int = 13,
 
 
 def decontamination_overlap(docs: DataFrame, tests: DataFrame, ngram_size: int = 13, id_col: str = "doc_id", text_col: str = "text", test_text: str = "text") -> DataFrame:
-    """(id, overlap) of documents that share n-grams with the tests."""
-    words = lambda df, c: df.withColumn("unit", F.col(c)).withColumn("pos", F.monotonically_increasing_id())
-    known = _grams(words(tests, test_text).select("unit", "pos"), ngram_size, ngram_size).select("gram").distinct()
-    mine = docs.select(F.col(id_col).alias("pos"), F.col(text_col).alias("unit"))
-    return _grams(mine, ngram_size, ngram_size).join(known, "gram", "left_semi").groupBy(F.col("pos").alias(id_col)).agg(F.countDistinct("gram").alias("overlap"))
+    """(id, overlap) of documents that share n-grams with the tests.
+
+    Up to ``SENT_GRAMS`` test n-grams go to the workers, which then emit no others; more are joined by a shuffle.
+    """
+    known = cut(_grams(tests.select(F.monotonically_increasing_id().alias("doc_id"), F.col(f"`{test_text}`").alias("text")), "document", ngram_size, ngram_size).select("gram").distinct())
+    if known.count() <= SENT_GRAMS:
+        only = np.sort(np.array([r[0] for r in known.collect()], np.int64))
+        hit = _grams(docs, "document", ngram_size, ngram_size, id_col, text_col, only)
+    else:
+        hit = _grams(docs, "document", ngram_size, ngram_size, id_col, text_col).join(known, "gram", "left_semi")
+    return hit.groupBy(F.col("id").alias(id_col)).agg(F.countDistinct("gram").alias("overlap"))
 
 
 def bloom_size(n: int, fp_rate: float) -> tuple[int, int]:
@@ -201,3 +277,15 @@ def bloom_size(n: int, fp_rate: float) -> tuple[int, int]:
 
 def bloom_fp_rate(bits: int, hashers: int, n: int) -> float:
     return (1 - (1 - 1 / bits) ** (hashers * n)) ** hashers
+
+
+def bloom_bytes(n: int, fp_rate: float) -> int:
+    """Memory that a filter for ``n`` items takes, in whole 64-bit words."""
+    return -(-bloom_size(n, fp_rate)[0] // 64) * 8
+
+
+def most_items(memory: int, fp_rate: float) -> int:
+    """Items that a filter of so many bytes holds at that rate."""
+    from math import log
+
+    return int(memory * 8 * log(2) ** 2 / -log(fp_rate))

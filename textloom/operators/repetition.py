@@ -139,36 +139,40 @@ def _greedy(at: np.ndarray, count: np.ndarray, lengths: np.ndarray, size: int) -
 
 
 def gopher_repetition(text: str) -> str | None:
-    """The first rule of the web variant that fails: extra copies of lines and paragraphs, top and greedy n-grams."""
-    text = text.strip()
+    """The first rule of the web variant that fails: extra copies of paragraphs and lines, top and greedy n-grams.
+
+    Paragraphs are those of the stripped text, lines those of the text as it stands; all shares divide by its length.
+    """
+    name = "massive_web_repetition_filters:{}".format
     if not text:
-        return "empty"
-    for parts, by_count, by_chars, name in ((re.split(r"\n{2,}", text), 0.3, 0.2, "para"), (re.split(r"\n+", text), 0.3, 0.2, "line")):
+        return name("empty_text")
+    for parts, kind in ((re.split(r"\n{2,}", text.strip()), "paragraph"), (re.split(r"\n+", text), "line")):
         extra = Counter(parts)
         again, chars = sum(c - 1 for c in extra.values()), sum((c - 1) * len(p) for p, c in extra.items())
-        if again / len(parts) > by_count:
-            return f"dup_{name}_frac"
-        if chars / len(text) > by_chars:
-            return f"dup_{name}_char_frac"
+        if again / len(parts) > 0.3:
+            return name(kind)
+        if chars / len(text) > 0.2:
+            return name(f"{kind}_char")
     words = _WORD.findall(text)
     ids, lengths, kinds = _numbered(words)
     grams = _grams(ids, kinds, max(ALL))
     ends = np.concatenate([[0], np.cumsum(lengths)])
     for n, most in TOP.items():
-        if n in grams and (top := grams[n][1].max()) > 1:
+        if n in grams:
+            top = grams[n][1].max()  # a text without repeats has its first n-gram at the top
             at = int(np.argmax(grams[n][1][grams[n][0]] == top))  # of ties the first
             if (ends[at + n] - ends[at] + n - 1) * top / len(text) > most:
-                return f"top_{n}_gram"
+                return name(f"{n}_gram")
     for n, most in ALL.items():
         if n in grams and _greedy(*grams[n], lengths, n) / len(text) > most:
-            return f"duplicated_{n}_n_grams"
+            return name(f"{n}_gram")
     return None
 
 
 def gopher_repetition_reason(text: Column) -> Column:
     @F.arrow_udf("string")
     def run(arr: pa.Array) -> pa.Array:
-        return pa.array(["empty" if t is None else gopher_repetition(t) for t in arr.to_pylist()], pa.string())
+        return pa.array(["massive_web_repetition_filters:empty_text" if t is None else gopher_repetition(t) for t in arr.to_pylist()], pa.string())
 
     return run(text)
 

@@ -40,7 +40,8 @@ class Step:
         if not annotate or not self.drop_empty:
             return computed(df, text_col, made, drop_empty=self.drop_empty)
         empty = F.coalesce(made == "", F.lit(True))
-        return keep(df.withColumn("_new", made), ~empty, self.name + token, True).withColumn(text_col, F.when(empty, F.col(f"`{text_col}`")).otherwise(F.col("_new"))).drop("_new")
+        new = fresh(df, "new_text")
+        return keep(df.withColumn(new, made), ~empty, self.name + token, True).withColumn(text_col, F.when(empty, F.col(f"`{text_col}`")).otherwise(F.col(new))).drop(new)
 
 
 def computed(df: DataFrame, name: str, value: Column, drop_empty: bool = False) -> DataFrame:
@@ -55,6 +56,14 @@ def computed(df: DataFrame, name: str, value: Column, drop_empty: bool = False)
     return df.select("*", made)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def keep(df: DataFrame, predicate: Column, reason: str | Column, annotate: bool) -> DataFrame:
     if not annotate:
         return df.filter(predicate)
@@ -100,7 +109,7 @@ def map_pages(df: DataFrame, make: Callable, schema=None, factory: bool = False,
 
 def load(name: str) -> Step:
     """A step by name, or by dotted path ``package.module.function`` for a user's own."""
-    for m in ("metadata", "content", "repetition", "modify", "enrich", "split", "dedup", "ngram_dedup"):
+    for m in ("metadata", "content", "repetition", "modify", "enrich", "split", "dedup", "ngram_dedup", "fused"):
         importlib.import_module(f"textloom.operators.{m}")
     if name in STEPS:
         return STEPS[name]
