@@ -231,7 +231,7 @@ def test_page_rules_in_the_order_of_the_reference(spark):
         "\n".join(["- the of some words in lines"] * 12 + [""] * 3),  # blank lines count
         "the of " + "word ... " * 60,
         "\n".join(["the of item " * 5 + "..."] * 5 + ["the of item " * 10] * 5),
-        "\n".join(["the of it " * 10 + "…  "] * 5 + ["the of item " * 10] * 2),
+        "\n".join(["the of item " * 10 + "…  "] * 5 + ["the of item " * 10] * 2),
         "the of " + "12 " * 20 + "word " * 50,
         "the of " + "12 " * 10 + "word " * 50,
         "the of " + "!!! " * 9 + "word " * 47,  # punctuation alone doesn't count as words of the text
@@ -434,3 +434,39 @@ def test_storage_and_chunks(spark, tmp_path):
 def test_vocabulary_file(spark):
     ids = one(spark, "hello there", lambda t: tokenize.file_tokens(t, "/opt/tokenizers/byte_bpe_50k.json"))
     assert len(ids) >= 2
+
+
+def test_cached_words_are_read_until_they_are_dropped(spark):
+    """The rules read the words of the text as it was when they were cached."""
+    df = spark.createDataFrame([(1, "the of " + "word " * 60)], "doc_id long, text string")
+    cached = pipeline.run(df, ["cache_split_words_modifier"])[0].withColumn("text", F.lit("too short"))
+    assert pipeline.run(cached, ["fineweb_gopher_quality_filter"])[0].count() == 1
+    assert pipeline.run(cached, ["uncache_split_words_modifier", "fineweb_gopher_quality_filter"])[0].count() == 0
+    both = pipeline.run(df, ["cache_split_words_modifier", "massive_web_repetition_filters", "fineweb_quality_filter", "uncache_split_words_modifier"])[0]
+    assert both.columns == ["doc_id", "text"]
+
+
+def test_list_files(spark, tmp_path):
+    path = tmp_path / "list.txt"
+    path.write_text("# ours\ncasino\n\npoker\n")
+    df = spark.createDataFrame([(1, "a casino here", "http://x.com/a"), (2, "clean", "http://poker.com/b"), (3, "clean", None)], "doc_id long, text string, url string")
+    ids = lambda steps: [r["doc_id"] for r in pipeline.run(df, steps)[0].orderBy("doc_id").collect()]
+    assert ids([{"func": "substring_filter", "banlist_file": str(path)}]) == [2, 3]
+    assert ids([{"func": "url_substring_filter", "banlist_file": str(path)}]) == [1, 3]
+    cut = pipeline.run(df, [{"func": "bad_words_modifier", "banned_file": str(path), "remove_word": True}])[0]
+    assert cut.filter("doc_id = 1").first()["text"] == "a  here"
+    assert presets.make(presets.Lists(bad_words=str(path)))["c4"][-1] == {"func": "substring_filter", "banlist_file": str(path), "exact_word": True}
+
+
+def test_running_sums_by_ranges(spark):
+    from textloom.functions import running
+
+    rows = [(i % 3 if i % 7 else None, i, i % 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, i int, n int").repartition(7)
+    got = {(r["k"], r["i"]): r["before"] for r in running.before(df, ["k"], ["i"], F.col("n"), "before").collect()}
+    sums, want = {}, {}
+    for k, i, n in rows:
+        want[k, i] = sums.get(k, 0)
+        sums[k] = sums.get(k, 0) + n
+    assert got == want
+    assert sum(r["before"] for r in running.before(df, [], ["i"], F.lit(1), "before").collect()) == sum(range(500))

@@ -453,9 +453,32 @@ add(
 )
 
 # Pipelines
-for _name in ("c4", "web_baseline", "fineweb", "gopher", "v2", "line_rules", "fineweb_quality"):
-    add(f"preset_{_name}", lambda s, d, n=_name: pipeline.run(documents(s, d), presets.PRESETS[n])[0].select("doc_id", "text"))
-add("preset_url_rules", lambda s, d: pipeline.run(pages(s, d).withColumnRenamed("html", "text"), presets.PRESETS["url_rules"])[0].select("page_id"))
+def addressed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with an address, and a model's score, for the presets that ask for them."""
+    docs = documents(spark, sf_dir)
+    site = F.when(F.pmod("doc_id", F.lit(10)) == 0, "spam.example").when(F.pmod("doc_id", F.lit(10)) == 1, "best-poker-bet.example").otherwise(F.concat("source", F.lit(".example")))
+    return docs.withColumn("url", F.concat(F.lit("https://"), site, F.lit("/"), "doc_id")).withColumn("hq_prob", F.pmod("doc_id", F.lit(1000)) / 1000.0)
+
+
+_url_ok = "CASE doc_id % 10 WHEN 0 THEN false WHEN 1 THEN false ELSE true END"
+_fineweb_ok = FINEWEB_SQL.replace("< 0.9 AS poor", "< -1 AS poor")
+_preset_sql = {
+    "gopher_quality": f"SELECT doc_id, text FROM ({GOPHER_SQL}) JOIN documents USING (doc_id) WHERE reason = 'kept'",
+    "v2.1": f"SELECT doc_id, text FROM ({_fineweb_ok}) JOIN documents USING (doc_id) WHERE reason = 'kept'",
+    "v2.3": f"SELECT doc_id, text FROM ({_fineweb_ok}) JOIN documents USING (doc_id) WHERE reason = 'kept'",
+    "v2.2": f"SELECT doc_id, text FROM ({FINEWEB_SQL.replace('< 0.9 AS poor', '< 0.73 AS poor').replace('< 0.12', '< 0.2').replace('> 0.67', '> 1')}) JOIN (SELECT * FROM documents WHERE {SQL['filter_high_quality_ratio'].removeprefix('SELECT doc_id, ').removesuffix(' AS keep FROM documents').replace('>= 0.75', '>= 0.73')}) USING (doc_id) WHERE reason = 'kept'",
+    "fineweb_quality": "SELECT doc_id, text FROM documents WHERE " + " AND ".join(f"({SQL[f'filter_{x}'].removeprefix('SELECT doc_id, ').removesuffix(' AS keep FROM documents')})" for x in ("line_punctuation", "short_lines", "char_duplicates")) + f" AND CASE WHEN len({toks('text')}) > 0 THEN (len({rows('text')}) - 1) / len({toks('text')}) <= 0.3 ELSE false END",
+    "model_filter": "SELECT doc_id, text FROM documents WHERE doc_id % 1000 / 1000.0 >= 0.018112",
+    "equipment_filter": "SELECT doc_id, text FROM documents WHERE doc_id % 1000 / 1000.0 >= 0.9",
+    "content_to_text": "SELECT doc_id, text FROM documents",
+    "line_removal": SQL["modify_line_removal"].replace("AS new_text", "AS text").replace("SELECT doc_id", "SELECT * FROM (SELECT doc_id") + ") WHERE text <> ''",
+    "url_rules": SQL["modify_urls"].replace("AS new_text", r"AS t").replace("SELECT doc_id", r"SELECT doc_id, regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g') AS text FROM (SELECT doc_id") + f" WHERE {_url_ok}) WHERE t <> ''",
+}
+for _name, _steps in presets.PRESETS.items():
+    if _name in ("half", "no_language", "science", "language", "c4_pages"):  # the same steps as another, a sample, or steps for raw pages
+        continue
+    add(f"preset_{_name.replace('.', '_')}", lambda s, d, n=_name: pipeline.run(addressed(s, d), presets.PRESETS[n])[0].select("doc_id", "text"), _preset_sql.get(_name))
+add("preset_c4_pages", lambda s, d: pipeline.run(pages(s, d).select(F.col("page_id").alias("doc_id"), F.struct(F.col("url").alias("WARC-Target-URI")).alias("metadata"), F.col("html").alias("content")), presets.PRESETS["c4_pages"][:8])[0].select("doc_id", "url", "text"))
 add("annotate_rules", lambda s, d: pipeline.run(documents(s, d), presets.PAGE_RULES, annotate=True)[0].groupBy(F.coalesce("filter_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("pages")))
 
 

@@ -99,12 +99,28 @@ def total(xs: Column, of=F.length) -> Column:
 
 
 def mean_length(xs: Column) -> Column:
-    return F.when(F.size(xs) > 0, total(xs) / F.size(xs))
+    return let(xs, lambda v: F.when(F.size(v) > 0, total(v) / F.size(v)))
 
 
 def share(xs: Column, hit) -> Column:
     """Share of elements for which ``hit`` holds; null without elements."""
-    return F.when(F.size(xs) > 0, F.size(F.filter(xs, hit)) / F.size(xs))
+    return let(xs, lambda v: F.when(F.size(v) > 0, F.size(F.filter(v, hit)) / F.size(v)))
+
+
+def within(value: Column, low: float, high: float) -> Column:
+    """Whether a value, computed once, lies between two bounds; an infinite one doesn't count."""
+    if high == float("inf"):
+        return value >= low
+    return let(value, lambda v: (v >= low) & (v <= high))
+
+
+def read_list(items: list[str] | str | None = None, path: str | None = None) -> list[str]:
+    """The entries of a list file (one a line, blank lines and comments left out) after those given."""
+    out = [items] if isinstance(items, str) else list(items or [])
+    if path:
+        with open(path, encoding="utf-8") as f:
+            out += [x.strip() for x in f if x.strip() and not x.startswith("#")]
+    return [x for x in out if x]
 
 
 def count_of(c: Column, pattern: str) -> Column:

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from textloom.functions import running
+
 POINTS = {"min": 0.0, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99, "max": 1.0}
 
 
 def percentiles(df: DataFrame, value: str) -> DataFrame:
     """One row of exact percentiles by the nearest rank (halves to even), and the mean.
 
-    Values are counted first, so that the ranking window runs over distinct values only.
+    Values are counted first, and their running sums are taken over ranges of them.
     """
     n = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("c"))
-    upto = n.withColumn("upto", F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    upto = running.before(n, [], ["v"], F.col("c"), "before").withColumn("upto", F.col("before") + F.col("c"))
     total = n.agg(F.sum("c").alias("total"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"))
     rank = lambda q: F.bround(F.lit(q) * (F.col("total") - 1), 0)
     return upto.crossJoin(F.broadcast(total)).agg(*[F.min(F.when(F.col("upto") > rank(q), F.col("v"))).alias(k) for k, q in POINTS.items()], F.round(F.first("mean"), 6).alias("mean"))

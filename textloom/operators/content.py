@@ -51,13 +51,13 @@ def page_length_filter(text: Column, length_type: str = "word", min_length: int
         "paragraph": lambda: F.size(T.paragraphs(text, "\\n\\n")),
         "char": lambda: F.length(text),
     }[length_type]()
-    return (n >= min_length) & (n <= max_length) if max_length != float("inf") else n >= min_length
+    return T.within(n, min_length, max_length)
 
 
 @step("filter")
-def substring_filter(text: Column, banlist: list[str], location: str = "any", case_sensitive: bool = False, exact_word: bool = False) -> Column:
-    """Removes texts in which one of the patterns (regular expressions) is found."""
-    banlist = [banlist] if isinstance(banlist, str) else list(banlist)
+def substring_filter(text: Column, banlist: list[str] | str | None = None, location: str = "any", case_sensitive: bool = False, exact_word: bool = False, banlist_file: str | None = None) -> Column:
+    """Removes texts in which one of the patterns (regular expressions; of a file too) is found."""
+    banlist = T.read_list(banlist, banlist_file)
     pattern = "(?:" + "|".join(b if case_sensitive else b.lower() for b in banlist) + ")"
     if exact_word:
         pattern = rf"(?<![\p{{L}}\p{{N}}_]){pattern}(?![\p{{L}}\p{{N}}_])"
@@ -67,14 +67,12 @@ def substring_filter(text: Column, banlist: list[str], location: str = "any", ca
 
 @step("filter")
 def bullet_count_filter(text: Column, max_bullet_start_ratio: float = 0.9) -> Column:
-    ls = T.paragraphs(text)
-    return F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) <= max_bullet_start_ratio * F.size(ls)
+    return T.let(T.paragraphs(text), lambda ls: F.size(F.filter(ls, lambda x: x.rlike(rf"\A{BULLETS}"))) <= max_bullet_start_ratio * F.size(ls))
 
 
 @step("filter")
 def ellipsis_count_filter(text: Column, max_ellipsis_end_ratio: float = 0.3) -> Column:
-    ls = T.paragraphs(text)
-    return F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|\. \. \.|…)\z"))) <= max_ellipsis_end_ratio * F.size(ls)
+    return T.let(T.paragraphs(text), lambda ls: F.size(F.filter(ls, lambda x: x.rlike(r"(\.\.\.|\. \. \.|…)\z"))) <= max_ellipsis_end_ratio * F.size(ls))
 
 
 @step("filter")
@@ -86,15 +84,13 @@ def stop_word_filter(text: Column, count_unique: bool = False, min_stop_word: in
 
 @step("filter")
 def word_length_filter(text: Column, min_length: float = 0, max_length: float = float("inf"), model: str = "split") -> Column:
-    mean = T.mean_length(T.words(text, model, False))
-    ok = mean >= min_length if max_length == float("inf") else (mean >= min_length) & (mean <= max_length)
-    return F.coalesce(ok, F.lit(False))
+    return F.coalesce(T.within(T.mean_length(T.words(text, model, False)), min_length, max_length), F.lit(False))
 
 
 @step("filter")
 def symbol_ratio_filter(text: Column, max_symbol_to_word_ratio: float = 0.1) -> Column:
-    n = F.size(T.tokens(text))
-    return F.when(n > 0, T.count_of(text, r"#|\.\.\.|\. \. \.|…") / n <= max_symbol_to_word_ratio).otherwise(F.lit(False))
+    share = T.let(F.size(T.tokens(text)), lambda n: F.when(n > 0, T.count_of(text, r"#|\.\.\.|\. \. \.|…") / n))
+    return F.coalesce(share <= max_symbol_to_word_ratio, F.lit(False))
 
 
 @step("filter")
@@ -120,9 +116,8 @@ def high_quality_ratio_filter(text: Column, threshold: float = 0.75, min_words:
 
 
 def _long_line_share(text: Column, min_words: int) -> Column:
-    ls = T.full_lines(text)
-    full = T.total(ls)
-    return F.when(full > 0, T.total(F.filter(ls, lambda x: F.size(T.tokens(x)) >= min_words)) / full)
+    long = lambda ls: T.total(F.filter(ls, lambda x: F.size(T.tokens(x)) >= min_words))
+    return T.let(T.full_lines(text), lambda ls: F.when(T.total(ls) > 0, long(ls) / T.total(ls)))
 
 
 @step("filter")
@@ -143,7 +138,7 @@ def short_line_ratio_filter(text: Column, short_line_thr: float = 0.67, short_li
 def char_dup_ratio_filter(text: Column, char_duplicates_ratio: float = 0.1) -> Column:
     """Characters in repeats of lines, first copies apart, over characters without line feeds."""
     some = F.length(F.replace(text, F.lit("\n"), F.lit("")))
-    ratio = F.when(F.size(T.full_lines(text)) > 0, _repeated_chars(T.full_lines(text)) / some)
+    ratio = T.let(T.full_lines(text), lambda ls: F.when(F.size(ls) > 0, _repeated_chars(ls) / some))
     return F.coalesce(ratio <= char_duplicates_ratio, F.lit(False))
 
 
@@ -152,9 +147,10 @@ def _repeated_chars(ls: Column) -> Column:
 
 
 @step("filter")
-def list_ratio_filter(text: Column, new_line_ratio: float = 0.3, model: str = "split") -> Column:
-    n = F.size(T.words(text, model, False))
-    return F.when(n > 0, T.count_of(text, "\n") / n <= new_line_ratio).otherwise(F.lit(False))
+def list_ratio_filter(text: Column, new_line_ratio: float = 0.3, model: str = "split", words: Column | None = None) -> Column:
+    """Line feeds a word; ``words`` are words made before."""
+    n = F.size(T.words(text, model, False) if words is None else words)
+    return F.coalesce(T.let(n, lambda n: F.when(n > 0, T.count_of(text, "\n") / n)) <= new_line_ratio, F.lit(False))
 
 
 @step("filter")
@@ -162,23 +158,23 @@ def lorem_ipsum_filter(text: Column) -> Column:
     return ~F.contains(F.lower(text), F.lit("lorem ipsum"))
 
 
-def fineweb_quality_reason(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False, short_line_thr: float = 0.67, short_line_length: int = 30, char_duplicates_ratio: float = 0.1, new_line_ratio: float = 0.3, high_quality_ratio_value: float = -1, high_quality_min_line_num: int = 10, model: str = "split", stop_chars: list[str] | None = None) -> Column:
+def fineweb_quality_reason(text: Column, line_punct_thr: float = 0.12, line_punct_exclude_zero: bool = False, short_line_thr: float = 0.67, short_line_length: int = 30, char_duplicates_ratio: float = 0.1, new_line_ratio: float = 0.3, high_quality_ratio_value: float = -1, high_quality_min_line_num: int = 10, model: str = "split", stop_chars: list[str] | None = None, words: Column | None = None) -> Column:
     """Null for a text that passes, else the first reason; punctuation and short lines count only below the quality ratio."""
     why = F.when(F.size(T.full_lines(text)) == 0, "fineweb_quality_filter_zero_lines")
     if high_quality_ratio_value > 0:
         poor = F.coalesce(_long_line_share(text, high_quality_min_line_num) < high_quality_ratio_value, F.lit(True))
         why = why.when(poor & ~line_punct_ratio_filter(text, line_punct_thr, line_punct_exclude_zero, stop_chars), "line_punct_ratio_filter")
         why = why.when(poor & ~short_line_ratio_filter(text, short_line_thr, short_line_length), "short_line_ratio_filter")
-    return why.when(~char_dup_ratio_filter(text, char_duplicates_ratio), "char_dup_ratio_filter").when(~list_ratio_filter(text, new_line_ratio, model), "list_ratio_filter")
+    return why.when(~char_dup_ratio_filter(text, char_duplicates_ratio), "char_dup_ratio_filter").when(~list_ratio_filter(text, new_line_ratio, model, words), "list_ratio_filter")
 
 
 @step("filter")
-def fineweb_quality_filter(text: Column, **kw) -> Column:
-    return fineweb_quality_reason(text, **kw).isNull() & text.isNotNull()
+def fineweb_quality_filter(text: Column, words: Column | None = None, **kw) -> Column:
+    return fineweb_quality_reason(text, words=words, **kw).isNull() & text.isNotNull()
 
 
-def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words: int = 100_000, min_avg_word_length: float = 3, max_avg_word_length: float = 10, max_symbol_word_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, max_non_alpha_words_ratio: float = 0.8, min_stop_words: int = 2, model: str = "split", all_bullets: bool = False, whitelist: list[str] | None = None) -> Column:
-    """Null for a text that passes, else the name of the first rule that fails.
+def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words: int = 100_000, min_avg_word_length: float = 3, max_avg_word_length: float = 10, max_symbol_word_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, max_non_alpha_words_ratio: float = 0.8, min_stop_words: int = 2, model: str = "split", all_bullets: bool = False, whitelist: list[str] | None = None, words: Column | None = None) -> Column:
+    """Null for a text that passes, else the name of the first rule that fails; ``words`` are words made before.
 
     Length rules count words with a character that isn't punctuation, other shares divide by all words. Stop words count as often
     as they occur. With ``whitelist`` its words and those of digits alone count as alphabetic.
@@ -188,8 +184,8 @@ def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words:
     def alphabetic(w: Column) -> Column:
         return w.rlike(r"\p{L}") | w.rlike(r"\A\p{Nd}+\z") | w.isin(*whitelist) if whitelist is not None else w.rlike(r"\p{L}")
 
-    def rules(ws: Column, real: Column, ls: Column) -> Column:
-        n, n_real, n_lines, mean = F.size(ws), F.size(real), F.size(ls), T.mean_length(real)
+    def rules(ws: Column, real: Column, ls: Column, mean: Column) -> Column:
+        n, n_real, n_lines = F.size(ws), F.size(real), F.size(ls)
         return (
             F.when(n_real < min_doc_words, "gopher_short_doc")
             .when(n_real > max_doc_words, "gopher_long_doc")
@@ -204,14 +200,14 @@ def gopher_quality_reason(text: Column, min_doc_words: int = 50, max_doc_words:
         )
 
     def lines_of(ws: Column, real: Column) -> Column:
-        return T.let(T.split_lines(text), lambda ls: rules(ws, real, ls))
+        return T.let(T.split_lines(text), lambda ls: T.let(T.mean_length(real), lambda mean: rules(ws, real, ls, mean)))
 
-    return T.let(T.words(text, model, False), lambda ws: T.let(F.filter(ws, lambda w: w.rlike(T.SYMBOL_FREE)), lambda real: lines_of(ws, real)))
+    return T.let(T.words(text, model, False) if words is None else words, lambda ws: T.let(F.filter(ws, lambda w: w.rlike(T.SYMBOL_FREE)), lambda real: lines_of(ws, real)))
 
 
 @step("filter")
-def fineweb_gopher_quality_filter(text: Column, **kw) -> Column:
-    return gopher_quality_reason(text, **kw).isNull() & text.isNotNull()
+def fineweb_gopher_quality_filter(text: Column, words: Column | None = None, **kw) -> Column:
+    return gopher_quality_reason(text, words=words, **kw).isNull() & text.isNotNull()
 
 
 def c4_lines(text: Column, split_paragraph: bool = True, remove_citations: bool = True, filter_no_terminal_punct: bool = False, min_words_per_line: int = 3, max_word_length: int = 1000, filter_lorem_ipsum: bool = True, filter_javascript: bool = True, filter_curly_bracket: bool = True, filter_policy: bool = True) -> Column:

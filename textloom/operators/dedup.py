@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import NORMALIZERS
-from textloom.registry import step
+from textloom.registry import fresh, step
 
 
 def _norm(c: Column, normalize: str | list[str] | None) -> Column:
@@ -31,7 +31,8 @@ def exact_dedup(
     order = chosen.desc() if selection_reverse else chosen.asc()
     if not many:
         w = Window.partitionBy(F.md5(_norm(F.col(f"`{key}`"), normalize).cast("string"))).orderBy(order, F.col(f"`{id_col}`"))
-        return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+        place = fresh(df, "place")
+        return df.withColumn(place, F.row_number().over(w)).filter(F.col(place) == 1).drop(place)
     units = df.select(F.col(f"`{id_col}`").alias("_id"), chosen.alias("_s"), F.posexplode(key).alias("_at", "_unit"))
     best = F.min if not selection_reverse else F.max
     place = F.struct("_s", "_id", "_at") if not selection_reverse else F.struct("_s", (-F.col("_id")).alias("_id"), (-F.col("_at")).alias("_at"))
@@ -39,9 +40,10 @@ def exact_dedup(
     firsts = units.groupBy(mark.alias("_m")).agg(best(place).alias("p"))  # partial aggregation: a hot unit isn't one task's rows
     sign = F.lit(-1 if selection_reverse else 1)
     kept = firsts.select((F.col("p._id") * sign).alias("_id"), (F.col("p._at") * sign).alias("_at"))
-    lists = kept.groupBy("_id").agg(F.array_sort(F.collect_list("_at")).alias("_kept"))
-    out = df.join(lists, F.col(f"`{id_col}`") == F.col("_id"))
-    return out.withColumn(key, F.transform("_kept", lambda i: F.get(F.col(f"`{key}`"), i))).drop("_id", "_kept")
+    own, left = fresh(df, "kept_id"), fresh(df, "kept_at")
+    lists = kept.groupBy(F.col("_id").alias(own)).agg(F.array_sort(F.collect_list("_at")).alias(left))
+    out = df.join(lists, F.col(f"`{id_col}`") == F.col(own))
+    return out.withColumn(key, F.transform(left, lambda i: F.get(F.col(f"`{key}`"), i))).drop(own, left)
 
 
 def url_dedup(df: DataFrame, url_col: str = "url", id_col: str = "page_id") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textloom.functions import text as T
 from textloom.operators import modify, repetition
 from textloom.operators.content import STOP_WORDS
-from textloom.registry import computed, step
+from textloom.registry import computed, fresh, step
 
 BULLETS = "[●•*·‣▪▫◦◆◇■□–-]"
 
@@ -60,8 +60,9 @@ def fused_quality(df: DataFrame, text_col: str = "text", drop: bool = True) -> D
     """Rewrites the text by line removal and drops what fails, or marks it in ``reason``."""
     text = F.col(f"`{text_col}`")
     kept = computed(df, text_col, F.coalesce(modify.line_removal(T.strip(text), 0.99, 3), F.lit("")))
-    both = computed(kept, "_words", T.words(text, "regex"))
-    marked = both.withColumn("_shares", repetition.ngram_shares(text, in_bytes=True)).withColumn("reason", fused_reason(text, F.col("_words"), F.col("_shares"))).drop("_words", "_shares")
+    words, shares = fresh(df, "fused_words"), fresh(df, "fused_shares")
+    both = computed(kept, words, T.words(text, "regex"))
+    marked = both.withColumn(shares, repetition.ngram_shares(text, in_bytes=True)).withColumn("reason", fused_reason(text, F.col(words), F.col(shares))).drop(words, shares)
     return marked.filter("reason IS NULL").drop("reason") if drop else marked
 
 

@@ -7,7 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.registry import step
+from textloom.functions import text as T
+from textloom.registry import fresh, step
 
 
 @step("filter")
@@ -43,9 +44,9 @@ def quality_filter(text: Column, key: str, threshold: float, lower_better: bool
 
 
 @step("filter")
-def url_substring_filter(text: Column, banlist: list[str], url_col: str = "url", ignore_chars: list[str] = (), num_banned_substrs: int = 1, exact_domain_match: bool = False, match_substrings: bool = True, case_sensitive: bool = False) -> Column:
-    """Rows without a url stay; else it must have fewer than so many distinct banned substrings, or another domain."""
-    url = F.col(url_col)
+def url_substring_filter(text: Column, banlist: list[str] | None = None, url_col: str = "url", ignore_chars: list[str] = (), num_banned_substrs: int = 1, exact_domain_match: bool = False, match_substrings: bool = True, case_sensitive: bool = False, banlist_file: str | None = None) -> Column:
+    """Rows without a url stay; else it must have fewer than so many distinct banned substrings (of a file too), or another domain."""
+    url, banlist = F.col(url_col), T.read_list(banlist, banlist_file)
     for c in ignore_chars:
         url = F.replace(url, F.lit(c), F.lit(""))
     if not case_sensitive:
@@ -62,5 +63,5 @@ def url_substring_filter(text: Column, banlist: list[str], url_col: str = "url",
 
 def url_domain_filter(df: DataFrame, banned: DataFrame, url_col: str = "url", domain_col: str = "domain") -> DataFrame:
     """An anti join for domain lists of any length; AQE broadcasts the list only where its measured size allows."""
-    domain = F.lower(F.parse_url(F.col(url_col), F.lit("HOST")))
-    return df.withColumn("_domain", domain).join(banned.select(F.lower(domain_col).alias("_domain")).distinct(), "_domain", "left_anti").drop("_domain")
+    domain, name = F.lower(F.parse_url(F.col(f"`{url_col}`"), F.lit("HOST"))), fresh(df, "banned_domain")
+    return df.join(banned.select(F.lower(domain_col).alias(name)).distinct(), domain == F.col(name), "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators.content import POLICY
-from textloom.registry import computed, step
+from textloom.registry import WORDS, computed, fresh, step
 
 COUNTED = "bookmarks|comments|downloads|downvotes|followers|likes|quotes|reposts|retweets|shares|upvotes|views"
 COUNTER = rf"\A[^\p{{L}}\p{{N}}_]*[0-9][0-9.,]*[kmb]?\s+({COUNTED})[^\p{{L}}\p{{N}}_]*\z"
@@ -155,9 +155,9 @@ def html_content_extraction_modifier(text: Column, min_length: int = 70, max_lin
 
 # Lines
 @step("modifier")
-def substring_line_modifier(text: Column, banlist: list[str], case_sensitive: bool = False, location: str = "any", max_length: int | None = None, remove_substring_only: bool = False) -> Column:
+def substring_line_modifier(text: Column, banlist: list[str] | str | None = None, case_sensitive: bool = False, location: str = "any", max_length: int | None = None, remove_substring_only: bool = False, banlist_file: str | None = None) -> Column:
     """Drops lines with a pattern (regular expressions) or cuts the pattern; only lines of up to ``max_length`` words."""
-    banlist = [banlist] if isinstance(banlist, str) else list(banlist)
+    banlist = T.read_list(banlist, banlist_file)
     core = "(?:" + "|".join(banlist) + ")"
     pattern = {"any": rf"\s?{core}", "prefix": rf"^{core}\s?", "suffix": rf"\s?{core}$"}[location]
     pattern = pattern if case_sensitive else f"(?iu){pattern}"
@@ -223,8 +223,9 @@ def citation_removal_modifier(text: Column) -> Column:
 
 
 @step("modifier")
-def url_removal_modifier(text: Column, tlds: list[str] = TLDS) -> Column:
-    """Web addresses under the given top-level domains, and IPv4 addresses, with the white space before them."""
+def url_removal_modifier(text: Column, tlds: list[str] | None = None, tlds_file: str | None = None) -> Column:
+    """Web addresses under the given top-level domains (of a file too), and IPv4 addresses, with the white space before them."""
+    tlds = T.read_list(tlds, tlds_file) or TLDS
     return F.regexp_replace(F.regexp_replace(text, web_address(tlds), ""), IPV4, "")
 
 
@@ -239,9 +240,9 @@ def bad_words_pattern(words: list[str], language: str = "en") -> str:
 
 
 @step("modifier")
-def bad_words_modifier(text: Column, banlist: list[str], banned_language: str = "en", remove_word: bool = False) -> Column:
-    """Cuts the words where ``remove_word`` holds; ``bad_words_hits`` counts documents with one."""
-    return F.regexp_replace(text, bad_words_pattern(banlist, banned_language), "") if remove_word else text
+def bad_words_modifier(text: Column, banlist: list[str] | None = None, banned_language: str = "en", remove_word: bool = False, banned_file: str | None = None) -> Column:
+    """Cuts the words where ``remove_word`` holds; else texts stay as they are, and ``bad_words_hits`` counts those with one."""
+    return F.regexp_replace(text, bad_words_pattern(T.read_list(banlist, banned_file), banned_language), "") if remove_word else text
 
 
 def bad_words_hits(df: DataFrame, banlist: list[str], banned_language: str = "en", text_col: str = "text") -> DataFrame:
@@ -289,10 +290,12 @@ def join_lines_modifier(df: DataFrame, text_col: str = "text", delimiter: str =
 
 
 def line_is_removed(line: Column, max_uppercase_ratio: float, min_words: int) -> Column:
-    low = F.lower(T.strip(line))
-    script = F.contains(low, F.lit("javascript")) & low.rlike("enable|disable|require|activate|browser")
-    shouting = T.count_of(line, r"\p{Lu}") > max_uppercase_ratio * F.length(line)
-    return (low == "") | (F.size(T.tokens(low)) < min_words) | script | low.rlike("|".join(POLICY)) | shouting | low.rlike(r"\A\p{Nd}+\z") | low.rlike(COUNTER)
+    def poor(low: Column) -> Column:
+        script = F.contains(low, F.lit("javascript")) & low.rlike("enable|disable|require|activate|browser")
+        shouting = T.count_of(line, r"\p{Lu}") > max_uppercase_ratio * F.length(line)
+        return (low == "") | (F.size(T.tokens(low)) < min_words) | script | low.rlike("|".join(POLICY)) | shouting | low.rlike(r"\A\p{Nd}+\z") | low.rlike(COUNTER)
+
+    return T.let(F.lower(T.strip(line)), poor)
 
 
 def line_removal(text: Column, max_uppercase_ratio: float = 0.99, min_word_cnt_per_line: int = 2) -> Column:
@@ -303,18 +306,20 @@ def line_removal(text: Column, max_uppercase_ratio: float = 0.99, min_word_cnt_p
 def line_removal_modifier(df: DataFrame, text_col: str = "text", min_word_cnt_per_line: int = 2, max_uppercase_ratio: float = 0.99, max_removed_ratio: float = -1) -> DataFrame:
     """Drops poor lines; a text that loses more than ``max_removed_ratio`` of its words, or everything, goes."""
     text = F.col(text_col)
-    out = computed(df, "_new", line_removal(text, max_uppercase_ratio, min_word_cnt_per_line), drop_empty=True)
+    new = fresh(df, "new_text")
+    out = computed(df, new, line_removal(text, max_uppercase_ratio, min_word_cnt_per_line), drop_empty=True)
     if max_removed_ratio > 0:
         all_ = F.size(T.tokens(text))
-        out = out.filter((all_ == 0) | ((all_ - F.size(T.tokens(F.col("_new")))) <= max_removed_ratio * all_))
-    return out.withColumn(text_col, F.col("_new")).drop("_new")
+        out = out.filter((all_ == 0) | ((all_ - F.size(T.tokens(F.col(new)))) <= max_removed_ratio * all_))
+    return out.withColumn(text_col, F.col(new)).drop(new)
 
 
 @step("global")
 def cache_split_words_modifier(df: DataFrame, text_col: str = "text", model: str = "split") -> DataFrame:
-    return df.withColumn("words", T.words(F.col(text_col), model, False))
+    """Words of the text as it is now, which later rules read from the column ``words`` until it is dropped."""
+    return computed(df, WORDS, T.words(F.col(text_col), model, False))
 
 
 @step("global")
 def uncache_split_words_modifier(df: DataFrame, text_col: str = "text") -> DataFrame:
-    return df.drop("words")
+    return df.drop(WORDS)

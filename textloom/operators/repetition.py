@@ -69,14 +69,16 @@ def ngram_fractions(words: list[str], upto: int = 10, in_bytes: bool = False) ->
     return out
 
 
-def ngram_shares(text: Column, in_bytes: bool = False) -> Column:
-    """Nine shares a text, for n from 2 to 10; of characters or of UTF-8 bytes."""
+def ngram_shares(text: Column, in_bytes: bool = False, words: Column | None = None) -> Column:
+    """Nine shares a text, for n from 2 to 10; of characters or of UTF-8 bytes. ``words`` are words made before."""
+
+    given = words is not None
 
     @F.arrow_udf("array<double>")
     def run(arr: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else ngram_fractions(_WORD.findall(t), in_bytes=in_bytes) for t in arr.to_pylist()], pa.list_(pa.float64()))
+        return pa.array([None if t is None else ngram_fractions(t if given else _WORD.findall(t), in_bytes=in_bytes) for t in arr.to_pylist()], pa.list_(pa.float64()))
 
-    return run(text)
+    return run(words if given else text)
 
 
 @step("filter")
@@ -102,10 +104,10 @@ def massive_web_reason(text: Column, shares: Column, skip_paragraph: bool = Fals
 
 
 @step("filter")
-def massive_web_repetition_filters(text: Column, skip_paragraph: bool = False, use_fineweb_implementation: bool = False) -> Column:
+def massive_web_repetition_filters(text: Column, skip_paragraph: bool = False, use_fineweb_implementation: bool = False, words: Column | None = None) -> Column:
     if use_fineweb_implementation:
         return fineweb_gopher_repetition_filter(text)
-    shares = ngram_shares(text)
+    shares = ngram_shares(text, words=words)
     return massive_web_reason(text, shares, skip_paragraph).isNull()
 
 

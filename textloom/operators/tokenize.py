@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions import running
 from textloom.functions import text as T
+from textloom.registry import fresh
 
 EOT, VOCABULARY = 0, 50_257
 
@@ -48,9 +50,8 @@ def contexts(df: DataFrame, seqlen: int = 2049, key: str = "source", id_col: str
 
     Texts get their offsets by a running sum and are cut into the contexts that they reach; only slices are shuffled.
     """
-    order = Window.partitionBy(key).orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
     n = F.size("tokens")
-    placed = df.select(key, id_col, "tokens", F.coalesce(F.sum(n).over(order), F.lit(0)).cast("long").alias("at"))
+    placed = running.before(df.select(key, id_col, "tokens"), [key], [id_col], n.cast("long"), "at")
     first, last = F.floor(F.col("at") / seqlen), F.floor((F.col("at") + n - 1) / seqlen)
     cut = placed.withColumn("context", F.explode(F.sequence(first, last)))
     lo = F.greatest(F.lit(0), F.col("context") * seqlen - F.col("at")).cast("int")
@@ -63,10 +64,10 @@ def contexts(df: DataFrame, seqlen: int = 2049, key: str = "source", id_col: str
 
 def shuffle_chunks(ctx: DataFrame, chunk: int = 8192, cells: int = 128, seed: int = 0, key: str = "source") -> DataFrame:
     """Adds ``chunk_id`` and ``place``: contexts in a random order, ``chunk`` to a chunk within each of ``cells`` cells."""
-    mark = F.xxhash64(key, "context", F.lit(seed))
-    cell = ctx.withColumn("_mark", mark).withColumn("cell", F.pmod("_mark", F.lit(cells)))
-    n = F.row_number().over(Window.partitionBy("cell").orderBy("_mark", key, "context")) - 1
-    return cell.withColumn("_n", n).withColumn("chunk_id", F.concat_ws("_", "cell", F.floor(F.col("_n") / chunk))).withColumn("place", F.pmod("_n", F.lit(chunk))).drop("_n", "_mark")
+    mark, n = fresh(ctx, "mark"), fresh(ctx, "n_before")
+    cell = ctx.withColumn(mark, F.xxhash64(key, "context", F.lit(seed))).withColumn("cell", F.pmod(mark, F.lit(cells)))
+    placed = running.before(cell, ["cell"], [mark, key, "context"], F.lit(1).cast("long"), n)
+    return placed.withColumn("chunk_id", F.concat_ws("_", "cell", F.floor(F.col(n) / chunk))).withColumn("place", F.pmod(n, F.lit(chunk))).drop(n, mark)
 
 
 def manifest(chunks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ empty one drops the row), an *enricher* a new column, a *splitter* and a *global
 from __future__ import annotations
 
 import importlib
+import inspect
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STEPS: dict[str, "Step"] = {}
+#: Column of cached words, read by every step whose function takes ``words``.
+WORDS = "words"
 RESERVED = ("module", "func", "annotate", "token")
 
 
@@ -29,6 +32,8 @@ class Step:
         kw = {k: v for k, v in kw.items() if not k.startswith("_") and k not in RESERVED}
         if self.kind in ("splitter", "global"):
             return self.make(df, text_col=text_col, **kw)
+        if WORDS in df.columns and WORDS in inspect.signature(self.make).parameters:
+            kw.setdefault(WORDS, F.col(WORDS))
         made = self.make(F.col(f"`{text_col}`"), **kw)
         if self.kind == "filter":
             return keep(df, made, self.name + token, annotate)
