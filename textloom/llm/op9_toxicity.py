@@ -188,6 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             a, b, _ = model.score(p)
             score.append(a - b)
         model.threshold = best_threshold(np.concatenate(score), toxic)
+        del model._find  # made anew by each worker, not sent
     else:
         model.threshold = 0.05
     return model
