@@ -386,10 +386,13 @@ _kept = "k AS (SELECT doc_id, string_agg(unit, '' ORDER BY idx) AS text FROM u L
 
 
 def dedup_query(mode: str, *cols, **how) -> Callable:
-    return lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode=mode, **how).select("doc_id", *cols)
+    return lambda s, d: ngram_dedup.ngram_dedup(documents(s, d), mode=mode, **how).select("doc_id", *[c() if callable(c) else c for c in cols])
+
+
+def _units():
+    return F.array_join(F.transform("duplicate_units", lambda x: x.cast("string")), ",").alias("units")
 
 
-_units = F.array_join(F.transform("duplicate_units", lambda x: x.cast("string")), ",").alias("units")
 # One round, in which n-grams of removed units count too, is SQL; the sequential result isn't, and is tested against brute force.
 add("ngram_dedup_document_once", dedup_query("document", rounds=1), _ngram_sql(_whole) + " SELECT doc_id FROM u LEFT JOIN s USING (pos) WHERE NOT coalesce(seen / total > 0.8, false)")
 add("ngram_dedup_paragraph_once", dedup_query("paragraph", "text", rounds=1), _ngram_sql(_para) + f", {_kept.format('>')} SELECT doc_id, text FROM k WHERE text <> ''")
