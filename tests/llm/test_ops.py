@@ -674,6 +674,48 @@ def test_pairs_of_blocks_join_what_failed_edges_parted(spark, monkeypatch):
     assert {tuple(r) for r in op8_simhash.duplicates(docs, distance=44).collect()} == want and want
 
 
+def crowd(n, near, seed):
+    """n strangers of 40 words that begin alike, and ``near`` copies of some that share one min-hash with them, which more strangers have."""
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(10)]
+    texts = {i: " ".join([*common, *(f"w{rng.random()}" for _ in range(30))]) for i in range(n)}
+    copies, of = [], np.repeat(np.arange(n), 6)
+    for i in of.tolist():
+        w = texts[i].split()
+        for k in rng.sample(range(10, 40), 3):
+            w[k] = f"x{rng.random()}"
+        copies.append(" ".join(w))
+    sig, mins, _ = op8_simhash.signatures(pa.array([*texts.values(), *copies]))
+    same = mins[of] == mins[n:]
+    often = (mins[:n, None] == mins[None, :n]).sum(1) > 50
+    fits = (same.sum(1) == 1) & (same & often[of]).any(1) & (op8_simhash.hamming(sig[of], sig[n:]) <= op8_simhash.DISTANCE)
+    picked = np.flatnonzero(fits)[:near].tolist()
+    assert len(picked) == near
+    return texts | {n + i: copies[i] for i in picked}
+
+
+def met(texts, pairs):
+    """Of pairs those with a min-hash in common."""
+    ids = sorted(texts)
+    mins = dict(zip(ids, op8_simhash.signatures(pa.array([texts[i] for i in ids]))[1]))
+    return {(a, b) for a, b in pairs if (mins[a] == mins[b]).any()}
+
+
+@pytest.mark.parametrize("block", [32_768, 30])
+def test_hot_min_hashes_lose_no_pair(spark, monkeypatch, block):
+    """Pairs among the strangers of hot min-hashes, beside a family that fills blocks of its own: all that share a min-hash are joined."""
+    monkeypatch.setattr(op8_simhash, "REST_ROWS", block)
+    texts = crowd(800, 15, 5)
+    base = texts[0].split()
+    texts |= {10_000 + i: " ".join([*base[:-1], f"y{i}"]) for i in range(60)}
+    pairs = brute_groups(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    top = {r["doc_id"]: r["kept_id"] for r in op8_simhash.duplicates(df, shard_rows=8).collect()}
+    lost = {(a, b) for a, b in met(texts, pairs) if top.get(a, a) != top.get(b, b)}
+    assert not lost and len(met(texts, pairs)) > 1000
+    assert set(top) | set(top.values()) <= {x for p in pairs for x in p}
+
+
 # 9
 def test_toxicity_on_held_out_rows(spark):
     rng = random.Random(0)

@@ -5,9 +5,9 @@
 2. Nodes are spread over shards of about ``SHARD_ROWS``: those with the same min-hash in one of the routes share a shard. A
    min-hash that more nodes have (boilerplate) is hot: its nodes are spread anew by every second min-hash that they share with it,
    and where that is hot too, by every third. What is still hot is cut into shards by a hash, and about ``PIVOTS`` of its nodes
-   are broadcast as queries to all its cuts. So a node takes part in a bounded number of shards and a shard has a bounded number
-   of nodes, whatever the corpus. Two texts with Jaccard similarity J meet with probability 1 - (1 - J)**ROUTES, or, where every
-   min-hash that they share is hot, if they share two.
+   are broadcast as queries to all its cuts. This finds the large groups of a hot min-hash in shards of a bounded size; ``unmet``
+   then compares every pair of its nodes that no hits connect, exactly, in tasks of two blocks of about ``REST_ROWS`` signatures.
+   So two texts meet if they share a min-hash, hot or not: with Jaccard similarity J with probability 1 - (1 - J)**ROUTES.
 3. A shard builds a navigable small-world graph over Hamming distance and searches it for every node and query, with a beam that
    expands while it is full of hits. Recall is audited against exact search on some nodes and queries of each shard (the mean over
    those with neighbours); a shard below ``LEAST_RECALL``, and a query whose beam outgrows ``MOST_BEAM``, is searched exactly.
@@ -38,6 +38,8 @@ SHARD_ROWS, LINKS, SLOTS, BEAM, MOST_BEAM = 16_384, 10, 32, 32, 512
 AUDIT, LEAST_RECALL, PIVOTS, DEEP = 256, 0.9, 64, 3
 #: Texts, and their bytes, in a block of a group whose pairs are all tried.
 BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
+#: Signatures in a block of a hot min-hash, and comparisons of a step.
+REST_ROWS, STEP = 32_768, 1 << 18
 _SALTS = arrays.mix(np.arange(1, 65, dtype=np.uint64))
 
 
@@ -417,8 +419,61 @@ def _between(table: pa.Table, most: int, jaccard: float) -> pa.Table:
     return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) -> DataFrame:
-    """(level, block, cut, key, sig_a, sig_b, is_node): the rows of every shard."""
+def _unmet(table: pa.Table, most: int) -> pa.Table:
+    """Hits (a, b) that join the components ``top`` of two blocks (or of one), of all pairs; ``side`` as in ``_between``."""
+    order = np.argsort(table["key"].to_numpy(), kind="stable")
+    key, top, side = (table[c].to_numpy()[order] for c in ("key", "top", "side"))
+    sig_a, sig_b = (table[c].to_numpy()[order].astype(np.int64).view(np.uint64) for c in ("sig_a", "sig_b"))
+    _, first, of = np.unique(top, return_index=True, return_inverse=True)
+    label = first[of]
+    one, other = np.flatnonzero(side <= 0), np.flatnonzero(side >= 0)
+    step = max(1, STEP // max(1, len(other)))
+    out = [np.zeros((2, 0), np.int64)]
+    for lo in range(0, len(one), step):
+        a, b = one[lo : lo + step], other if side[0] else other[lo:]
+        d = np.bitwise_count(sig_a[a, None] ^ sig_a[b]) + np.bitwise_count(sig_b[a, None] ^ sig_b[b])
+        i, j = np.nonzero(d <= most)
+        new = label[a[i]] != label[b[j]]
+        i, j = i[new], j[new]
+        if len(i):
+            label, kept = forest(*nearest(a[i], b[j], d[i, j].astype(np.int16), label), label)
+            out.append(np.stack(kept))
+    a, b = np.concatenate(out, axis=1)
+    return pa.table([pa.array(key[a], pa.int64()), pa.array(key[b], pa.int64())], names=["a", "b"])
+
+
+def unmet(crowded: DataFrame, reach: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+    """Hits (a, b) between the nodes of each hot min-hash that are in different components of ``reach``: no pair of these is left out.
+
+    A component of more than half a block has blocks of its own, and no task for pairs of these; the others share blocks.
+    """
+    rows = scratch.table("labelled", crowded.join(reach, "key", "left").withColumn("top", F.coalesce("top", "key")))
+    parts = rows.groupBy("bucket", "top").agg(F.count("*").alias("size"))
+    parts = scratch.table("parts", parts.withColumn("large", F.col("size") * 2 > REST_ROWS))
+    blocks = lambda size: F.ceil(size / REST_ROWS).cast("long")
+    mixed = parts.groupBy("bucket").agg(F.count("*").alias("tops"), blocks(F.sum(F.when(F.col("large"), 0).otherwise(F.col("size")))).alias("shared"))
+    mixed = scratch.table("mixed", mixed.filter("tops > 1").select("bucket", "shared"))
+    large = parts.filter("large").select("bucket", "top", blocks(F.col("size")).alias("own")).join(mixed.select("bucket"), "bucket", "left_semi")
+    large = scratch.table("large", large)
+    part = F.pmod(F.xxhash64("key"), F.coalesce("own", "shared"))
+    placed = rows.join(sent(mixed), "bucket").join(sent(large), ["bucket", "top"], "left")
+    placed = placed.select("bucket", "key", "top", "sig_a", "sig_b", F.when(F.col("own").isNotNull(), F.col("top")).alias("home"), part.alias("part"))
+    placed = scratch.table("placed", placed.withColumn("at", F.struct(F.col("home").isNotNull().alias("large"), F.coalesce("home", F.lit(0)).alias("home"), "part")).drop("home", "part"))
+    held = placed.select("bucket", "at").distinct()
+    held = scratch.table("held", held)
+    x, y = held.select("bucket", F.col("at").alias("x")), held.select("bucket", F.col("at").alias("y"))
+    pairs = x.join(y, "bucket").filter("x <= y AND NOT (x.large AND y.large AND x.home = y.home)")
+    pairs = scratch.table("pairs", pairs.withColumn("at", F.explode(F.array_distinct(F.array("x", "y")))))
+    side = F.when(F.col("x") == F.col("y"), 0).when(F.col("at") == F.col("x"), -1).otherwise(1)
+    tasks = max(1, min(int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count()))
+    both = placed.join(sent(pairs), ["bucket", "at"]).select("bucket", "x", "y", side.alias("side"), "key", "top", "sig_a", "sig_b")
+    both = both.repartition(tasks, "bucket", "x", "y").groupBy("bucket", "x", "y")  # by number, as in ``hits``
+    return scratch.table("unmet", both.applyInArrow(lambda t: _unmet(t, most), "a long, b long"))
+
+
+def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """(level, block, cut, key, sig_a, sig_b, is_node): the rows of every shard; (bucket, key, sig_a, sig_b): those of hot min-hashes, if any."""
+    crowded = None
     left = worded.select("key", "sig_a", "sig_b", "mins", F.explode(F.array(*[F.array(F.lit(j)) for j in range(routes)])).alias("combo"))
     out = None
     for level in range(1, DEEP + 1):
@@ -432,6 +487,8 @@ def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) ->
         )
         out = cool if out is None else out.unionByName(cool)
         hot = rows.join(crowd, "bucket")
+        if level == 1 and not sizes.isEmpty():
+            crowded = scratch.table("crowded", hot.select("bucket", "key", "sig_a", "sig_b"))
         if level < min(DEEP, routes):
             more = F.filter(F.array(*map(F.lit, range(routes))), lambda j: ~F.array_contains("combo", j))
             wider = hot.select("key", "sig_a", "sig_b", "mins", F.explode(F.transform(more, lambda j: F.array_sort(F.concat("combo", F.array(j))))).alias("combo"))
@@ -443,12 +500,12 @@ def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) ->
         at = F.when(pivot, F.sequence(F.lit(0).cast("long"), cuts - 1)).otherwise(F.array(own))
         cut = hot.withColumn("own", own).withColumn("cut", F.explode(at))
         last = cut.select(F.lit(level + 1).alias("level"), F.col("bucket").alias("block"), "cut", "key", "sig_a", "sig_b", (F.col("cut") == F.col("own")).alias("is_node"))
-        return out.unionByName(last)
-    return out
+        return out.unionByName(last), crowded
+    return out, crowded
 
 
-def hits(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, routes: int = ROUTES, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(rows, signed rows, nodes, what the shards found)."""
+def hits(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, routes: int = ROUTES, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(rows, signed rows, nodes, what the shards found, nodes of hot min-hashes if any)."""
     rows = keyed(docs, "row_key", scratch, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.filter(F.col("text").isNotNull())
     schema = "row_key long, doc_id long, hash_a long, hash_b long, sig_a long, sig_b long, mins array<long>, n_words int"
@@ -466,7 +523,7 @@ def hits(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("first")
     equal = signed.groupBy("hash_a", "hash_b").agg(first, F.first("sig_a").alias("sig_a"), F.first("sig_b").alias("sig_b"), F.first("mins").alias("mins"), F.first("n_words").alias("n_words"), F.count("*").alias("copies"))
     nodes = scratch.table("nodes", equal.select(F.col("first.row_key").alias("key"), F.col("first.doc_id").alias("rank"), "hash_a", "hash_b", "sig_a", "sig_b", "mins", "n_words", "copies"))
-    shards = spread(nodes.filter("n_words > 0"), scratch, routes, shard_rows)
+    shards, crowded = spread(nodes.filter("n_words > 0"), scratch, routes, shard_rows)
     tasks = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-nodes.count() * routes // shard_rows)))
     # By number, as a shard takes seconds whatever its bytes, and small partitions would be put together.
     shards = shards.repartition(tasks, "level", "block", "cut").groupBy("level", "block", "cut")
@@ -474,7 +531,7 @@ def hits(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: st
     for level in range(1, DEEP + 1):
         scratch.remove(f"level{level}")
         scratch.remove(f"hot{level}")
-    return rows, signed, nodes, found
+    return rows, signed, nodes, found, crowded
 
 
 def audits(docs: DataFrame, **how) -> DataFrame:
@@ -485,10 +542,14 @@ def audits(docs: DataFrame, **how) -> DataFrame:
 
 def groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, jaccard: float = JACCARD, routes: int = ROUTES, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(row_key, doc_id, top_key, top_id) of every row in a group of two or more; ``top_key`` is the row that stays."""
-    rows, signed, nodes, found = hits(docs, scratch, id_col, text_col, distance, routes, shard_rows)
+    rows, signed, nodes, found, crowded = hits(docs, scratch, id_col, text_col, distance, routes, shard_rows)
     edges = found.filter("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = scratch.table("forest", edges)
     scratch.remove("found")
+    if crowded is not None:
+        edges = edges.unionByName(unmet(crowded, components(edges, scratch, "near"), scratch, distance))
+        for name in ("crowded", "labelled", "parts", "mixed", "large", "placed", "held", "pairs"):
+            scratch.remove(name)
     reach = components(edges, scratch, "reach")
     texts = rows.select(F.col("row_key").alias("key"), "text").join(sent(reach.select(F.col("key").alias("reach_key"))), F.col("key") == F.col("reach_key"), "left_semi")
     texts = scratch.table("texts", texts)
