@@ -1,6 +1,9 @@
 """The corpus pipeline, stage by stage on what the stage before kept."""
 
+from functools import partial
+
 import corpus_pipeline
+from tests.llm.test_ops import brute_groups, crowd, met
 from textloom.llm import op2_quality, op4_suffix, op8_simhash, tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +32,15 @@ def test_stages_take_effect(spark, tmp_path):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "bin_id"} <= set(out.columns)
+
+
+def test_near_duplicates_of_hot_min_hashes(spark, monkeypatch):
+    """However small the shards, of two near copies that share a min-hash one goes."""
+    monkeypatch.setattr(op8_simhash, "keep_one", partial(op8_simhash.keep_one, shard_rows=8))
+    texts = crowd(800, 15, 6)
+    every = brute_groups(texts)
+    pairs = met(texts, every)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
+    assert not [p for p in pairs if kept.issuperset(p)] and len(pairs) >= 15
+    assert kept >= {i for i in texts if not any(i in p for p in every)}
