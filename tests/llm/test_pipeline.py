@@ -1,7 +1,11 @@
 """The corpus pipeline, stage by stage on what the stage before kept."""
 
+import random
 from functools import partial
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from tests.llm.test_ops import brute_groups, crowd, met
 from textloom.llm import op2_quality, op4_suffix, op8_simhash, tokenizer
@@ -44,3 +48,27 @@ def test_near_duplicates_of_hot_min_hashes(spark, monkeypatch):
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
     assert not [p for p in pairs if kept.issuperset(p)] and len(pairs) >= 15
     assert kept >= {i for i in texts if not any(i in p for p in every)}
+
+
+def couples(n, changes, seed):
+    """(texts, sharing): n strangers of 40 words, each with a copy n further that differs in some words and is a hit; min-hashes they share."""
+    rng = random.Random(seed)
+    one = [[f"w{rng.random()}" for _ in range(40)] for _ in range(n)]
+    other = [list(w) for w in one]
+    for w in other:
+        for k in rng.sample(range(40), changes):
+            w[k] = f"x{rng.random()}"
+    texts = [" ".join(w) for w in [*one, *other]]
+    sig, mins, _ = op8_simhash.signatures(pa.array(texts))
+    hit = np.flatnonzero(op8_simhash.hamming(sig[:n], sig[n:]) <= op8_simhash.DISTANCE).tolist()
+    return {k: texts[k] for i in hit for k in (i, n + i)}, dict(zip(hit, (mins[:n] == mins[n:]).sum(1)[hit].tolist()))
+
+
+def test_near_duplicates_of_many_strangers(spark):
+    """A shard's graph doesn't find some of the pairs of strangers; of two near copies that share a min-hash one goes all the same."""
+    texts, sharing = couples(4000, 3, 8)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
+    pairs = [i for i, k in sharing.items() if k]
+    assert not [i for i in pairs if i + 4000 in kept] and len(pairs) > 1000
+    assert kept.issuperset(sharing)

@@ -11,7 +11,8 @@
 3. A shard builds a navigable small-world graph over Hamming distance and searches it for every node and query, with a beam that
    expands while it is full of hits. Recall is audited against exact search on some nodes and queries of each shard (the mean over
    those with neighbours); a shard below ``LEAST_RECALL``, and a query whose beam outgrows ``MOST_BEAM``, is searched exactly.
-   ``audits`` returns what the audits found.
+   ``audits`` returns what the audits found. As recall is a mean below 1, ``within`` then compares every pair of a min-hash that
+   isn't hot (at most ``SHARD_ROWS`` nodes) and that the graph left apart.
 4. A shard returns a least spanning forest of its hits. Each of its edges is verified by the Jaccard similarity of the two texts'
    word triples, and connected components of verified edges are groups. Where nodes that hits connect are in several groups,
    all pairs between these are tried, in tasks of two blocks of at most ``BLOCK_ROWS`` texts.
@@ -286,6 +287,33 @@ def joined(sigs: np.ndarray, queries: np.ndarray, most: int, audit: int = AUDIT)
     return label, a, b, (audited, found, exact)
 
 
+def within(sigs: np.ndarray, of: np.ndarray, bucket: np.ndarray, label: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (a, b) that join components ``label`` of signatures: of all pairs within ``most`` whose rows ``of`` share a bucket."""
+    order = np.lexsort((of, bucket))
+    at, bucket = of[order], bucket[order]
+    once = np.append(True, (at[1:] != at[:-1]) | (bucket[1:] != bucket[:-1]))
+    at, bucket = at[once], bucket[once]
+    rows = np.arange(len(at))
+    start = np.maximum.accumulate(np.where(np.append(True, bucket[1:] != bucket[:-1]), rows, 0))
+    ends = np.append(0, np.cumsum(rows - start))  # each row meets those before it in its bucket
+    out = [np.zeros((2, 0), np.int64)]
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + STEP, "right")) - 1)
+        i = np.repeat(rows[lo:hi], (rows - start)[lo:hi])
+        j = start[i] + ends[lo] + np.arange(len(i)) - ends[i]
+        a, b = at[i], at[j]
+        new = label[a] != label[b]
+        a, b = a[new], b[new]
+        d = hamming(sigs[a], sigs[b])
+        near = d <= most
+        if near.any():
+            label, kept = forest(a[near], b[near], d[near], label)
+            out.append(np.stack(kept))
+        lo = hi
+    return tuple(np.concatenate(out, axis=1))
+
+
 def recall(sigs: np.ndarray, n: int, label: np.ndarray, most: int, audit: int = AUDIT) -> tuple[int, float]:
     """Evenly spaced rows that have true neighbours within ``most`` among the first n, and the mean share that was joined with them."""
     at = np.arange(0, len(sigs), max(1, len(sigs) // max(1, audit)))
@@ -319,7 +347,7 @@ _FOUND = "a long, b long, rows int, audited int, recall double, exact boolean"
 
 
 def _shard(table: pa.Table, most: int) -> pa.Table:
-    """A least spanning forest (a, b) of the hits in a shard, and a row for its audit."""
+    """A least spanning forest (a, b) of the hits in a shard, and a row for its audit; no hit of one min-hash is left out."""
     key = table["key"].to_numpy()
     sig = np.stack([table["sig_a"].to_numpy(), table["sig_b"].to_numpy()], 1).astype(np.int64).view(np.uint64)
     node = table["is_node"].to_numpy()
@@ -330,7 +358,10 @@ def _shard(table: pa.Table, most: int) -> pa.Table:
     is_node = np.zeros(len(every), bool)
     is_node[of[node]] = True
     at = np.concatenate([np.flatnonzero(is_node), np.flatnonzero(~is_node)])
-    _, a, b, (audited, found, exact) = joined(every[is_node], every[~is_node], most)
+    label, a, b, (audited, found, exact) = joined(every[is_node], every[~is_node], most)
+    if table["level"][0].as_py() == 1:  # all rows are nodes; those of further levels are left to ``unmet``
+        more_a, more_b = within(every, of, table["bucket"].to_numpy()[order], label, most)
+        a, b = np.concatenate([a, more_a]), np.concatenate([b, more_b])
     head = key[first]
     same = np.flatnonzero(head[of] != key)  # texts with one signature
     a, b = np.concatenate([head[at[a]], head[of[same]]]), np.concatenate([head[at[b]], key[same]])
@@ -472,7 +503,7 @@ def unmet(crowded: DataFrame, reach: DataFrame, scratch: Scratch, most: int) ->
 
 
 def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """(level, block, cut, key, sig_a, sig_b, is_node): the rows of every shard; (bucket, key, sig_a, sig_b): those of hot min-hashes, if any."""
+    """(level, block, cut, bucket, key, sig_a, sig_b, is_node): the rows of every shard; (bucket, key, sig_a, sig_b): those of hot min-hashes, if any."""
     crowded = None
     left = worded.select("key", "sig_a", "sig_b", "mins", F.explode(F.array(*[F.array(F.lit(j)) for j in range(routes)])).alias("combo"))
     out = None
@@ -483,7 +514,7 @@ def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) ->
         crowd = sent(sizes)  # at most one bucket for shard_rows rows
         blocks = max(1, -(-rows.count() // shard_rows))
         cool = rows.join(crowd, "bucket", "left_anti").select(
-            F.lit(level).alias("level"), F.pmod(F.xxhash64("bucket"), F.lit(blocks)).alias("block"), F.lit(0).cast("long").alias("cut"), "key", "sig_a", "sig_b", F.lit(True).alias("is_node")
+            F.lit(level).alias("level"), F.pmod(F.xxhash64("bucket"), F.lit(blocks)).alias("block"), F.lit(0).cast("long").alias("cut"), "bucket", "key", "sig_a", "sig_b", F.lit(True).alias("is_node")
         )
         out = cool if out is None else out.unionByName(cool)
         hot = rows.join(crowd, "bucket")
@@ -499,7 +530,7 @@ def spread(worded: DataFrame, scratch: Scratch, routes: int, shard_rows: int) ->
         pivot = F.pmod(F.xxhash64("key", "bucket"), F.col("size")) < PIVOTS
         at = F.when(pivot, F.sequence(F.lit(0).cast("long"), cuts - 1)).otherwise(F.array(own))
         cut = hot.withColumn("own", own).withColumn("cut", F.explode(at))
-        last = cut.select(F.lit(level + 1).alias("level"), F.col("bucket").alias("block"), "cut", "key", "sig_a", "sig_b", (F.col("cut") == F.col("own")).alias("is_node"))
+        last = cut.select(F.lit(level + 1).alias("level"), F.col("bucket").alias("block"), "cut", "bucket", "key", "sig_a", "sig_b", (F.col("cut") == F.col("own")).alias("is_node"))
         return out.unionByName(last), crowded
     return out, crowded
 
