@@ -1,5 +1,7 @@
 """Steps on literal texts with known results."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +188,74 @@ def test_chains_of_versions_go_as_in_sequence(spark, mode):
     assert got == want and 1 < len(got) < 9
 
 
+@pytest.mark.parametrize("table", [0, 1 << 26])
+@pytest.mark.parametrize("mode", ["document", "paragraph", "old-both", "both"])
+def test_ngrams_in_many_chunks_and_parts(spark, monkeypatch, mode, table):
+    """Against the rule in sequence, with texts that meet in other chunks, parts and joins."""
+    for name, value in (("CHUNK", 300), ("PART_CHARS", 4000), ("TABLE_GRAMS", table), ("SENT_UNITS", 0 if table else 1_000_000)):
+        monkeypatch.setattr(ngram_dedup, name, value)
+    draw = random.Random(7)
+    pool = [[draw.choice("abcdefgh") + str(draw.randint(0, 60)) for _ in range(40)] for _ in range(12)]
+    lines = lambda: [" ".join([w if draw.random() > 0.015 else "z" + str(draw.randint(0, 3)) for w in draw.choice(pool)] + ["y"] * draw.randint(0, 9)) for _ in range(draw.randint(1, 3))]
+    rows = [(i * 7 - 100, "\n".join(lines())) for i in range(90)]
+
+    def judged(units, limit):
+        """Indices of the units (words) that go, and the hits of each."""
+        seen, gone, hits = set(), [], []
+        for i, ws in enumerate(units):
+            grams = [tuple(ws[k : k + 13]) for k in range(len(ws) - 12)] or ([tuple(ws)] if len(ws) >= 5 else [])
+            hits.append((sum(g in seen for g in grams), len(grams)))
+            if grams and limit(hits[-1][0] / len(grams)):
+                gone.append(i)
+            else:
+                seen.update(grams)
+        return set(gone), hits
+
+    over = (lambda x: x >= 0.8) if mode == "both" else (lambda x: x > 0.8)
+    texts = judged([t.split() for _, t in rows], over)[0]
+    units = [(i, u) for i, (_, t) in enumerate(rows) for u in t.split("\n")]
+    gone, hits = judged([u.split() for _, u in units], over)
+    share = lambda i: sum(h for (j, _), (h, _) in zip(units, hits) if j == i) / sum(n for (j, _), (_, n) in zip(units, hits) if j == i)
+    bad = {i for i in range(len(rows)) if share(i) > 0.8} if mode == "old-both" else texts if mode == "both" else set()
+    if mode == "document":
+        want = {k: t for i, (k, t) in enumerate(rows) if i not in texts}
+    else:
+        # a first line that goes leaves the line feed of the second
+        left = {i: "".join(("\n" if n else "") + u for n, (at, u) in enumerate((at, u) for at, (j, u) in enumerate(units) if j == i) if at not in gone) for i in range(len(rows))}
+        want = {rows[i][0]: t for i, t in left.items() if t and i not in bad}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["text"] for r in ngram_dedup.ngram_dedup(df, mode=mode).collect()}
+    assert got == want and 5 < len(got) < 90
+
+
+@pytest.mark.parametrize("rounds", [1, None])
+def test_ngrams_are_shuffled_in_few_bytes(spark, tmp_path, rounds):
+    """Under 20 bytes for each n-gram, where rows of n-grams took over 40."""
+    draw = random.Random(3)
+    texts = [" ".join(f"{draw.getrandbits(24):x}" for _ in range(200)) for _ in range(1000)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:50])], "doc_id long, text string").write.parquet(f"{tmp_path}/in")
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    before = written()
+    assert ngram_dedup.ngram_dedup(spark.read.parquet(f"{tmp_path}/in"), mode="document", rounds=rounds).count() == 1000
+    assert sum(n for k, n in written().items() if k not in before) < 20 * 188 * 1050
+
+
+def test_substring_dedup_in_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_dedup, "CHUNK", 200)
+    monkeypatch.setattr(ngram_dedup, "PART_CHARS", 2000)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join([*(f"{i}a{k}" for k in range(30 + i)), passage, *(f"{i}b{k}" for k in range(20))])) for i in range(20)]
+    rows += [(20, passage + " " + passage), (21, " ".join(passage.split()[:49]) + " end")]
+    got = {r["doc_id"]: r["text"] for r in ngram_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got[0] == rows[0][1] and got[21] == rows[21][1]
+    assert all(got[i] == rows[i][1].replace(passage, "") for i in range(1, 20)) and not got.get(20, "").strip()
+
+
 def test_columns_that_clash_and_wide_ids(spark):
     """Columns named like the operator's own, ids near the largest, texts of very many lines."""
     text = " ".join(f"w{i}" for i in range(40))
