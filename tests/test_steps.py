@@ -256,6 +256,46 @@ def test_substring_dedup_in_many_chunks(spark, monkeypatch):
     assert all(got[i] == rows[i][1].replace(passage, "") for i in range(1, 20)) and not got.get(20, "").strip()
 
 
+AWKWARD = ["", " ", "\n", "a\x1cb \x0b\f c\r", "\u00a0x y\u2003", " \t\n x  y\n \nz \r\n", "A.B ÀB ǅ 12٣ _x -y 'z", "Items in cart\n \nkeep me", "x\n   \ny", "5., Likes\nok", "7 views", "(12k\u00a0views)"]
+
+
+def test_text_helpers_are_as_their_patterns(spark):
+    """White space, words and counts against the expressions that are interpreted for each element."""
+    df = spark.createDataFrame([(t,) for t in [*AWKWARD, None]], "t string")
+    t = F.col("t")
+    old = F.filter(F.split(t, r"\s+"), lambda x: x != "")
+    pairs = [(T.strip(t), F.regexp_replace(t, r"\A\s+|\s+\z", "")), (T.tokens(t), old), (T.words(t), F.filter(old, lambda w: w.rlike(r"\A[\p{L}\p{N}]"))), (T.lines(t), F.split(t, "\\n"))]
+    for new, want in pairs:
+        assert df.filter(~new.eqNullSafe(want)).count() == 0
+
+
+def test_rules_leave_texts_without_their_pattern(spark):
+    """As line by line: a blank line goes where substrings are cut, counters and addresses go, others stay."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(AWKWARD)], "i int, t string")
+    t = F.col("t")
+    cart = modify.substring_line_modifier(t, "items in cart", max_length=10, remove_substring_only=True)
+    got = {r[0]: tuple(r)[1:] for r in df.select("i", cart, modify.counter_line_modifier(t), modify.word_length_modifier(t, 3)).collect()}
+    assert [got[i][0] for i in (7, 8, 5)] == ["keep me", "x\ny", "x  y\nz"]
+    assert [got[i][1] for i in (8, 9, 10, 11)] == ["x\n   \ny", "ok", "", "(12k\u00a0views)"]
+    assert got[7][2] == " " and got[9][2] == "ok"
+    mail = spark.createDataFrame([("write to a.b@c.org or 555-123-4567 now",), ("no [such] 123 thing",), ("see http://1.2.3.4/x and www.example.com/y",)], "t string")
+    assert [r[0] for r in mail.select(modify.email_and_phone_removal_modifier(modify.url_removal_modifier(t))).collect()] == ["write to or  now", "no [such] 123 thing", "see and"]
+
+
+def test_batches_of_words_are_read_a_few_at_a_time():
+    """All words of a batch as Python strings took hundreds of MB."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    arr = pa.array([[f"word{i}_{k}" for k in range(200)] for i in range(2000)])
+    tracemalloc.start()
+    assert sum(len(x) for x in repetition.values(arr)) == 400_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000 and list(repetition.values(arr)) == arr.to_pylist()
+
+
 def test_columns_that_clash_and_wide_ids(spark):
     """Columns named like the operator's own, ids near the largest, texts of very many lines."""
     text = " ".join(f"w{i}" for i in range(40))

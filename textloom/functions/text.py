@@ -36,12 +36,12 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"\A\s+|\s+\z", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))  # what \s stands for in the JVM's patterns
 
 
-def lines(c: Column, sep: str = "\\n") -> Column:
+def lines(c: Column, sep: str = "\n") -> Column:
     """Parts between line feeds, empty ones included."""
-    return F.split(c, sep)
+    return F.split(c, sep)  # a single character, unlike the pattern for it, is split at without a regular expression
 
 
 def split_lines(c: Column) -> Column:
@@ -55,13 +55,13 @@ def full_lines(c: Column) -> Column:
 
 
 def paragraphs(c: Column, end: str = "\\n", remove_empty: bool = True) -> Column:
-    parts = F.split(c, end)
+    parts = F.split(c, "\n" if end == "\\n" else end)
     return F.filter(F.transform(parts, strip), lambda x: x != "") if remove_empty else parts
 
 
 def tokens(c: Column) -> Column:
     """Words between white space."""
-    return F.filter(F.split(c, r"\s+"), lambda x: x != "")
+    return F.regexp_extract_all(c, F.lit(r"\S+"), F.lit(0))
 
 
 def words(c: Column, model: str = "split", ignore_punctuation: bool = True) -> Column:
@@ -69,6 +69,8 @@ def words(c: Column, model: str = "split", ignore_punctuation: bool = True) -> C
 
     Tokens whose first character isn't a letter or digit are dropped where ``ignore_punctuation`` holds.
     """
+    if model == "split" and ignore_punctuation:
+        return F.regexp_extract_all(c, F.lit(r"(?<!\S)[\p{L}\p{N}]\S*"), F.lit(0))
     if model == "split":
         found = tokens(c)
     elif model == "fasttext":
@@ -127,6 +129,11 @@ def count_of(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
 
+def if_found(c: Column, pattern: str, changed: Column, same: Column) -> Column:
+    """``changed`` only for texts in which ``pattern`` occurs: a rule that needs it leaves others the ``same``."""
+    return F.when(c.rlike(pattern), changed).otherwise(same)
+
+
 def first_index(keys: Column) -> Column:
     """Places (from 0) at which an element occurs for the first time, as an array."""
     return F.filter(F.sequence(F.lit(0), F.size(keys) - 1), lambda i: F.array_position(keys, keys[i]) == i + 1)

@@ -23,6 +23,10 @@ IPV4 = rf"\s{{0,10}}\b{_SCHEME}([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}{_REST}"
 PHONE = r"(\+[0-9]{1,3}[\s-]?[0-9]{3}[\s.-]?[0-9]{3,4}[\s.-]?[0-9]{4}|[0-9]{3}[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}|\b[0-9]{7,}\b)\b"
 
 
+#: A line of white space, not an empty one.
+BLANK_LINE = r"(?:\A|\n)[ \t\x0B\f\r]+(?:\n|\z)"
+
+
 def web_address(tlds: list[str] = TLDS) -> str:
     ends = "|".join(re.escape(t.lstrip(".")) for t in tlds)
     return rf"\s{{0,10}}{_SCHEME}[a-zA-Z0-9@:%.~#=_+-]{{1,256}}\.({ends})\b{_REST}"
@@ -162,12 +166,16 @@ def substring_line_modifier(text: Column, banlist: list[str] | str | None = None
     pattern = {"any": rf"\s?{core}", "prefix": rf"^{core}\s?", "suffix": rf"\s?{core}$"}[location]
     pattern = pattern if case_sensitive else f"(?iu){pattern}"
     short = (lambda x: F.size(T.tokens(x)) <= max_length) if max_length is not None else (lambda x: F.lit(True))
+    # What a line has the text has, unless the pattern looks around or holds on to what it took.
+    plain = not re.search(r"\\[AZzGQ]|\(\?|[+*?}]\+", core.replace("(?:", "", 1))
+    anywhere = (f"(?m){core}" if case_sensitive else f"(?ium){core}") if plain else ""
     if not remove_substring_only:
-        return _lines_where(text, lambda x: ~(short(x) & x.rlike(pattern)), trim=True)
+        return T.if_found(text, anywhere, _lines_where(text, lambda x: ~(short(x) & x.rlike(pattern)), trim=True), T.strip(text))
     cut = F.transform(T.lines(text), lambda x: F.when(short(x), F.regexp_replace(x, pattern, "")).otherwise(x))
     both = F.arrays_zip(T.lines(text).alias("old"), cut.alias("new"))
     kept = F.filter(both, lambda p: ~(short(p["old"]) & (p["old"] != "") & (T.strip(p["new"]) == "")))
-    return T.strip(F.array_join(F.transform(kept, lambda p: p["new"]), "\n"))
+    changed = T.strip(F.array_join(F.transform(kept, lambda p: p["new"]), "\n"))
+    return F.when(text.rlike(anywhere) | text.rlike(BLANK_LINE), changed).otherwise(T.strip(text))
 
 
 @step("modifier")
@@ -204,34 +212,38 @@ def line_length_modifier(text: Column, min_length: int = 0, max_length: float =
 
 @step("modifier")
 def word_length_modifier(text: Column, max_length: int = 1000, model: str = "split") -> Column:
-    return _lines_where(text, lambda x: F.forall(T.words(x, model, False), lambda w: F.length(w) <= max_length))
+    changed = _lines_where(text, lambda x: F.forall(T.words(x, model, False), lambda w: F.length(w) <= max_length))
+    return T.if_found(text, rf"\S{{{max_length + 1}}}", changed, text) if model == "split" else changed
 
 
 @step("modifier")
 def uppercase_ratio_line_modifier(text: Column, max_ratio: float = 0.5) -> Column:
-    return _lines_where(text, lambda x: (x == "") | (T.count_of(x, r"\p{Lu}") <= max_ratio * F.length(x)), trim=True)
+    return _lines_where(text, lambda x: (x == "") | (F.length(x) - F.length(F.regexp_replace(x, r"\p{Lu}+", "")) <= max_ratio * F.length(x)), trim=True)
 
 
 @step("modifier")
 def numeric_ratio_line_modifier(text: Column, max_ratio: float = 1.0) -> Column:
-    return _lines_where(text, lambda x: (x == "") | (T.count_of(x, r"\p{Nd}") <= max_ratio * F.length(x)), trim=True)
+    return _lines_where(text, lambda x: (x == "") | (F.length(x) - F.length(F.regexp_replace(x, r"\p{Nd}+", "")) <= max_ratio * F.length(x)), trim=True)
 
 
 @step("modifier")
 def citation_removal_modifier(text: Column) -> Column:
-    return F.regexp_replace(text, CITATION, "")
+    return F.when(F.contains(text, F.lit("[")), F.regexp_replace(text, CITATION, "")).otherwise(text)
 
 
 @step("modifier")
 def url_removal_modifier(text: Column, tlds: list[str] | None = None, tlds_file: str | None = None) -> Column:
     """Web addresses under the given top-level domains (of a file too), and IPv4 addresses, with the white space before them."""
     tlds = T.read_list(tlds, tlds_file) or TLDS
-    return F.regexp_replace(F.regexp_replace(text, web_address(tlds), ""), IPV4, "")
+    ends = "|".join(re.escape(t.lstrip(".")) for t in tlds)
+    addresses = T.if_found(text, rf"\.({ends})\b", F.regexp_replace(text, web_address(tlds), ""), text)
+    return T.let(addresses, lambda x: T.if_found(x, r"[0-9]\.[0-9]{1,3}\.[0-9]", F.regexp_replace(x, IPV4, ""), x))
 
 
 @step("modifier")
 def email_and_phone_removal_modifier(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"\b" + EMAIL, ""), PHONE, "")
+    mails = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, r"\b" + EMAIL, "")).otherwise(text)
+    return T.let(mails, lambda x: T.if_found(x, r"[0-9]{3}[\s.-]?[0-9]{3}", F.regexp_replace(x, PHONE, ""), x))
 
 
 def bad_words_pattern(words: list[str], language: str = "en") -> str:
@@ -253,7 +265,8 @@ def bad_words_hits(df: DataFrame, banlist: list[str], banned_language: str = "en
 
 @step("modifier")
 def counter_line_modifier(text: Column) -> Column:
-    return _lines_where(text, lambda x: ~F.lower(x).rlike(COUNTER), trim=True)
+    changed = _lines_where(text, lambda x: ~F.lower(x).rlike(COUNTER), trim=True)
+    return T.if_found(F.lower(text), rf"[0-9][kmb]?\s+({COUNTED})|[0-9][.,]+[kmb]?\s+({COUNTED})", changed, T.strip(text))
 
 
 @step("modifier", drop_empty=False)
@@ -292,7 +305,7 @@ def join_lines_modifier(df: DataFrame, text_col: str = "text", delimiter: str =
 def line_is_removed(line: Column, max_uppercase_ratio: float, min_words: int) -> Column:
     def poor(low: Column) -> Column:
         script = F.contains(low, F.lit("javascript")) & low.rlike("enable|disable|require|activate|browser")
-        shouting = T.count_of(line, r"\p{Lu}") > max_uppercase_ratio * F.length(line)
+        shouting = F.length(line) - F.length(F.regexp_replace(line, r"\p{Lu}+", "")) > max_uppercase_ratio * F.length(line)
         return (low == "") | (F.size(T.tokens(low)) < min_words) | script | low.rlike("|".join(POLICY)) | shouting | low.rlike(r"\A\p{Nd}+\z") | low.rlike(COUNTER)
 
     return T.let(F.lower(T.strip(line)), poor)
